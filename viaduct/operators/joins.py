@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a dimension-like side is not broadcast.
+DEFAULT_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_checked(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``small`` only if it really holds at most ``max_rows`` rows.
+
+    The count runs on the (small, ideally materialised) side; beyond the bound
+    the frame is returned unhinted and the planner falls back to a shuffle
+    join (with AQE skew handling).
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
