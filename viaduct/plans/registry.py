@@ -106,7 +106,7 @@ def quarantine(spark, sf_dir):
 
 
 def accepted_dedup(spark, sf_dir):
-    return for_compare(_w(spark, sf_dir).silver_frames.clean.drop("motivo_rechazo"))
+    return for_compare(_w(spark, sf_dir).silver_frames.clean.select(*FLAT_COLUMNS, *METRIC_COLUMNS))
 
 
 def quality_report(spark, sf_dir):

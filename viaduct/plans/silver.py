@@ -37,21 +37,26 @@ def build_silver(
 
     flatten → measures → first-broken-rule tag → accepted rows de-duplicated
     by content hash → calendar → corridor percentiles joined back → zone
-    keys, geodesic distance and detour. ``materialize`` (a checkpoint or a
-    written table) cuts the lineage of the small corridor table so that its
-    size can be checked before it is broadcast.
+    keys, geodesic distance and detour.
+
+    With ``materialize`` (write a table to the shared checkpoint folder and
+    read it back) the de-duplicated rows are computed once: the corridor
+    aggregate then reads only its five columns from that table, its size is
+    checked and it is broadcast, so the trips are shuffled once (by hash, to
+    de-duplicate) and never for the corridor join. Without it the plan is one
+    lazy query and the planner / AQE choose the join.
     """
     flat = flatten_documents(docs)
     tagged = quality.tag_quality(quality.derive_metrics(flat), thresholds)
     quar = quality.quarantine(tagged)
-    clean = dedup_by_key(quality.accepted(tagged))
-    with_cal = corridor.add_calendar(clean)
-    corridors = corridor.corridor_stats(with_cal)
+    clean = corridor.add_calendar(dedup_by_key(quality.accepted(tagged)))
     if materialize is not None:
-        corridors = materialize(corridors)
-        kpis = corridor.attach_corridor_kpis(with_cal, corridors, broadcast="checked")
+        clean = materialize(clean)
+        corridors = materialize(corridor.corridor_stats(clean))
+        kpis = corridor.attach_corridor_kpis(clean, corridors, broadcast="checked")
     else:
-        kpis = corridor.attach_corridor_kpis(with_cal, corridors, broadcast=False)
+        corridors = corridor.corridor_stats(clean)
+        kpis = corridor.attach_corridor_kpis(clean, corridors, broadcast=False)
     silver = zones.enrich_zones(kpis, geometry)
     return SilverFrames(flat, tagged, quar, clean, corridors, silver)
 

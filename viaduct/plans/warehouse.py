@@ -1,10 +1,11 @@
-"""All stages over one set of inputs, built lazily and materialised once.
+"""All stages over one set of inputs, each written once and read back.
 
 ``Warehouse`` wires the sources (here: the fixture adapter over the driver's
-tables) to the silver and gold builders. Large intermediate results are cut
-from their lineage with ``DataFrame.checkpoint`` into the session's
-checkpoint folder, so a lost executor recomputes from the checkpoint, not
-from the raw tables, and later stages do not re-run earlier ones.
+tables) to the bronze, silver and gold builders. Every stage boundary is a
+Parquet table written to the session's shared checkpoint folder and read
+back: later stages never recompute earlier ones, a lost executor only
+re-runs tasks of the current stage, and downstream reads get column pruning
+and filter pushdown on the written table.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..config import PipelineConfig, QueryParams
 from .. import schemas
+from ..config import PipelineConfig, QueryParams
 from ..operators import dims, roads, zones
 from ..operators.conform import conform
-from ..session import checkpoint_dir, ensure_pipeline_conf
+from ..session import ensure_pipeline_conf, scratch_path
 from ..sources import bronze, fixture
 from . import gold as gold_plan
 from . import layout
@@ -31,27 +32,41 @@ class Warehouse:
         self.sf_dir = sf_dir
         self.cfg = cfg
         self.materialize = materialize
+        self.paths: dict[str, str] = {}
         ensure_pipeline_conf(spark)
 
     # -- helpers ---------------------------------------------------------
-    def _cut(self, df: DataFrame) -> DataFrame:
+    def _write(self, df: DataFrame, name: str, single_file: bool = False) -> DataFrame:
+        """Write ``df`` as a table in the checkpoint folder and read it back."""
         if not self.materialize:
             return df
-        checkpoint_dir(self.spark)
-        return df.checkpoint(eager=True)
+        path = scratch_path(self.spark, name)
+        (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
+        self.paths[name] = path
+        return self.spark.read.parquet(path)
+
+    def _cut(self, df: DataFrame) -> DataFrame:
+        return self._write(df, "stage")
 
     @property
     def params(self) -> QueryParams:
         return fixture.query_params(self.sf_dir)
 
-    # -- sources ---------------------------------------------------------
+    # -- sources and bronze ------------------------------------------------
     @cached_property
     def trips(self) -> DataFrame:
         return fixture.fixture_trips(self.spark, self.sf_dir)
 
     @cached_property
     def documents(self) -> DataFrame:
-        return bronze.to_documents(self.trips, version=self.cfg.version_esquema)
+        """Bronze store: documents written as nested Parquet and read back."""
+        docs = bronze.to_documents(self.trips, version=self.cfg.version_esquema)
+        if not self.materialize:
+            return docs
+        path = scratch_path(self.spark, "bronze")
+        bronze.write_documents(docs, path)
+        self.paths["bronze"] = path
+        return bronze.read_documents(self.spark, path)
 
     @cached_property
     def zone_lookup(self) -> DataFrame:
@@ -60,7 +75,7 @@ class Warehouse:
     @cached_property
     def geometry(self) -> DataFrame:
         centroids = fixture.fixture_zone_centroids(self.spark, self.sf_dir)
-        return zones.zone_geometry(self.zone_lookup, centroids)
+        return self._write(zones.zone_geometry(self.zone_lookup, centroids), "zone_geometry", single_file=True)
 
     @cached_property
     def road_stats(self) -> DataFrame:
@@ -69,7 +84,7 @@ class Warehouse:
 
     @cached_property
     def dim_zona(self) -> DataFrame:
-        return zones.dim_zona(self.geometry, self.road_stats)
+        return self._write(zones.dim_zona(self.geometry, self.road_stats), "dim_zona_raw", single_file=True)
 
     # -- silver ----------------------------------------------------------
     @cached_property
@@ -80,16 +95,23 @@ class Warehouse:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return self._cut(self.silver_frames.silver)
+        """Silver fact, written partitioned by date and read back."""
+        df = self.silver_frames.silver
+        if not self.materialize:
+            return df
+        path = scratch_path(self.spark, "silver")
+        silver_plan.write_silver(df, path)
+        self.paths["silver"] = path
+        return self.spark.read.parquet(path)
 
     # -- gold ------------------------------------------------------------
     @cached_property
     def dim_tiempo_raw(self) -> DataFrame:
-        return self._cut(dims.dim_tiempo(self.silver))
+        return self._write(dims.dim_tiempo(self.silver), "dim_tiempo_raw", single_file=True)
 
     @cached_property
     def dim_operador_raw(self) -> DataFrame:
-        return self._cut(dims.dim_operador(self.silver))
+        return self._write(dims.dim_operador(self.silver), "dim_operador_raw", single_file=True)
 
     @cached_property
     def fact_keyed(self) -> DataFrame:
@@ -99,10 +121,11 @@ class Warehouse:
     @cached_property
     def gold(self) -> gold_plan.GoldFrames:
         return gold_plan.GoldFrames(
-            dim_zona=self._cut(conform(self.dim_zona, schemas.DIM_ZONA)),
-            dim_tiempo=conform(self.dim_tiempo_raw, schemas.DIM_TIEMPO),
-            dim_operador=conform(self.dim_operador_raw, schemas.DIM_OPERADOR),
-            fact_servicio=self._cut(conform(self.fact_keyed, schemas.FACT_SERVICIO)),
+            dim_zona=self._write(conform(self.dim_zona, schemas.DIM_ZONA), "dim_zona", single_file=True),
+            dim_tiempo=self._write(conform(self.dim_tiempo_raw, schemas.DIM_TIEMPO), "dim_tiempo", single_file=True),
+            dim_operador=self._write(conform(self.dim_operador_raw, schemas.DIM_OPERADOR), "dim_operador",
+                                     single_file=True),
+            fact_servicio=self._write(conform(self.fact_keyed, schemas.FACT_SERVICIO), "fact_servicio"),
         )
 
     # -- physical layouts -------------------------------------------------
