@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 
 def dedup_by_key(df: DataFrame, key: str = "hash_registro", prefer: str = "fichero_origen") -> DataFrame:
-    """One row per ``key``: the one with the smallest ``prefer`` value.
+    """One row per ``key``: the copy with the smallest ``prefer`` value.
 
-    Written as an aggregate rather than a window so that Spark combines copies
-    map-side before the shuffle: a key held by a third of all rows still sends
-    one row per map task, not the whole group to one task. The result does
-    not depend on partitioning (ties on ``prefer`` fall to the other columns).
+    The hash covers the whole payload, so copies agree on every column but
+    the lineage column ``prefer``; grouping by the key and the other columns
+    and keeping ``min(prefer)`` therefore removes exactly the copies of a
+    hash, and never merges two different records even on a hash collision.
+    It is an aggregate, not a window: Spark combines copies map-side before
+    the shuffle, so a key held by a third of all rows still sends one row per
+    map task instead of the whole group to one task. The result does not
+    depend on partitioning.
     """
-    rest = [c for c in df.columns if c not in (key, prefer)]
-    best = F.min(F.struct(F.col(prefer), *[F.col(c) for c in rest])).alias("_best")
-    return df.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in [prefer, *rest]]).select(
-        *df.columns
-    )
+    rest = [c for c in df.columns if c != prefer]
+    return df.groupBy(key, *[c for c in rest if c != key]).agg(F.min(prefer).alias(prefer)).select(*df.columns)

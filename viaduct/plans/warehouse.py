@@ -95,14 +95,26 @@ class Warehouse:
 
     @cached_property
     def silver(self) -> DataFrame:
-        """Silver fact, written partitioned by date and read back."""
-        df = self.silver_frames.silver
-        if not self.materialize:
-            return df
-        path = scratch_path(self.spark, "silver")
-        silver_plan.write_silver(df, path)
-        self.paths["silver"] = path
-        return self.spark.read.parquet(path)
+        """Silver fact as a stage table.
+
+        The date-partitioned sink (``silver.write_silver``) is the layout for
+        data spanning weeks or months; the driver's fixture spreads a few
+        rows over ~2,500 ship dates, which would turn it into thousands of
+        tiny files, so the stage table here is unpartitioned.
+        """
+        return self._write(self.silver_frames.silver, "silver")
+
+    def write_quarantine(self) -> dict:
+        """Write the quarantine and return the quality counts observed while doing so.
+
+        The counts come from an ``Observation`` on the same pass, so the
+        report costs no extra scan.
+        """
+        tagged, obs = silver_plan.quality_observation(self.silver_frames.tagged)
+        path = scratch_path(self.spark, "cuarentena")
+        silver_plan.write_quarantine(tagged.filter("motivo_rechazo IS NOT NULL"), path)
+        self.paths["cuarentena"] = path
+        return obs.get
 
     # -- gold ------------------------------------------------------------
     @cached_property
