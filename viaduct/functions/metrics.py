@@ -33,8 +33,14 @@ def desviacion_pct(minutos: Column, eta: Column) -> Column:
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column,
                  radio: float = config.RADIO_TIERRA_KM) -> Column:
-    """Great-circle distance; the asin argument is clamped to 1."""
+    """Great-circle distance; NULL if any coordinate is NULL.
+
+    The asin argument is clamped to 1 (rounding can push it just above, and
+    asin would return NaN). The clamp is a CASE, not ``least``: ``least``
+    skips NULLs and would turn a missing centroid into half the globe.
+    """
     dlat = F.radians(lat2 - lat1)
     dlon = F.radians(lon2 - lon1)
     a = F.pow(F.sin(dlat / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon / 2), 2)
-    return F.lit(2 * radio) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    s = F.sqrt(a)
+    return F.lit(2 * radio) * F.asin(F.when(s > 1.0, F.lit(1.0)).otherwise(s))
