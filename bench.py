@@ -40,7 +40,7 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app_name="viaduct-bench",
-        shuffle_partitions=max(8, 2 * cpus),
+        shuffle_partitions=cpus,
         extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
     spark.sparkContext.setLogLevel("ERROR")

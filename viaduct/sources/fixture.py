@@ -69,6 +69,10 @@ def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
 
+    # Line items are clustered by order key, the partitioning a shuffle join
+    # with orders needs at scale anyway; it also spreads the small test files
+    # (a few row groups each) over every core.
+    li = li.repartition("l_orderkey")
     base = (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
         .join(supplier, li.l_suppkey == supplier.s_suppkey)
