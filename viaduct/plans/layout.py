@@ -25,8 +25,14 @@ def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
-def write_optimised(spark: SparkSession, fact: DataFrame, buckets: int = 8, path: str | None = None) -> str:
+def _default_parts(spark: SparkSession) -> int:
+    """One bucket / partition per shuffle partition: sized to the data by the job's configuration."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def write_optimised(spark: SparkSession, fact: DataFrame, buckets: int | None = None, path: str | None = None) -> str:
     """Bucketed + sorted external table; returns its catalog name."""
+    buckets = buckets or _default_parts(spark)
     name = _table_name("fact_servicio")
     path = path or scratch_path(spark, name)
     (
@@ -40,8 +46,9 @@ def write_optimised(spark: SparkSession, fact: DataFrame, buckets: int = 8, path
     return name
 
 
-def write_control(spark: SparkSession, fact: DataFrame, partitions: int = 8, path: str | None = None) -> str:
+def write_control(spark: SparkSession, fact: DataFrame, partitions: int | None = None, path: str | None = None) -> str:
     """Even round-robin spread, plain Parquet (control copy, S16)."""
+    partitions = partitions or _default_parts(spark)
     name = _table_name("fact_servicio_control")
     path = path or scratch_path(spark, name)
     fact.repartition(partitions).write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)

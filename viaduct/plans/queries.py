@@ -93,10 +93,20 @@ def q4_route_efficiency(
 def q5_date_range(
     fact: DataFrame, dim_tiempo: DataFrame, dim_zona: DataFrame, params: QueryParams = QueryParams()
 ) -> DataFrame:
+    """Trips and mean duration per borough of origin for a date range.
+
+    The date keys of the range span [lo, hi]; that range is added as a
+    literal filter on the fact so it reaches the Parquet reader: on the
+    layout sorted by date key, row groups outside it are skipped by their
+    min/max statistics. The filter is a superset of the dates asked for, so
+    it never removes a matching row; the join applies the exact dates.
+    """
     t = dim_tiempo.filter(F.col("fecha").between(F.lit(params.q5_desde), F.lit(params.q5_hasta))).select("sk_tiempo")
+    lo, hi = t.agg(F.min("sk_tiempo"), F.max("sk_tiempo")).first()
     zo = dim_zona.select(F.col("sk_zona").alias("sk_zona_origen"), "distrito")
     return (
-        fact.join(t, "sk_tiempo")
+        fact.filter(F.col("sk_tiempo").between(F.lit(lo), F.lit(hi)))
+        .join(t, "sk_tiempo")
         .join(zo, "sk_zona_origen")
         .groupBy("distrito")
         .agg(F.count(F.lit(1)).alias("n_servicios"), _avg("duracion_min").alias("duracion_media"))
