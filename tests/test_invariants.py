@@ -76,12 +76,23 @@ def test_layouts_are_equivalent(warehouse):
     assert r.equivalente and r.n_optimizada == 4244
 
 
-def test_optimised_layout_aggregates_on_bucket_key_without_exchange(warehouse):
+def test_bucketed_layout_aggregates_on_bucket_key_without_exchange(spark, warehouse):
     from viaduct.plans import layout
 
-    opt = warehouse.layouts[layout.OPTIMISED]
-    plan = opt.groupBy("sk_zona_origen").count()._jdf.queryExecution().executedPlan().toString()
+    t = spark.table(layout.write_bucketed(spark, warehouse.gold.fact_servicio))
+    plan = t.groupBy("sk_zona_origen").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+    assert t.count() == 4244
+
+
+def test_sort_key_layout_files_cover_narrow_date_ranges(spark, warehouse):
+    from viaduct.plans import layout
+
+    opt = warehouse.layouts[layout.OPTIMISED]
+    per_file = opt.groupBy(F.input_file_name().alias("f")).agg(F.min("sk_tiempo").alias("lo"), F.max("sk_tiempo").alias("hi"))
+    ranges = sorted((r.lo, r.hi) for r in per_file.collect())
+    assert len(ranges) > 1
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))  # files do not overlap in date key
 
 
 def test_latency_report_shape(spark, warehouse):
