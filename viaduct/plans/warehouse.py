@@ -84,7 +84,7 @@ class Warehouse:
 
     @cached_property
     def dim_zona(self) -> DataFrame:
-        return self._write(zones.dim_zona(self.geometry, self.road_stats), "dim_zona_raw", single_file=True)
+        return zones.dim_zona(self.geometry, self.road_stats)
 
     # -- silver ----------------------------------------------------------
     @cached_property
@@ -117,26 +117,38 @@ class Warehouse:
         return obs.get
 
     # -- gold ------------------------------------------------------------
+    # The raw dimensions stay lazy (the conformance report reads them); only
+    # their conformed form is written, and the fact is keyed from it.
     @cached_property
     def dim_tiempo_raw(self) -> DataFrame:
-        return self._write(dims.dim_tiempo(self.silver), "dim_tiempo_raw", single_file=True)
+        return dims.dim_tiempo(self.silver)
 
     @cached_property
     def dim_operador_raw(self) -> DataFrame:
-        return self._write(dims.dim_operador(self.silver), "dim_operador_raw", single_file=True)
+        return dims.dim_operador(self.silver)
+
+    @cached_property
+    def _gold_dims(self) -> dict[str, DataFrame]:
+        return {
+            "dim_zona": self._write(conform(self.dim_zona, schemas.DIM_ZONA), "dim_zona", single_file=True),
+            "dim_tiempo": self._write(conform(self.dim_tiempo_raw, schemas.DIM_TIEMPO), "dim_tiempo",
+                                      single_file=True),
+            "dim_operador": self._write(conform(self.dim_operador_raw, schemas.DIM_OPERADOR), "dim_operador",
+                                        single_file=True),
+        }
 
     @cached_property
     def fact_keyed(self) -> DataFrame:
-        return gold_plan.fact_with_keys(self.silver, self.dim_tiempo_raw, self.dim_operador_raw,
-                                        self.cfg.key_prefix_hex)
+        d = self._gold_dims
+        return gold_plan.fact_with_keys(self.silver, d["dim_tiempo"], d["dim_operador"], self.cfg.key_prefix_hex)
 
     @cached_property
     def gold(self) -> gold_plan.GoldFrames:
+        d = self._gold_dims
         return gold_plan.GoldFrames(
-            dim_zona=self._write(conform(self.dim_zona, schemas.DIM_ZONA), "dim_zona", single_file=True),
-            dim_tiempo=self._write(conform(self.dim_tiempo_raw, schemas.DIM_TIEMPO), "dim_tiempo", single_file=True),
-            dim_operador=self._write(conform(self.dim_operador_raw, schemas.DIM_OPERADOR), "dim_operador",
-                                     single_file=True),
+            dim_zona=d["dim_zona"],
+            dim_tiempo=d["dim_tiempo"],
+            dim_operador=d["dim_operador"],
             fact_servicio=self._write(conform(self.fact_keyed, schemas.FACT_SERVICIO), "fact_servicio"),
         )
 
