@@ -144,19 +144,19 @@ def zone_road_stats(spark, sf_dir):
 
 # -- gold -------------------------------------------------------------------
 def gold_dim_tiempo(spark, sf_dir):
-    return for_compare(_w(spark, sf_dir).gold.dim_tiempo)
+    return for_compare(_w(spark, sf_dir).gold_dim_tiempo)
 
 
 def gold_dim_operador(spark, sf_dir):
-    return for_compare(_w(spark, sf_dir).gold.dim_operador)
+    return for_compare(_w(spark, sf_dir).gold_dim_operador)
 
 
 def gold_dim_zona(spark, sf_dir):
-    return for_compare(_w(spark, sf_dir).gold.dim_zona)
+    return for_compare(_w(spark, sf_dir).gold_dim_zona)
 
 
 def gold_fact_servicio(spark, sf_dir):
-    return for_compare(_w(spark, sf_dir).gold.fact_servicio)
+    return for_compare(_w(spark, sf_dir).gold_fact)
 
 
 def conformance_report(spark, sf_dir):
@@ -197,28 +197,28 @@ def load_integrity(spark, sf_dir):
 
 # -- reference queries ------------------------------------------------------
 def q1_monthly_overview(spark, sf_dir):
-    g = _w(spark, sf_dir).gold
-    return Q.q1_monthly_overview(g.fact_servicio, g.dim_tiempo)
+    w = _w(spark, sf_dir)
+    return Q.q1_monthly_overview(w.gold_fact, w.gold_dim_tiempo)
 
 
 def q2_unreliable_corridors(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return Q.q2_unreliable_corridors(w.gold.fact_servicio, w.gold.dim_zona, w.params)
+    return Q.q2_unreliable_corridors(w.gold_fact, w.gold_dim_zona, w.params)
 
 
 def q3_band_degradation(spark, sf_dir):
-    g = _w(spark, sf_dir).gold
-    return Q.q3_band_degradation(g.fact_servicio, g.dim_tiempo)
+    w = _w(spark, sf_dir)
+    return Q.q3_band_degradation(w.gold_fact, w.gold_dim_tiempo)
 
 
 def q4_route_efficiency(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return Q.q4_route_efficiency(w.gold.fact_servicio, w.gold.dim_zona, w.params)
+    return Q.q4_route_efficiency(w.gold_fact, w.gold_dim_zona, w.params)
 
 
 def q5_date_range(spark, sf_dir):
     w = _w(spark, sf_dir)
-    return for_compare(Q.q5_date_range(w.gold.fact_servicio, w.gold.dim_tiempo, w.gold.dim_zona, w.params))
+    return for_compare(Q.q5_date_range(w.gold_fact, w.gold_dim_tiempo, w.gold_dim_zona, w.params))
 
 
 def reference_queries(w: Warehouse, dims: dict[str, DataFrame]) -> dict[str, Callable[[DataFrame], DataFrame]]:

@@ -128,35 +128,41 @@ class Warehouse:
         return dims.dim_operador(self.silver)
 
     @cached_property
-    def _gold_dims(self) -> dict[str, DataFrame]:
-        return {
-            "dim_zona": self._write(conform(self.dim_zona, schemas.DIM_ZONA), "dim_zona", single_file=True),
-            "dim_tiempo": self._write(conform(self.dim_tiempo_raw, schemas.DIM_TIEMPO), "dim_tiempo",
-                                      single_file=True),
-            "dim_operador": self._write(conform(self.dim_operador_raw, schemas.DIM_OPERADOR), "dim_operador",
-                                        single_file=True),
-        }
+    def gold_dim_zona(self) -> DataFrame:
+        return self._write(conform(self.dim_zona, schemas.DIM_ZONA), "dim_zona", single_file=True)
+
+    @cached_property
+    def gold_dim_tiempo(self) -> DataFrame:
+        return self._write(conform(self.dim_tiempo_raw, schemas.DIM_TIEMPO), "dim_tiempo", single_file=True)
+
+    @cached_property
+    def gold_dim_operador(self) -> DataFrame:
+        return self._write(conform(self.dim_operador_raw, schemas.DIM_OPERADOR), "dim_operador", single_file=True)
 
     @cached_property
     def fact_keyed(self) -> DataFrame:
-        d = self._gold_dims
-        return gold_plan.fact_with_keys(self.silver, d["dim_tiempo"], d["dim_operador"], self.cfg.key_prefix_hex)
+        return gold_plan.fact_with_keys(self.silver, self.gold_dim_tiempo, self.gold_dim_operador,
+                                        self.cfg.key_prefix_hex)
 
     @cached_property
+    def gold_fact(self) -> DataFrame:
+        return self._write(conform(self.fact_keyed, schemas.FACT_SERVICIO), "fact_servicio")
+
+    @property
     def gold(self) -> gold_plan.GoldFrames:
-        d = self._gold_dims
+        """All four gold tables (each built and written once, on first use)."""
         return gold_plan.GoldFrames(
-            dim_zona=d["dim_zona"],
-            dim_tiempo=d["dim_tiempo"],
-            dim_operador=d["dim_operador"],
-            fact_servicio=self._write(conform(self.fact_keyed, schemas.FACT_SERVICIO), "fact_servicio"),
+            dim_zona=self.gold_dim_zona,
+            dim_tiempo=self.gold_dim_tiempo,
+            dim_operador=self.gold_dim_operador,
+            fact_servicio=self.gold_fact,
         )
 
     # -- physical layouts -------------------------------------------------
     @cached_property
     def layouts(self) -> dict[str, DataFrame]:
         """The gold fact written twice: bucketed + sorted, and plain."""
-        fact = self.gold.fact_servicio
+        fact = self.gold_fact
         opt = layout.write_optimised(self.spark, fact)
         ctl = layout.write_control(self.spark, fact)
         for t in (opt, ctl):
@@ -167,7 +173,7 @@ class Warehouse:
     def dimension_tables(self) -> dict[str, DataFrame]:
         out = {}
         for name in ("dim_tiempo", "dim_zona"):
-            t = layout.write_dimension_table(self.spark, getattr(self.gold, name), name)
+            t = layout.write_dimension_table(self.spark, getattr(self, f"gold_{name}"), name)
             layout.analyze(self.spark, t)
             out[name] = self.spark.table(t)
         return out
