@@ -108,3 +108,31 @@ def test_null_detour_count_matches_fixture(warehouse):
     # FIXTURES.md §3.2: same-zone trips and trips touching the zone without centroid
     assert warehouse.silver.filter(F.col("factor_rodeo").isNull()).count() == 753
     assert warehouse.silver.filter(F.col("distancia_km").isNull()).count() == 63
+
+
+def test_quality_report_both_ways_agree(warehouse):
+    from viaduct.plans import reports
+
+    sf = warehouse.silver_frames
+    a = sorted(tuple(r) for r in reports.quality_report(sf.tagged, sf.clean).collect())
+    b = sorted(tuple(r) for r in reports.quality_report(sf.tagged).collect())
+    assert a == b and len(a) == 6
+
+
+def test_zone_dimension_without_geometry_or_roads(spark, warehouse):
+    from viaduct.operators import zones
+
+    d = zones.dim_zona(zones.zone_geometry(warehouse.zone_lookup, None), None)
+    r = d.agg(F.count("*").alias("n"), F.count("lat").alias("lat"), F.count("long_via_km").alias("km")).collect()[0]
+    assert (r.n, r.lat, r.km) == (25, 0, 0)
+    assert [x.sk_zona for x in d.collect()] == list(range(1, 26))
+
+
+def test_compaction_keeps_rows_and_sorts(spark, warehouse, tmp_dir):
+    import os
+
+    from viaduct.plans import layout
+
+    fact = warehouse.gold_fact
+    out = layout.compact(spark, fact, os.path.join(tmp_dir, "c"), ["sk_tiempo", "sk_zona_origen"])
+    assert out.exceptAll(fact).count() == 0 and fact.exceptAll(out).count() == 0

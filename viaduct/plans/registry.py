@@ -110,7 +110,8 @@ def accepted_dedup(spark, sf_dir):
 
 
 def quality_report(spark, sf_dir):
-    return reports.quality_report(_w(spark, sf_dir).silver_frames.tagged)
+    sf = _w(spark, sf_dir).silver_frames
+    return reports.quality_report(sf.tagged, sf.clean)
 
 
 def corridor_stats(spark, sf_dir):

@@ -29,18 +29,32 @@ def ingest_report(source: DataFrame, documents: DataFrame, file_col: str = "fich
     )
 
 
-def quality_report(tagged: DataFrame, key: str = "hash_registro") -> DataFrame:
+def quality_report(tagged: DataFrame, clean: DataFrame | None = None, key: str = "hash_registro") -> DataFrame:
     """Rejections per rule, in descending order, with the run totals.
 
-    One aggregation by (rule, hash) (copies combine map-side) and a second one
-    by rule give, per rule, the rows and the distinct hashes; the totals are
-    window sums over those few rule rows. Duplicates removed from the
-    accepted rows are reported apart, not counted as rejected.
+    Per-rule row counts are one map-side aggregate over the tagged rows (a
+    shuffle of a few rows per task). The number of distinct accepted records
+    is the row count of ``clean``, the already de-duplicated stage table, so
+    no second shuffle by hash is needed; without it the distinct count comes
+    from an aggregate by (rule, hash). Totals are window sums over the few
+    rule rows. Duplicates removed from the accepted rows are reported apart,
+    not counted as rejected.
     """
-    per_hash = tagged.groupBy(MOTIVO, key).agg(F.count(F.lit(1)).alias("_c"))
-    per_rule = per_hash.groupBy(MOTIVO).agg(
-        F.sum("_c").cast("long").alias("_rows"), F.count(F.lit(1)).cast("long").alias("_distinct")
-    )
+    if clean is None:
+        per_hash = tagged.groupBy(MOTIVO, key).agg(F.count(F.lit(1)).alias("_c"))
+        per_rule = per_hash.groupBy(MOTIVO).agg(
+            F.sum("_c").cast("long").alias("_rows"), F.count(F.lit(1)).cast("long").alias("_distinct")
+        )
+    else:
+        rows = tagged.groupBy(MOTIVO).agg(F.count(F.lit(1)).cast("long").alias("_rows")).withColumn(
+            "_distinct", F.lit(None).cast("long")
+        )
+        distinct = clean.agg(F.count(F.lit(1)).cast("long").alias("_distinct")).select(
+            F.lit(None).cast("string").alias(MOTIVO), F.lit(None).cast("long").alias("_rows"), "_distinct"
+        )
+        per_rule = rows.unionByName(distinct).groupBy(MOTIVO).agg(
+            F.sum("_rows").alias("_rows"), F.max("_distinct").alias("_distinct")
+        )
     everything = Window.partitionBy()
     acc = F.col(MOTIVO).isNull()
     totals = per_rule.select(
