@@ -9,16 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import QueryParams
 
 
-def _avg(c: str) -> Column:
-    """Exact decimal mean, rounded once HALF_UP to six places, as a double.
+def _avg(df: DataFrame, c: str) -> Column:
+    """Exact decimal mean of ``df[c]``, rounded once HALF_UP to six places, as a double.
 
-    ``sum / count`` in decimal arithmetic keeps 20+ places before the single
-    rounding; ``avg`` would round to scale + 4 first and then again to six.
+    For a scale-2 decimal, ``avg`` already returns exactly that (its result
+    scale is s + 4 = 6) on Spark's fast aggregate path. For larger scales
+    ``avg`` would round at s + 4 and then again at six, so the mean is formed
+    as ``sum / count`` in decimal arithmetic (20+ places) and rounded once.
     """
+    dtype = df.schema[c].dataType
+    if isinstance(dtype, T.DecimalType) and dtype.scale + 4 == 6:
+        return F.avg(F.col(c)).cast("double")
     return F.round(F.try_divide(F.sum(F.col(c)), F.count(F.col(c))), 6).cast("double")
 
 
@@ -29,9 +35,9 @@ def q1_monthly_overview(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
         .groupBy("anio", "mes")
         .agg(
             F.count(F.lit(1)).alias("n_servicios"),
-            _avg("duracion_min").alias("duracion_media"),
-            _avg("velocidad_kmh").alias("velocidad_media"),
-            _avg("desviacion_eta_pct").alias("desviacion_media_eta"),
+            _avg(fact, "duracion_min").alias("duracion_media"),
+            _avg(fact, "velocidad_kmh").alias("velocidad_media"),
+            _avg(fact, "desviacion_eta_pct").alias("desviacion_media_eta"),
         )
         .orderBy("anio", "mes")
     )
@@ -48,8 +54,8 @@ def q2_unreliable_corridors(
         .groupBy("origen", "destino", "franja_horaria")
         .agg(
             F.count(F.lit(1)).alias("n_servicios"),
-            _avg("eta_referencia_min").alias("eta_mediana"),
-            _avg("fiabilidad_corredor").alias("fiabilidad"),
+            _avg(fact, "eta_referencia_min").alias("eta_mediana"),
+            _avg(fact, "fiabilidad_corredor").alias("fiabilidad"),
         )
         .filter(F.col("n_servicios") > params.q2_min_servicios)
         .orderBy(F.col("fiabilidad").desc_nulls_last(), "origen", "destino", "franja_horaria")
@@ -63,9 +69,9 @@ def q3_band_degradation(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
         fact.join(t, "sk_tiempo")
         .groupBy("nombre_dia", "franja_horaria")
         .agg(
-            _avg("duracion_min").alias("duracion_media"),
-            _avg("desviacion_eta_pct").alias("desviacion_media"),
-            _avg("velocidad_kmh").alias("velocidad_media"),
+            _avg(fact, "duracion_min").alias("duracion_media"),
+            _avg(fact, "desviacion_eta_pct").alias("desviacion_media"),
+            _avg(fact, "velocidad_kmh").alias("velocidad_media"),
         )
         .orderBy("nombre_dia", "franja_horaria")
     )
@@ -81,8 +87,8 @@ def q4_route_efficiency(
         .groupBy("distrito", "nombre_zona")
         .agg(
             F.count(F.lit(1)).alias("n_servicios"),
-            _avg("factor_rodeo").alias("rodeo_medio"),
-            _avg("distancia_km").alias("distancia_media"),
+            _avg(fact, "factor_rodeo").alias("rodeo_medio"),
+            _avg(fact, "distancia_km").alias("distancia_media"),
         )
         .filter(F.col("n_servicios") > params.q4_min_servicios)
         .orderBy(F.col("rodeo_medio").desc_nulls_last(), "distrito", "nombre_zona")
@@ -109,6 +115,6 @@ def q5_date_range(
         .join(t, "sk_tiempo")
         .join(zo, "sk_zona_origen")
         .groupBy("distrito")
-        .agg(F.count(F.lit(1)).alias("n_servicios"), _avg("duracion_min").alias("duracion_media"))
+        .agg(F.count(F.lit(1)).alias("n_servicios"), _avg(fact, "duracion_min").alias("duracion_media"))
         .orderBy(F.col("n_servicios").desc(), "distrito")
     )
