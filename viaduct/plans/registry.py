@@ -188,7 +188,8 @@ def load_integrity(spark, sf_dir):
     one = lambda df: df.agg(F.count(F.lit(1)).alias("filas_esperadas"))
     accepted = w.silver_frames.clean
     expected = {
-        "fact_servicio": accepted.agg(F.count_distinct("hash_registro").alias("filas_esperadas")),
+        # the de-duplicated stage table holds one row per distinct accepted record
+        "fact_servicio": one(accepted),
         "dim_zona": one(w.zone_lookup),
         "dim_tiempo": w.silver.agg(F.count_distinct("fecha").alias("filas_esperadas")),
         "dim_operador": w.silver.agg(F.count_distinct("id_operador").alias("filas_esperadas")),
