@@ -30,15 +30,17 @@ class GoldFrames:
 
 
 def fact_with_keys(silver: DataFrame, dim_tiempo: DataFrame, dim_operador: DataFrame, prefix_chars: int = 4) -> DataFrame:
-    """Silver trips with date / operator surrogate keys and a dense trip key.
+    """Silver trips with a dense trip key and date / operator surrogate keys.
 
-    Both dimensions are broadcast after their row count is verified (dates
-    are bounded by the calendar, operators by the vendor list).
+    The trips are numbered first, so the bucket-count pass of the dense key
+    reads only the hash column; then both dimensions are broadcast after
+    their row count is verified (dates are bounded by the calendar,
+    operators by the vendor list).
     """
+    numbered = dense_hash_key(silver, "hash_registro", "sk_servicio", prefix_chars)
     t = broadcast_checked(dim_tiempo.select("fecha", "sk_tiempo"))
     o = broadcast_checked(dim_operador.select("id_operador", "sk_operador"))
-    keyed = silver.join(t, "fecha", "left").join(o, "id_operador", "left")
-    return dense_hash_key(keyed, "hash_registro", "sk_servicio", prefix_chars)
+    return numbered.join(t, "fecha", "left").join(o, "id_operador", "left")
 
 
 def build_gold(silver: DataFrame, dim_zona: DataFrame, prefix_chars: int = 4) -> GoldFrames:

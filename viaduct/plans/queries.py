@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import QueryParams
 
@@ -17,14 +16,12 @@ from ..config import QueryParams
 def _avg(df: DataFrame, c: str) -> Column:
     """Exact decimal mean of ``df[c]``, rounded once HALF_UP to six places, as a double.
 
-    For a scale-2 decimal, ``avg`` already returns exactly that (its result
-    scale is s + 4 = 6) on Spark's fast aggregate path. For larger scales
-    ``avg`` would round at s + 4 and then again at six, so the mean is formed
-    as ``sum / count`` in decimal arithmetic (20+ places) and rounded once.
+    Formed as ``sum / count`` in decimal arithmetic (20+ places kept before
+    the single rounding). ``avg`` is not used: for small decimals Spark
+    rewrites it to a double average of the unscaled values, which is fast but
+    loses exactness once the sum passes 2^53, and for scales above 2 it
+    rounds twice.
     """
-    dtype = df.schema[c].dataType
-    if isinstance(dtype, T.DecimalType) and dtype.scale + 4 == 6:
-        return F.avg(F.col(c)).cast("double")
     return F.round(F.try_divide(F.sum(F.col(c)), F.count(F.col(c))), 6).cast("double")
 
 
