@@ -141,8 +141,16 @@ class Warehouse:
 
     @cached_property
     def fact_keyed(self) -> DataFrame:
-        return gold_plan.fact_with_keys(self.silver, self.gold_dim_tiempo, self.gold_dim_operador,
-                                        self.cfg.key_prefix_hex)
+        """Keyed trips before the cast to the gold schema, as a stage table.
+
+        Both the conformed fact and the conformance report read it, so the
+        dense-key shuffles run once.
+        """
+        return self._write(
+            gold_plan.fact_with_keys(self.silver, self.gold_dim_tiempo, self.gold_dim_operador,
+                                     self.cfg.key_prefix_hex),
+            "fact_keyed",
+        )
 
     @cached_property
     def gold_fact(self) -> DataFrame:
