@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import types as T
 
 import __spark_entry__ as E
 import oracle_sql
@@ -42,6 +43,8 @@ def oracle():
 
 
 NAMES = sorted(oracle_sql.ORACLE)
+DUCK_TYPES = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.ShortType: "SMALLINT", T.DoubleType: "DOUBLE",
+              T.StringType: "VARCHAR", T.BooleanType: "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -51,6 +54,8 @@ def test_query_matches_oracle(spark, duck, oracle, name):
     got = df.collect()
     rel = duck.sql(oracle[name])
     assert sorted(cols) == sorted(rel.columns)
+    spark_types = {f.name: DUCK_TYPES.get(type(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
     want = rel.fetchall()
     assert len(got) == len(want)
     assert _rows(got, sorted(range(len(cols)), key=lambda i: cols[i])) == _rows(
