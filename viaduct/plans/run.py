@@ -17,7 +17,7 @@ import json
 import os
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config, schemas
@@ -104,12 +104,12 @@ def run_silver(spark: SparkSession, out: str, cfg: PipelineConfig = PipelineConf
     geometry = spark.read.parquet(p["dim_zona"]).select("id_zona", "sk_zona", "nombre_zona", "distrito",
                                                        "zona_servicio", "lat", "lon")
     frames = silver_plan.build_silver(docs, geometry, cfg.thresholds, materialize=_table_writer(spark))
-    silver_obs_df, silver_obs = silver_plan.quality_observation(frames.silver, "silver")
-    silver_plan.write_silver(silver_obs_df, p["silver"])
+    silver_obs = Observation("silver")
+    silver_plan.write_silver(frames.silver.observe(silver_obs, F.count(F.lit(1)).alias("filas")), p["silver"])
     tagged, obs = silver_plan.quality_observation(frames.tagged)
     silver_plan.write_quarantine(tagged.filter(F.col("motivo_rechazo").isNotNull()), p["cuarentena"])
     seconds = time.time() - t0
-    accepted = int(silver_obs.get["registros_entrada"])
+    accepted = int(silver_obs.get["filas"])
     report = json.loads(reports.quality_report_json(obs.get, accepted, cfg.thresholds.as_dict(), seconds))
     _write_json(p["evidencias"], "informe_calidad_silver.json", report)
     return report
