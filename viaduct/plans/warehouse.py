@@ -154,7 +154,12 @@ class Warehouse:
 
     @cached_property
     def gold_fact(self) -> DataFrame:
-        return self._write(conform(self.fact_keyed, schemas.FACT_SERVICIO), "fact_servicio")
+        """The conformed fact: a cast projection over the keyed stage table.
+
+        Reads prune to the gold columns; the layouts write their own copies,
+        and ``plans.run`` writes the gold table itself.
+        """
+        return conform(self.fact_keyed, schemas.FACT_SERVICIO)
 
     @property
     def gold(self) -> gold_plan.GoldFrames:
