@@ -42,6 +42,10 @@ def test_bronze_store_export_and_both_read_paths_agree(spark, warehouse, tmp_dir
     bronze.write_documents(docs, store)  # full refresh: overwrite, no duplicates
     stored = bronze.read_documents(spark, store)
     assert stored.count() == docs.count()
+    appended = os.path.join(tmp_dir, "bronze_append")
+    bronze.write_documents(docs, appended, full_refresh=False)
+    bronze.write_documents(docs, appended, full_refresh=False)
+    assert bronze.read_documents(spark, appended).count() == 2 * docs.count()
     bronze.write_export(bronze.export_flat(stored), export, rows_per_file=2000)
     assert len(glob.glob(os.path.join(export, "*.parquet"))) >= 3
     a = flatten_documents(stored)
