@@ -21,7 +21,6 @@ MIN_VELOCIDAD_KMH = 1.0
 MILLA_A_KM = 1.609344
 RADIO_TIERRA_KM = 6371.0
 VERSION_ESQUEMA = 1
-SHUFFLE_PARTITIONS = 64
 TIPO_SERVICIO = "yellow"
 
 # Quality rule codes, in evaluation order (first broken rule wins).

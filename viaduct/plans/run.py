@@ -180,8 +180,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
     ap.add_argument("--sample", type=int, default=None, help="first N rows of each file")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial shuffle partitions (default: the cluster's setting)")
     a = ap.parse_args(argv)
-    spark = build_session(a.master)
+    spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
     if a.stage in ("bronze", "all"):
         print(json.dumps(run_bronze(spark, a.raw, a.out, sample=a.sample), default=str))
     if a.stage in ("zones", "all"):

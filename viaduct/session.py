@@ -7,7 +7,6 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-from . import config
 
 # Settings every job of the pipeline expects. UTC matters for correctness:
 # trip timestamps are wall-clock values and hour/date are taken in UTC.
@@ -19,7 +18,6 @@ PIPELINE_CONF = {
     # AQE turns a sort-merge join into a broadcast only after it has measured
     # the small side at run time; beyond this size the shuffle join stays.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.parquet.aggregatePushdown": "false",
 }
 
 
@@ -29,13 +27,19 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the pipeline's settings."""
+    """Create (or reuse) a session with the pipeline's settings.
+
+    ``shuffle_partitions`` is only set when given: on a cluster the job's
+    configuration sizes it to the data (AQE then coalesces small partitions
+    but never splits a large one, so it must start high enough).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(PIPELINE_CONF)
     conf["spark.ui.enabled"] = "false"
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or config.SHUFFLE_PARTITIONS)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
