@@ -25,14 +25,18 @@ def test_scan_monthly_files_with_differing_types(spark, warehouse, tmp_dir):
     )
     paths = bronze.trip_file_paths(tmp_dir)
     assert [os.path.basename(p) for p in paths] == ["yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-02.parquet"]
+    # a third month with the first month's layout joins its scan
+    a.write.parquet(os.path.join(tmp_dir, "yellow_tripdata_2023-03.parquet"))
+    paths = bronze.trip_file_paths(tmp_dir)
     df = bronze.scan_trip_files(spark, paths, row_index_col="_fila")
     assert df.schema["passenger_count"].dataType == schemas.TRIP_SOURCE["passenger_count"].dataType
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
     counts = {r[0]: r[1] for r in df.groupBy("fichero_origen").count().collect()}
-    assert sum(counts.values()) == 500
+    assert sum(counts.values()) == 800
     # per-file sample by file row index: a filter, no shuffle
     sample = first_rows_per_file(df, 10, "_fila")
     assert "Exchange" not in sample._jdf.queryExecution().executedPlan().toString()
-    assert sum(r[1] for r in sample.groupBy("fichero_origen").count().collect()) <= 20
+    assert sum(r[1] for r in sample.groupBy("fichero_origen").count().collect()) <= 30
 
 
 def test_bronze_store_export_and_both_read_paths_agree(spark, warehouse, tmp_dir):

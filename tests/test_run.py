@@ -27,6 +27,7 @@ def test_full_cycle_over_monthly_files(spark, warehouse, tmp_dir):
 
     ing = run.run_bronze(spark, raw, out)
     assert [x["coincide"] for x in ing["ficheros"]] == [True, True, True]
+    assert [x["fichero"] for x in ing["ficheros"]] == [f"yellow_tripdata_{m}.parquet" for m in ("2023-01", "2023-02", "2023-03")]
     assert ing["documentos_finales"] == trips.count()
 
     run.build_zone_dimension(spark, zones_csv, out)

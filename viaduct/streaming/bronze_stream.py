@@ -50,7 +50,7 @@ def start_bronze_stream(
         .option("pathGlobFilter", f"{service}_tripdata_*.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
         .parquet(raw_dir)
-        .select("*", F.col("_metadata.file_name").alias("fichero_origen"))
+        .select("*", bronze.source_name().alias("fichero_origen"))
     )
     docs = bronze.to_documents(trips)
     writer = (
