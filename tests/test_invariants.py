@@ -136,3 +136,14 @@ def test_compaction_keeps_rows_and_sorts(spark, warehouse, tmp_dir):
     fact = warehouse.gold_fact
     out = layout.compact(spark, fact, os.path.join(tmp_dir, "c"), ["sk_tiempo", "sk_zona_origen"])
     assert out.exceptAll(fact).count() == 0 and fact.exceptAll(out).count() == 0
+
+
+def test_reference_queries_agree_on_both_layouts(warehouse):
+    from viaduct.plans import layout
+    from viaduct.plans.registry import reference_queries
+
+    qs = reference_queries(warehouse, warehouse.dimension_tables)
+    for name, build in qs.items():
+        a = [tuple(r) for r in build(warehouse.layouts[layout.OPTIMISED]).collect()]
+        b = [tuple(r) for r in build(warehouse.layouts[layout.CONTROL]).collect()]
+        assert a == b and a, name  # same rows in the same order
