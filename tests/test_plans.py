@@ -47,3 +47,13 @@ def test_reference_queries_prune_and_push_down(warehouse):
     assert "GreaterThanOrEqual(sk_tiempo," in q5 and "LessThanOrEqual(sk_tiempo," in q5
     q1 = _plan(Q.q1_monthly_overview(lay, g["dim_tiempo"]))
     assert "BroadcastHashJoin" in q1 and "SortMergeJoin" not in q1
+
+
+def test_broadcast_check_bounds_rows_and_bytes(spark):
+    from viaduct.operators.joins import broadcast_checked
+
+    small = spark.range(100).withColumn("s", F.lit("x"))
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(broadcast_checked(small))
+    assert not hinted(broadcast_checked(small, max_rows=50))
+    assert not hinted(broadcast_checked(small, max_bytes=1000))

@@ -4,17 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows above which a dimension-like side is not broadcast.
+# Bounds above which a dimension-like side is not broadcast.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def broadcast_checked(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only if it really holds at most ``max_rows`` rows.
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row (strings counted at 32 bytes, nested types at 64)."""
+    width = 0
+    for f in schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.BooleanType, T.ByteType)):
+            width += 1
+        elif isinstance(t, (T.ShortType,)):
+            width += 2
+        elif isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            width += 4
+        elif isinstance(t, T.DecimalType):
+            width += 8 if t.precision <= 18 else 16
+        elif isinstance(t, (T.StringType, T.BinaryType)):
+            width += 32
+        elif isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
+            width += 64
+        else:
+            width += 8
+    return width + 8
 
-    The count runs on the (small, ideally materialised) side; beyond the bound
-    the frame is returned unhinted and the planner falls back to a shuffle
-    join (with AQE skew handling).
+
+def broadcast_checked(
+    small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast ``small`` only if its row count and estimated size are within bounds.
+
+    The count runs on the (small, ideally materialised) side and stops at the
+    row bound; beyond either bound the frame is returned unhinted and the
+    planner falls back to a shuffle join (with AQE skew handling).
     """
     n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    return F.broadcast(small) if n <= max_rows and n * row_width(small.schema) <= max_bytes else small
