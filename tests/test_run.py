@@ -45,3 +45,23 @@ def test_full_cycle_over_monthly_files(spark, warehouse, tmp_dir):
     assert lay["equivalencia"]["equivalente"] and len(lay["latencia"]) == 5
     with open(os.path.join(out, "evidencias", "informe_calidad_silver.json")) as f:
         assert json.load(f)["registros_entrada"] == rep["registros_entrada"]
+
+
+def test_cli_zone_stage_with_centroids(spark, warehouse, tmp_dir):
+    from viaduct.sources import fixture
+
+    zones_csv = os.path.join(tmp_dir, "zones.csv")
+    cent_csv = os.path.join(tmp_dir, "centroids.csv")
+    with open(zones_csv, "w") as f:
+        f.write("LocationID,Borough,Zone,service_zone\n")
+        for r in warehouse.zone_lookup.collect():
+            f.write(f'{r.LocationID},"{r.Borough}","{r.Zone}","{r.service_zone}"\n')
+    with open(cent_csv, "w") as f:
+        f.write("LocationID,lat,lon\n")
+        for r in fixture.fixture_zone_centroids(spark, "/root/testdata/sf0.001").collect():
+            f.write(f"{r.LocationID},{r.lat!r},{r.lon!r}\n")
+    out = os.path.join(tmp_dir, "cli")
+    run.main(["zones", "--zones", zones_csv, "--centroids", cent_csv, "--out", out])
+    dim = spark.read.parquet(os.path.join(out, "dim_zona"))
+    r = dim.agg(F.count("*").alias("n"), F.count("lat").alias("lat")).collect()[0]
+    assert (r.n, r.lat) == (25, 24)

@@ -172,28 +172,56 @@ def run_layouts(spark: SparkSession, out: str, runs: int = 5, params=None) -> di
     return report
 
 
+def _read_table(spark: SparkSession, path: str | None) -> DataFrame | None:
+    """A small input table given as Parquet or CSV (with header)."""
+    if not path:
+        return None
+    if path.lower().endswith(".csv"):
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return spark.read.parquet(path)
+
+
 def main(argv: list[str] | None = None) -> None:
+    from datetime import date
+
+    from ..operators import roads
+
     ap = argparse.ArgumentParser(prog="viaduct")
     ap.add_argument("stage", choices=["bronze", "zones", "silver", "gold", "layouts", "all"])
     ap.add_argument("--raw", help="folder with {service}_tripdata_YYYY-MM.parquet files")
+    ap.add_argument("--service", default=config.TIPO_SERVICIO)
     ap.add_argument("--zones", help="zone lookup CSV")
+    ap.add_argument("--centroids", help="zone centroids (LocationID, lat, lon), Parquet or CSV")
+    ap.add_argument("--road-edges", help="road edges (id_zona, longitud_m)")
+    ap.add_argument("--road-nodes", help="road nodes (id_zona, id_nodo)")
+    ap.add_argument("--zone-areas", help="zone areas (id_zona, area)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
     ap.add_argument("--sample", type=int, default=None, help="first N rows of each file")
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial shuffle partitions (default: the cluster's setting)")
+    ap.add_argument("--q2-min", type=int, default=config.Q2_MIN_SERVICIOS)
+    ap.add_argument("--q4-min", type=int, default=config.Q4_MIN_SERVICIOS)
+    ap.add_argument("--q5-from", default=config.Q5_DESDE.isoformat())
+    ap.add_argument("--q5-to", default=config.Q5_HASTA.isoformat())
+    ap.add_argument("--runs", type=int, default=5)
     a = ap.parse_args(argv)
     spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
     if a.stage in ("bronze", "all"):
-        print(json.dumps(run_bronze(spark, a.raw, a.out, sample=a.sample), default=str))
+        print(json.dumps(run_bronze(spark, a.raw, a.out, service=a.service, sample=a.sample), default=str))
     if a.stage in ("zones", "all"):
-        print(build_zone_dimension(spark, a.zones, a.out))
+        road = None
+        edges, nodes = _read_table(spark, a.road_edges), _read_table(spark, a.road_nodes)
+        if edges is not None and nodes is not None:
+            road = roads.road_stats(edges, nodes, _read_table(spark, a.zone_areas))
+        print(build_zone_dimension(spark, a.zones, a.out, _read_table(spark, a.centroids), road))
     if a.stage in ("silver", "all"):
         print(json.dumps(run_silver(spark, a.out)))
     if a.stage in ("gold", "all"):
         print(json.dumps(run_gold(spark, a.out)))
     if a.stage in ("layouts", "all"):
-        print(json.dumps(run_layouts(spark, a.out), default=str))
+        params = Q.QueryParams(a.q2_min, a.q4_min, date.fromisoformat(a.q5_from), date.fromisoformat(a.q5_to))
+        print(json.dumps(run_layouts(spark, a.out, runs=a.runs, params=params), default=str))
 
 
 if __name__ == "__main__":
