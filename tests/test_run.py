@@ -59,7 +59,8 @@ def test_cli_zone_stage_with_centroids(spark, warehouse, tmp_dir):
     with open(cent_csv, "w") as f:
         f.write("LocationID,lat,lon\n")
         for r in fixture.fixture_zone_centroids(spark, "/root/testdata/sf0.001").collect():
-            f.write(f"{r.LocationID},{r.lat!r},{r.lon!r}\n")
+            if r.lat is not None:
+                f.write(f"{r.LocationID},{r.lat!r},{r.lon!r}\n")
     out = os.path.join(tmp_dir, "cli")
     run.main(["zones", "--zones", zones_csv, "--centroids", cent_csv, "--out", out])
     dim = spark.read.parquet(os.path.join(out, "dim_zona"))

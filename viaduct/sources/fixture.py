@@ -10,7 +10,8 @@ size grows with the scale factor (see FIXTURES.md §3):
   origin on fixed residues inject the NULL rules;
 * rows of every 50th order appear a second time in source file ``f2``, so
   de-duplication by content hash has work to do;
-* zones are nations, boroughs are regions; nation 24 has no centroid;
+* zones are nations, boroughs are regions; nation 24 has no centroid
+  (NULL coordinates);
 * the road network stand-in has one edge per line item and one node per
   distinct (zone, part).
 """
@@ -117,13 +118,14 @@ def fixture_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_zone_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone centroids (LocationID, lat, lon); one zone has no geometry."""
+    """Zone centroids (LocationID, lat, lon); one zone has no geometry (NULL)."""
     nation = read_table(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
-    return nation.filter(k != ZONE_WITHOUT_CENTROID).select(
+    has_geometry = k != ZONE_WITHOUT_CENTROID
+    return nation.select(
         k.cast("int").alias("LocationID"),
-        (F.lit(40.5) + k * F.lit(0.017)).cast("double").alias("lat"),
-        (F.lit(-74.2) + ((k * 7) % 25) * F.lit(0.02)).cast("double").alias("lon"),
+        F.when(has_geometry, F.lit(40.5) + k * F.lit(0.017)).cast("double").alias("lat"),
+        F.when(has_geometry, F.lit(-74.2) + ((k * 7) % 25) * F.lit(0.02)).cast("double").alias("lon"),
     )
 
 
