@@ -184,10 +184,11 @@ class Warehouse:
 
     @cached_property
     def dimension_tables(self) -> dict[str, DataFrame]:
+        """Date and zone dimensions as catalog tables (their file size is all the
+        planner needs to broadcast them; only the fact layouts are analysed)."""
         out = {}
         for name in ("dim_tiempo", "dim_zona"):
             t = layout.write_dimension_table(self.spark, getattr(self, f"gold_{name}"), name)
-            layout.analyze(self.spark, t)
             out[name] = self.spark.table(t)
         return out
 
