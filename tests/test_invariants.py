@@ -147,3 +147,14 @@ def test_reference_queries_agree_on_both_layouts(warehouse):
         a = [tuple(r) for r in build(warehouse.layouts[layout.OPTIMISED]).collect()]
         b = [tuple(r) for r in build(warehouse.layouts[layout.CONTROL]).collect()]
         assert a == b and a, name  # same rows in the same order
+
+
+def test_layout_guard_finds_a_changed_row(spark, warehouse):
+    from viaduct.plans import layout
+
+    opt = warehouse.layouts[layout.OPTIMISED]
+    changed = opt.withColumn("n_pasajeros", F.when(F.col("sk_servicio") == 7, F.lit(99).cast("short")).otherwise(F.col("n_pasajeros")))
+    r = layout.layout_equivalence(opt, changed).collect()[0]
+    assert (r.n_optimizada, r.n_control, r.solo_optimizada, r.solo_control, r.equivalente) == (4244, 4244, 1, 1, False)
+    e = layout.layout_equivalence(opt, warehouse.layouts[layout.CONTROL], exact=True).collect()[0]
+    assert e.equivalente and e.solo_optimizada == 0
