@@ -29,6 +29,7 @@ def test_full_cycle_over_monthly_files(spark, warehouse, tmp_dir):
     assert [x["coincide"] for x in ing["ficheros"]] == [True, True, True]
     assert [x["fichero"] for x in ing["ficheros"]] == [f"yellow_tripdata_{m}.parquet" for m in ("2023-01", "2023-02", "2023-03")]
     assert ing["documentos_finales"] == trips.count()
+    assert all(x["bytes"] > 0 for x in ing["ficheros"])
 
     run.build_zone_dimension(spark, zones_csv, out)
     rep = run.run_silver(spark, out)

@@ -11,9 +11,17 @@ from .. import schemas
 from ..operators.quality import MOTIVO
 
 
-def ingest_report(source: DataFrame, documents: DataFrame, file_col: str = "fichero_origen") -> DataFrame:
-    """Per source file: rows read, documents stored, and whether they agree."""
-    src = source.groupBy(F.col(file_col).alias("fichero")).agg(F.count(F.lit(1)).alias("registros_origen"))
+def ingest_report(
+    source: DataFrame, documents: DataFrame, file_col: str = "fichero_origen", size_col: str | None = None
+) -> DataFrame:
+    """Per source file: rows read, documents stored, and whether they agree.
+
+    With ``size_col`` the file size comes from the same aggregation.
+    """
+    extra = [F.max(size_col).alias("bytes")] if size_col else []
+    src = source.groupBy(F.col(file_col).alias("fichero")).agg(
+        F.count(F.lit(1)).alias("registros_origen"), *extra
+    )
     ins = documents.groupBy(F.col("_ingesta.fichero_origen").alias("fichero")).agg(
         F.count(F.lit(1)).alias("registros_insertados")
     )
@@ -23,6 +31,7 @@ def ingest_report(source: DataFrame, documents: DataFrame, file_col: str = "fich
             "fichero",
             F.coalesce("registros_origen", F.lit(0)).alias("registros_origen"),
             F.coalesce("registros_insertados", F.lit(0)).alias("registros_insertados"),
+            *(["bytes"] if size_col else []),
         )
         .withColumn("coincide", F.col("registros_origen") == F.col("registros_insertados"))
         .orderBy("fichero")

@@ -53,22 +53,15 @@ def run_bronze(spark: SparkSession, raw_dir: str, out: str, service: str = confi
     p = _paths(out)
     files = bronze.trip_file_paths(raw_dir, service)
     t0 = time.time()
-    trips = bronze.scan_trip_files(spark, files, row_index_col="_fila")
+    trips = bronze.scan_trip_files(spark, files, row_index_col="_fila", size_col="_bytes")
     trips = first_rows_per_file(trips, sample, "_fila").drop("_fila")
-    bronze.write_documents(bronze.to_documents(trips), p["bronze"])
+    bronze.write_documents(bronze.to_documents(trips, extra_exclude=["_bytes"]), p["bronze"])
     seconds = time.time() - t0
     stored = bronze.read_documents(spark, p["bronze"])
-    per_file = reports.ingest_report(trips, stored).collect()
-    sizes = {
-        r["fichero"]: r["bytes"]
-        for r in spark.read.parquet(*files)
-        .select(F.col("_metadata.file_name").alias("fichero"), F.col("_metadata.file_size").alias("bytes"))
-        .distinct()
-        .collect()
-    }
+    per_file = reports.ingest_report(trips, stored, size_col="_bytes").collect()
     inserted = sum(r["registros_insertados"] for r in per_file)
     report = {
-        "ficheros": [dict(r.asDict(), bytes=sizes.get(r["fichero"])) for r in per_file],
+        "ficheros": [r.asDict() for r in per_file],
         "segundos_totales": round(seconds, 1),
         "documentos_finales": inserted,
         "registros_por_segundo": round(inserted / seconds, 1) if seconds else None,
