@@ -6,6 +6,11 @@ documents with lineage and content hash), run as a file stream: every new
 ingested exactly once, tracked by the stream's checkpoint, and appended to
 the document store. ``availableNow`` processes what is there and stops, so
 the job can be scheduled like a batch job.
+
+Every file is read with one schema (by default the first file's); Parquet
+allows widening on read (int to long or double) but not narrowing, so for
+sources whose monthly files disagree in other ways use the batch scan
+(``sources.bronze.scan_trip_files``), which groups files by their own schema.
 """
 
 from __future__ import annotations
