@@ -45,9 +45,10 @@ def attach_corridor_kpis(df: DataFrame, corridors: DataFrame, broadcast: bool |
     """Join corridor KPIs back to each trip and add its ETA deviation.
 
     The corridor table has at most zones² × 10 rows. With ``"checked"`` it is
-    broadcast after its row count is verified (materialise it first), so the
-    trip side is never shuffled for this join; otherwise the planner picks a
-    shuffle join and AQE splits a skewed corridor.
+    broadcast after its row count and estimated size are verified (materialise
+    it first), so the trip side is never shuffled for this join; beyond the
+    bounds, or with ``False``, the planner picks a shuffle join and AQE splits
+    a skewed corridor.
     """
     right = corridors
     if broadcast == "checked":
