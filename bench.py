@@ -89,6 +89,10 @@ def main() -> None:
         "rows_fact": n_fact,
         "silver_rows_per_sec": round(n_docs / stages["silver_pipeline"], 1),
         "bronze_rows_per_sec": round(n_docs / stages["bronze_ingest"], 1),
+        "gold_fact_rows_per_sec": round(n_fact / stages["gold_build"], 1),
+        "layout_ratio_control_over_optimised": {
+            n.lower(): round(times[(n, layout.CONTROL)] / times[(n, layout.OPTIMISED)], 2) for n in qs
+        },
         "rejected_by_rule": {k: v for k, v in report.items() if k.startswith("R")},
         "cpus": cpus,
     }
