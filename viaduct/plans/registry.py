@@ -43,6 +43,20 @@ def for_compare(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+# Raw integer fields that may be NULL before the quality rules. Both engines
+# hold the same values, but a nullable integer column converts to pandas as
+# float64 in one and as a nullable Int32 in the other; comparison views
+# expose these fields as doubles in both.
+RAW_NULLABLE_INTS = (
+    "VendorID", "passenger_count", "PULocationID", "DOLocationID",
+    "id_operador", "n_pasajeros", "id_zona_origen", "id_zona_destino",
+)
+
+
+def raw_ints_as_double(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in RAW_NULLABLE_INTS if c in df.columns})
+
+
 def _w(spark: SparkSession, sf_dir: str) -> Warehouse:
     return warehouse_for(spark, sf_dir)
 
@@ -57,18 +71,20 @@ METRIC_COLUMNS = ["distancia_km", "duracion_min", "velocidad_kmh"]
 # -- bronze -----------------------------------------------------------------
 def bronze_documents(spark, sf_dir):
     docs = _w(spark, sf_dir).documents
-    return docs.select(
-        "payload.*",
-        F.col("_ingesta.fichero_origen").alias("fichero_origen"),
-        F.col("_ingesta.hash_registro").alias("hash_registro"),
-        F.col("_ingesta.version_esquema").alias("version_esquema"),
+    return raw_ints_as_double(
+        docs.select(
+            "payload.*",
+            F.col("_ingesta.fichero_origen").alias("fichero_origen"),
+            F.col("_ingesta.hash_registro").alias("hash_registro"),
+            F.col("_ingesta.version_esquema").alias("version_esquema"),
+        )
     )
 
 
 def bronze_export_roundtrip(spark, sf_dir):
     docs = _w(spark, sf_dir).documents
     rebuilt = bronze.nest_export(bronze.export_flat(docs))
-    return for_compare(flatten_documents(rebuilt))
+    return raw_ints_as_double(for_compare(flatten_documents(rebuilt)))
 
 
 def bronze_sample_per_file(spark, sf_dir):
@@ -101,7 +117,7 @@ def quality_flags(spark, sf_dir):
 
 
 def quarantine(spark, sf_dir):
-    return for_compare(_w(spark, sf_dir).silver_frames.quarantine)
+    return raw_ints_as_double(for_compare(_w(spark, sf_dir).silver_frames.quarantine))
 
 
 def accepted_dedup(spark, sf_dir):
