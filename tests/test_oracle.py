@@ -17,7 +17,7 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 
 def _norm(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 9)
+        return None if math.isnan(v) else v
     return v
 
 
