@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing
+from . import exact_dedup, jaccard_join, mixing, packing
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_ngram_jaccard_join": jaccard_join.op4_ngram_jaccard_join,
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
 }
