@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 from ..sources.tables import read_table
@@ -33,7 +34,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path."""
     context = df.sparkSession.sparkContext
     if not any(f.startswith("viaduct-workers") for f in context._python_includes):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, mixing, packing
+from . import exact_dedup, jaccard_join, licenses, mixing, packing, quality
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_ngram_jaccard_join": jaccard_join.op4_ngram_jaccard_join,
+    "op5_quality_classifier": quality.op5_quality_classifier,
+    "op6_license_scan": licenses.op6_license_scan,
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
 }
