@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, licenses, mixing, packing, quality
+from . import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, quality
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_ngram_jaccard_join": jaccard_join.op4_ngram_jaccard_join,
     "op5_quality_classifier": quality.op5_quality_classifier,
     "op6_license_scan": licenses.op6_license_scan,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
 }
