@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, quality
+from . import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, pii, quality
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
+    "op10_pii_surrogates": pii.op10_pii_surrogates,
 }
 
 ORACLE = {
