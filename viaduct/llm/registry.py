@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, pii, quality, search
+from . import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, pii, quality, search, substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_topk_search": search.op2_topk_search,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_ngram_jaccard_join": jaccard_join.op4_ngram_jaccard_join,
