@@ -11,8 +11,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viaduct.llm import exact_dedup, mixing, packing
+from viaduct.llm import exact_dedup, jaccard_join, mixing, packing, quality
 from viaduct.llm.common import documents, staged
+from viaduct.sources.tables import read_table
+
+
+def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on ``docs`` and the labels, doesn't reject."""
+    return quality.accepted(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
 def stage_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +26,11 @@ def stage_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.unique_rows(docs)
 
 
+def stage_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies (five words, Jaccard 0.8)."""
+    return jaccard_join.one_of_each(docs)
+
+
 def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them."""
     return mixing.mixed_rows(docs)
@@ -31,7 +42,9 @@ def stage_pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality_classifier", stage_quality),
     ("exact_dedup", stage_exact),
+    ("ngram_jaccard_join", stage_near),
     ("mixing", stage_mix),
     ("packing", stage_pack),
 ]
