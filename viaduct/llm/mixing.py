@@ -132,8 +132,11 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mixed = mix(docs, id_col, text_col, keep=True, **how).where("taken > 0")
     copies = F.concat(F.array_repeat("size", F.col("epochs").cast("int")), F.when(F.col("part") > 0, F.array("part")).otherwise(F.array()))
     each = mixed.select("row", "size", F.explode(copies).alias("words"))
-    pattern = F.concat(F.lit(r"^[\x20\x09-\x0D]*(?:" + WORD + r"[\x20\x09-\x0D]+){"), F.col("words") - 1, F.lit("}" + WORD))
-    cut = F.when(F.col("words") >= F.col("size"), F.col(f"row.`{text_col}`")).otherwise(F.regexp_substr(F.col(f"row.`{text_col}`"), pattern))
+    text = F.col(f"row.`{text_col}`")
+    # Words with the white space before them, so that the part keeps the text's own spacing.
+    spaced = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
+    part = F.array_join(F.slice(spaced, F.lit(1), F.col("words").cast("int")), "")
+    cut = F.when(F.col("words") >= F.col("size"), text).otherwise(part)
     return each.select(*[(cut if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
