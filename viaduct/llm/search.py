@@ -175,7 +175,7 @@ def search_shard(shard: dict, block: QueryBlock, mean: float, best: Best) -> Non
     dense = np.zeros((len(frequent), width))
     which, d, value = postings(frequent)
     dense[which, d] = value
-    peaks = dense.reshape(len(frequent), -1, BLOCK_DOCS).max(axis=2)
+    peaks = dense.reshape(len(frequent), width // BLOCK_DOCS, BLOCK_DOCS).max(axis=2)
 
     for low in range(0, len(block.ids), BATCH):
         high = min(low + BATCH, len(block.ids))
@@ -188,7 +188,7 @@ def search_shard(shard: dict, block: QueryBlock, mean: float, best: Best) -> Non
         rest = ~is_frequent & (df[numbers] > 0)
         which, d, value = postings(numbers[rest])
         rare = np.bincount(query[rest][which] * width + d, value, (high - low) * width).reshape(high - low, width)
-        bounds = weight @ peaks + rare.reshape(high - low, -1, BLOCK_DOCS).max(axis=2)
+        bounds = weight @ peaks + rare.reshape(high - low, width // BLOCK_DOCS, BLOCK_DOCS).max(axis=2)
         for b in np.argsort(-bounds.sum(axis=0), kind="stable"):
             ask = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] * (1 + 1e-9) + 1e-6 >= best.floor(rows)))
             if len(ask):
