@@ -9,25 +9,41 @@ from pyspark.sql import types as T
 from viaduct.functions import hashing, metrics
 
 
+def _hash(spark, **values):
+    kinds = {int: "long", float: "double", str: "string", type(None): "string"}
+    df = spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {kinds[type(v)]}" for k, v in values.items()))
+    return df.select(hashing.content_hash([(f.name, F.col(f.name), f.dataType) for f in df.schema.fields]).alias("h")).first().h
+
+
 def test_hash_canonical_form(spark):
-    df = spark.createDataFrame([(2, None, 1.5, "x")], "b int, a string, c double, d string")
-    fields = [(f.name, F.col(f.name), f.dataType) for f in df.schema.fields]
-    got = df.select(hashing.content_hash(fields).alias("h")).collect()[0].h
-    text = "a=~|b=2|c=1.500000|d=x"
-    assert got == hashlib.sha256(text.encode()).hexdigest()[:32]
+    want = hashlib.sha256("a=1:2|b=3:1.5|z=2:hé".encode()).hexdigest()[:32]
+    assert _hash(spark, z="hé", a=2, b=1.5, n=None) == want
+
+
+def test_hash_text_is_unambiguous(spark):
+    assert _hash(spark, a="x|b=y", b="z") != _hash(spark, a="x", b="y|b=z")
+    assert _hash(spark, a="~") != _hash(spark, a=None) and _hash(spark, a="") != _hash(spark, a=None)
+    assert _hash(spark, a=2.0000001) != _hash(spark, a=2.0000002)
+    # a field that isn't there and a NULL one are the same: the hash depends on the record's own values
+    assert _hash(spark, a=1, b=None) == _hash(spark, a=1)
+
+
+def test_fractions_of_a_second_are_kept(spark):
+    df = spark.sql("SELECT explode(array('2023-01-01 10:00:00.1', '2023-01-01 10:00:00.9', '2023-01-01 10:00:00')) AS s")
+    got = [r.t for r in df.select(hashing.iso_text(F.col("s").cast("timestamp")).alias("t")).collect()]
+    assert got == ["2023-01-01T10:00:00.100000", "2023-01-01T10:00:00.900000", "2023-01-01T10:00:00"]
 
 
-def test_hash_distinguishes_nan_null_and_huge(spark):
-    df = spark.createDataFrame([(float("nan"),), (None,), (1e20,), (0.0,)], "x double")
-    t = df.select(hashing.value_text(F.col("x"), T.DoubleType()).alias("t")).collect()
-    assert [r.t for r in t] == ["NaN", None, "1.0E20", "0.000000"]
+def test_doubles_have_distinct_text(spark):
+    df = spark.createDataFrame([(float("nan"),), (1e300,), (-0.5,), (None,)], "x double")
+    assert [r.t for r in df.select(hashing.value_text(F.col("x"), T.DoubleType()).alias("t")).collect()] == ["NaN", "1.0E300", "-0.5", None]
 
 
 def test_struct_hash_uses_sorted_field_names(spark):
     df = spark.createDataFrame([((1, 2),)], "p struct<z:int,a:int>")
     st = df.schema["p"].dataType
     got = df.select(hashing.struct_hash("p", st).alias("h")).collect()[0].h
-    assert got == hashlib.sha256(b"a=2|z=1").hexdigest()[:32]
+    assert got == hashlib.sha256(b"a=1:2|z=1:1").hexdigest()[:32]
 
 
 def test_haversine_matches_python_and_clamps(spark):

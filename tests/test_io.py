@@ -4,43 +4,80 @@ import glob
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from viaduct import schemas
+from viaduct.operators import zones as zone_ops
+from viaduct.operators.conform import REASON, SchemaMismatch, conform
 from viaduct.operators.flatten import flatten_documents
-from viaduct.operators.sampling import first_rows_per_file
+from viaduct.operators.sampling import first_rows_per_source
 from viaduct.plans import gold as gold_plan
 from viaduct.plans import reports
 from viaduct.plans import silver as silver_plan
 from viaduct.sources import bronze, zones
 
 
+def _sources(df):
+    return {r[0]: r[1] for r in df.groupBy("fichero_origen").count().collect()}
+
+
 def test_scan_monthly_files_with_differing_types(spark, warehouse, tmp_dir):
     trips = warehouse.trips.drop("fichero_origen")
     a, b = trips.limit(300), trips.limit(200)
-    a.write.parquet(os.path.join(tmp_dir, "yellow_tripdata_2023-01.parquet"))
+    month = lambda m: os.path.join(tmp_dir, f"yellow_tripdata_2023-{m}.parquet")
+    a.write.parquet(month("01"))
     # the second month stores the passenger count as double (chunked export)
-    b.withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(
-        os.path.join(tmp_dir, "yellow_tripdata_2023-02.parquet")
-    )
-    paths = bronze.trip_file_paths(tmp_dir)
-    assert [os.path.basename(p) for p in paths] == ["yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-02.parquet"]
+    b.withColumn("passenger_count", F.col("passenger_count").cast("double")).write.parquet(month("02"))
     # a third month with the first month's layout joins its scan
-    a.write.parquet(os.path.join(tmp_dir, "yellow_tripdata_2023-03.parquet"))
-    paths = bronze.trip_file_paths(tmp_dir)
-    df = bronze.scan_trip_files(spark, paths, row_index_col="_fila")
-    assert df.schema["passenger_count"].dataType == schemas.TRIP_SOURCE["passenger_count"].dataType
+    a.write.parquet(month("03"))
+    paths = bronze.trip_file_paths(spark, tmp_dir)
+    assert {p.split("/")[-2] for p in paths} == {os.path.basename(month(m)) for m in ("01", "02", "03")}
+    df = bronze.scan_trip_files(spark, paths, row_index_col="_fila", path_col="_ruta")
+    # int and double have no common lossless type: the source's own text is stored
+    assert df.schema["passenger_count"].dataType.simpleString() == "string"
+    assert df.schema["trip_distance"].dataType == schemas.TRIP_SOURCE["trip_distance"].dataType
     assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
-    counts = {r[0]: r[1] for r in df.groupBy("fichero_origen").count().collect()}
-    assert sum(counts.values()) == 800
-    # per-file sample by file row index: a filter, no shuffle
-    sample = first_rows_per_file(df, 10, "_fila")
-    assert "Exchange" not in sample._jdf.queryExecution().executedPlan().toString()
-    assert sum(r[1] for r in sample.groupBy("fichero_origen").count().collect()) <= 30
+    assert _sources(df) == {os.path.basename(month(m)): n for m, n in (("01", 300), ("02", 200), ("03", 300))}
+    flat = flatten_documents(bronze.to_documents(df.drop("_fila", "_ruta")))
+    assert flat.filter(F.col("n_pasajeros").isNull()).count() == 0
+    assert bronze.trip_file_paths(spark, tmp_dir, "green") == []
+
+
+def test_sample_is_per_source_not_per_part_file(spark, tmp_dir):
+    spark.range(100).repartition(5).write.parquet(os.path.join(tmp_dir, "yellow_tripdata_2023-01.parquet"))
+    spark.range(7).coalesce(1).write.parquet(os.path.join(tmp_dir, "yellow_tripdata_2023-02.parquet"))
+    files = bronze.trip_file_paths(spark, tmp_dir)
+    assert len(files) >= 6
+    df = bronze.scan_trip_files(spark, files, row_index_col="_fila", path_col="_ruta")
+    assert sorted(_sources(first_rows_per_source(df, 30)).values()) == [7, 30]
+    assert sorted(_sources(first_rows_per_source(df, None)).values()) == [7, 100]
+
+
+def test_raw_values_are_stored_as_the_source_holds_them(spark, tmp_dir):
+    for m, rows, kind in (("01", [("4.2 mi", 1.7)], "string, passenger_count double"), ("02", [(3.5, 2.0)], "double, passenger_count double")):
+        spark.createDataFrame(rows, f"trip_distance {kind}").write.parquet(os.path.join(tmp_dir, f"yellow_tripdata_2023-{m}.parquet"))
+    docs = bronze.to_documents(bronze.scan_trip_files(spark, bronze.trip_file_paths(spark, tmp_dir)))
+    assert sorted((r.payload.trip_distance, r.payload.passenger_count) for r in docs.collect()) == [("3.5", "2.0"), ("4.2 mi", "1.7")]
+    flat = {r.fichero_origen[-10:-8]: r for r in flatten_documents(docs).collect()}
+    assert (flat["01"].distancia_millas, flat["01"].n_pasajeros) == (None, 1)
+    assert (flat["02"].distancia_millas, flat["02"].n_pasajeros) == (3.5, 2)
+
+
+def test_the_hash_does_not_depend_on_what_is_loaded_with_it(spark, tmp_dir):
+    one, two = (os.path.join(tmp_dir, f"yellow_tripdata_2023-0{i}.parquet") for i in (1, 2))
+    spark.createDataFrame([(1, 2.5, 3)], "VendorID int, trip_distance double, passenger_count int").write.parquet(one)
+    spark.createDataFrame([(1, "x", 2.0)], "VendorID long, nota string, passenger_count double").write.parquet(two)
+    files = bronze.trip_file_paths(spark, tmp_dir)
+    hashes = lambda paths: {r[0]: r[1] for r in bronze.to_documents(bronze.scan_trip_files(spark, paths)).select("_ingesta.fichero_origen", "_ingesta.hash_registro").collect()}
+    together = hashes(files)
+    for f in files:
+        alone = hashes([f])
+        assert alone.items() <= together.items()
 
 
 def test_bronze_store_export_and_both_read_paths_agree(spark, warehouse, tmp_dir):
-    docs = bronze.to_documents(warehouse.trips)
+    docs = bronze.to_documents(warehouse.trips.withColumn("_propio", F.lit("kept")))
     store, export = os.path.join(tmp_dir, "bronze"), os.path.join(tmp_dir, "export")
     bronze.write_documents(docs, store)
     bronze.write_documents(docs, store)  # full refresh: overwrite, no duplicates
@@ -50,10 +87,11 @@ def test_bronze_store_export_and_both_read_paths_agree(spark, warehouse, tmp_dir
     bronze.write_documents(docs, appended, full_refresh=False)
     bronze.write_documents(docs, appended, full_refresh=False)
     assert bronze.read_documents(spark, appended).count() == 2 * docs.count()
-    bronze.write_export(bronze.export_flat(stored), export, rows_per_file=2000)
+    bronze.write_export(stored, export, rows_per_file=2000)
     assert len(glob.glob(os.path.join(export, "*.parquet"))) >= 3
-    a = flatten_documents(stored)
-    b = flatten_documents(bronze.read_export(spark, export))
+    back = bronze.read_export(spark, export)
+    assert back.schema["payload"].dataType.names == stored.schema["payload"].dataType.names  # leading underscores too
+    a, b = flatten_documents(stored), flatten_documents(back)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -83,16 +121,40 @@ def test_silver_sink_partitioned_by_date(spark, warehouse, tmp_dir):
 
 
 def test_gold_sink_typed_load_and_no_marker_files(spark, warehouse, tmp_dir):
-    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-    paths = gold_plan.write_gold(warehouse.gold, tmp_dir)
-    for name, path in paths.items():
-        assert not glob.glob(os.path.join(path, "_SUCCESS"))
-        back = spark.read.schema(schemas.GOLD[name]).parquet(path)
+    for name, df in warehouse.gold.as_dict().items():
+        back = gold_plan.write_table(df, tmp_dir, name)
+        assert not glob.glob(os.path.join(tmp_dir, name, "_SUCCESS"))
         assert [(f.name, f.dataType) for f in back.schema.fields] == [
             (f.name, f.dataType) for f in schemas.GOLD[name].fields
         ]
-        assert back.count() == getattr(warehouse.gold, name).count()
+        assert back.count() == df.count()
+
+
+def test_values_that_do_not_fit_are_kept_as_rejects(spark):
+    schema = schemas.FACT_SERVICIO
+    row = {f.name: 1 for f in schema.fields} | {"franja_horaria": "valle"}
+    rows = [row, row | {"factor_rodeo": 1e9}, row | {"importe_total": 999_999_999.0}, row | {"n_pasajeros": 99_999}, row | {"sk_zona_origen": None}]
+    kinds = ", ".join(f"{f.name} " + ("string" if f.name == "franja_horaria" else "double" if f.dataType.simpleString().startswith("dec") else "long") for f in schema.fields)
+    half = conform(spark.createDataFrame([tuple(float(v) if "double" in kinds.split(", ")[i] and v is not None else v for i, v in enumerate(r.values())) for r in rows], kinds), schema)
+    assert half.rows.count() == 5 and half.rows.schema.names == schema.names
+    assert sorted(r[REASON] for r in half.rejects.collect()) == [["factor_rodeo"], ["importe_total"], ["n_pasajeros"], ["sk_zona_origen"]]
+    with pytest.raises(SchemaMismatch):
+        conform(spark.range(1), schema)
+
+
+def test_a_gold_run_fails_on_an_unknown_zone_and_keeps_the_row(spark, warehouse, tmp_dir):
+    silver = warehouse.silver.limit(50).withColumn("sk_zona_origen", F.when(F.col("id_zona_origen") % 2 == 0, F.col("sk_zona_origen")))
+    write = lambda df: warehouse._write(df, "test")
+    with pytest.raises(SchemaMismatch, match="sk_zona_origen"):
+        gold_plan.build_gold(silver, warehouse.dim_zona, os.path.join(tmp_dir, "gold"), write)
+    kept = spark.read.parquet(os.path.join(tmp_dir, "gold_descartes", "fact_servicio"))
+    assert kept.filter(F.array_contains(REASON, "sk_zona_origen")).count() == silver.filter("sk_zona_origen IS NULL").count() > 0
+
+
+def test_repeated_centroids_do_not_multiply_zones(spark, warehouse):
+    centroids = spark.createDataFrame([(1, 40.1, -74.0), (1, 40.2, -74.1), (2, None, None)], "LocationID int, lat double, lon double")
+    geometry = zone_ops.zone_geometry(warehouse.zone_lookup, centroids)
+    assert geometry.count() == 25 and geometry.filter("id_zona = 1").first().lat == 40.1
 
 
 def test_quality_report_json(warehouse):

@@ -1,8 +1,8 @@
 """End-to-end run over monthly files written from the fixture."""
 
-import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from viaduct.plans import run
@@ -31,21 +31,32 @@ def test_full_cycle_over_monthly_files(spark, warehouse, tmp_dir):
     assert ing["documentos_finales"] == trips.count()
     assert all(x["bytes"] > 0 for x in ing["ficheros"])
 
+    assert all(x["segundos"] >= 0 and x["registros_por_segundo"] > 0 for x in ing["ficheros"])
+    assert run.read_report(spark, out, "informe_ingesta_bronze")["documentos_finales"] == ing["documentos_finales"]
+
+    run.run_export(spark, out)
     run.build_zone_dimension(spark, zones_csv, out)
-    rep = run.run_silver(spark, out)
+    from_documents = run.run_silver(spark, out, source="documents")
+    rep = run.run_silver(spark, out, source="export")
+    assert {k: v for k, v in rep.items() if k != "segundos_pipeline"} == {k: v for k, v in from_documents.items() if k != "segundos_pipeline"}
     assert rep["registros_entrada"] == ing["documentos_finales"]
     assert rep["registros_rechazados"] == sum(rep["rechazos_por_regla"].values())
     assert rep["registros_aceptados"] == spark.read.parquet(os.path.join(out, "silver")).count()
 
-    paths = run.run_gold(spark, out)
+    report = run.run_gold(spark, out)
+    assert report["descartes"]["dim_zona"] == 0 and not [r for r in report["conformidad"] if r["comprobacion"] == "clave_duplicada" and r["n_filas"]]
     gold = run.load_gold(spark, out)
     assert gold["fact_servicio"].count() == rep["registros_aceptados"]
-    assert not [n for n in os.listdir(paths["fact_servicio"]) if n.startswith("_")]
+    assert not [n for n in os.listdir(os.path.join(out, "gold", "fact_servicio")) if n.startswith("_")]
 
     lay = run.run_layouts(spark, out, runs=1)
     assert lay["equivalencia"]["equivalente"] and len(lay["latencia"]) == 5
-    with open(os.path.join(out, "evidencias", "informe_calidad_silver.json")) as f:
-        assert json.load(f)["registros_entrada"] == rep["registros_entrada"]
+    assert run.read_report(spark, out, run.QUALITY_REPORT)["registros_entrada"] == rep["registros_entrada"]
+
+    # a lost row is noticed at load
+    short = gold | {"fact_servicio": gold["fact_servicio"].limit(rep["registros_aceptados"] - 1)}
+    with pytest.raises(ValueError, match="fact_servicio"):
+        run.check_load(spark, out, short)
 
 
 def test_cli_zone_stage_with_centroids(spark, warehouse, tmp_dir):

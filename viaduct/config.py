@@ -64,6 +64,10 @@ Q5_DESDE = date(2023, 2, 1)
 Q5_HASTA = date(2023, 2, 14)
 
 
+# What silver reads: the document store or the flat export.
+FUENTE_SILVER = "export"
+
+
 @dataclass(frozen=True)
 class Thresholds:
     """Quality-rule bounds; every bound is inclusive (values on it pass)."""
@@ -99,8 +103,6 @@ class QueryParams:
 @dataclass(frozen=True)
 class PipelineConfig:
     thresholds: Thresholds = field(default_factory=Thresholds)
-    milla_a_km: float = MILLA_A_KM
-    radio_tierra_km: float = RADIO_TIERRA_KM
     version_esquema: int = VERSION_ESQUEMA
     # Surrogate fact keys are assigned per hash-prefix bucket; 4 hex digits
     # give 65,536 buckets, i.e. about 1.5 M rows per bucket at 10^11 rows.

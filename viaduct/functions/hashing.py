@@ -1,11 +1,13 @@
 """Content hash of a record.
 
-The canonical text of a record lists its fields in sorted name order as
-``name=value`` joined by ``|``. Values are rendered by type so that two
-engines agree byte for byte: integers and strings as they are, doubles as
-``decimal(18,6)`` text (falling back to the plain text for NaN, infinities
-and out-of-range values), timestamps as ``yyyy-MM-dd'T'HH:mm:ss``, NULL as
-``~``. The hash is the first 32 hex characters of SHA-256 of that text.
+The canonical text of a record lists its fields in name order as
+``name=length:value`` joined by ``|``. The length prefix makes the text
+unambiguous whatever a value holds. A field that is NULL or that the record's
+file doesn't have is left out, so the hash depends on the record alone, not on
+what is loaded with it. Distinct values give distinct text: integers, strings,
+decimals and dates as they are, doubles as their round-trip text, timestamps as
+ISO 8601 with microseconds where there are any. The hash is the first 32 hex
+characters of the SHA-256 of that text.
 """
 
 from __future__ import annotations
@@ -14,28 +16,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NULL_TOKEN = "~"
 HASH_HEX_CHARS = 32
+ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def iso_text(c: Column) -> Column:
+    """ISO 8601 text of a timestamp; the fraction only where it isn't zero."""
+    micros = F.date_format(c, ISO_MICROS)
+    return F.when(F.substring(micros, -6, 6) == "000000", F.date_format(c, ISO_SECONDS)).otherwise(micros)
 
 
 def value_text(c: Column, dtype: T.DataType) -> Column:
-    """Engine-stable text for one value; NULL stays NULL."""
+    """Lossless text of one value; NULL stays NULL."""
     if isinstance(dtype, T.StringType):
         return c
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DecimalType, T.DateType)):
-        return c.cast("string")
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.coalesce(c.try_cast("decimal(18,6)").cast("string"), c.cast("string"))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
-    return F.to_json(c)
+        return iso_text(c)
+    if isinstance(dtype, T.FloatType):
+        return c.cast("double").cast("string")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(c)
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(c)
+    return c.cast("string")
 
 
 def canonical_text(fields: list[tuple[str, Column, T.DataType]]) -> Column:
-    parts = [
-        F.concat(F.lit(f"{name}="), F.coalesce(value_text(col, dtype), F.lit(NULL_TOKEN)))
-        for name, col, dtype in sorted(fields, key=lambda f: f[0])
-    ]
+    parts = []
+    for name, column, dtype in sorted(fields, key=lambda f: f[0]):
+        text = value_text(column, dtype)
+        parts.append(F.concat(F.lit(f"{name}="), F.length(text).cast("string"), F.lit(":"), text))
     return F.concat_ws("|", *parts)
 
 

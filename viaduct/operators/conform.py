@@ -1,31 +1,54 @@
-"""Conform a frame to a fixed table schema and report what did not fit."""
+"""Fit a frame to a fixed table schema and report what doesn't fit."""
 
 from __future__ import annotations
 
-import warnings
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+REASON = "columnas_sin_encaje"
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project to ``schema``: its columns, in its order, with its types.
 
-    Missing columns are created as typed NULLs (with a warning), extra ones
-    are dropped. Casts never raise: a value that does not fit (overflow,
-    NaN) becomes NULL and is counted by :func:`conformance_checks`. Decimal
-    casts round HALF_UP.
+@dataclass
+class Conformed:
+    """``rows`` in the table's schema, and the source rows of which a value was lost or a required one is missing."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+class SchemaMismatch(ValueError):
+    """A required column is missing, or rows break NOT NULL or a key."""
+
+
+def _misfit(field: T.StructField) -> Column:
+    """The column's name where its value doesn't survive the declared type or a required value is missing."""
+    source = F.col(f"`{field.name}`")
+    typed = source.try_cast(field.dataType)
+    broken = typed.isNull() & (F.lit(not field.nullable) | source.isNotNull())
+    return F.when(broken, F.lit(field.name))
+
+
+def conform(df: DataFrame, schema: T.StructType) -> Conformed:
+    """Both halves of ``df`` against ``schema``, each a lazy projection of it.
+
+    ``rows`` has the schema's columns in its order; a value that doesn't fit its
+    type (overflow, NaN) is NULL there, a nullable column that ``df`` lacks is
+    NULL, and decimals round HALF_UP. ``rejects`` holds the source rows with such values
+    and the names of their columns. A missing required column is an error.
     """
-    present = set(df.columns)
-    cols = []
-    for f in schema.fields:
-        if f.name in present:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        else:
-            warnings.warn(f"column {f.name} missing, created as NULL", stacklevel=2)
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    required = [f.name for f in schema.fields if f.name in missing and not f.nullable]
+    if required:
+        raise SchemaMismatch(f"required columns are missing: {required}")
+    given = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name in missing}) if missing else df
+    reasons = F.array_compact(F.array(*[_misfit(f) for f in schema.fields]))
+    return Conformed(
+        rows=given.selectExpr(*[f"try_cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields]),
+        rejects=given.withColumn(REASON, reasons).where(F.size(REASON) > 0),
+    )
 
 
 def conformance_checks(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics
 from ..functions.calendar import trip_calendar_columns
-from .joins import broadcast_checked
 
 CORRIDOR_KEYS = ("id_zona_origen", "id_zona_destino", "franja_horaria", "es_laborable")
 PERCENTILE_ACCURACY = 10_000
@@ -41,21 +40,13 @@ def corridor_stats(df: DataFrame, accuracy: int = PERCENTILE_ACCURACY) -> DataFr
     )
 
 
-def attach_corridor_kpis(df: DataFrame, corridors: DataFrame, broadcast: bool | str = "checked") -> DataFrame:
+def attach_corridor_kpis(df: DataFrame, corridors: DataFrame) -> DataFrame:
     """Join corridor KPIs back to each trip and add its ETA deviation.
 
-    The corridor table has at most zones² × 10 rows. With ``"checked"`` it is
-    broadcast after its row count and estimated size are verified (materialise
-    it first), so the trip side is never shuffled for this join; beyond the
-    bounds, or with ``False``, the planner picks a shuffle join and AQE splits
-    a skewed corridor.
+    The corridor table has at most zones² × 10 rows. The planner broadcasts it
+    while it is small; beyond that it shuffles and AQE splits a skewed corridor.
     """
-    right = corridors
-    if broadcast == "checked":
-        right = broadcast_checked(corridors)
-    elif broadcast is True:
-        right = F.broadcast(corridors)
-    joined = df.join(right, list(CORRIDOR_KEYS), "left")
+    joined = df.join(corridors, list(CORRIDOR_KEYS), "left")
     return joined.withColumn(
         "desviacion_eta_pct", metrics.desviacion_pct(F.col("duracion_min"), F.col("eta_referencia_min"))
     )

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dedup_by_key(df: DataFrame, key: str = "hash_registro", prefer: str = "fichero_origen") -> DataFrame:
-    """One row per ``key``: the copy with the smallest ``prefer`` value.
+    """One row per ``key``: the copy with the smallest ``prefer`` value (NULL last).
 
-    The hash covers the whole payload, so copies agree on every column but
-    the lineage column ``prefer``; grouping by the key and the other columns
-    and keeping ``min(prefer)`` therefore removes exactly the copies of a
-    hash, and never merges two different records even on a hash collision.
-    It is an aggregate, not a window: Spark combines copies map-side before
-    the shuffle, so a key held by a third of all rows still sends one row per
-    map task instead of the whole group to one task. The result does not
+    The hash covers the whole record, so copies differ in the lineage column
+    only. ``prefer`` takes few values (source files); its rank stands for it,
+    which leaves only fixed-width values to aggregate: a hash aggregate that
+    combines copies before the shuffle, so a key held by a third of all rows
+    sends one row per map task, and nothing is sorted. The result doesn't
     depend on partitioning.
     """
-    rest = [c for c in df.columns if c != prefer]
-    return df.groupBy(key, *[c for c in rest if c != key]).agg(F.min(prefer).alias(prefer)).select(*df.columns)
+    # One row per source file.
+    rank = df.select(prefer).distinct().withColumn("_rank", F.row_number().over(Window.orderBy(F.col(prefer).asc_nulls_last())))
+    files = rank.withColumnRenamed(prefer, "_prefer")
+    rest = [c for c in df.columns if c not in (key, prefer)]
+    ranked = df.join(files, F.col(prefer).eqNullSafe(F.col("_prefer"))).drop("_prefer")
+    one = ranked.groupBy(key).agg(F.min("_rank").alias("_rank"), *[F.first(c).alias(c) for c in rest])
+    back = files.withColumnRenamed("_prefer", prefer)
+    return one.join(back, "_rank").select(*df.columns)

@@ -21,8 +21,11 @@ TRIP_FIELDS = (
 KEEP_NAN = {"distancia_millas"}
 
 
-def _conform(c: Column, dtype: T.DataType, keep_nan: bool) -> Column:
+def _conform(c: Column, found: T.DataType, dtype: T.DataType, keep_nan: bool) -> Column:
     out = c.try_cast(dtype)
+    if isinstance(found, T.StringType) and isinstance(dtype, T.IntegerType):
+        # Text of a source that holds the integer as a double ("1.0").
+        out = F.coalesce(out, c.try_cast(T.DoubleType()).try_cast(dtype))
     if isinstance(dtype, T.DoubleType) and not keep_nan:
         out = F.when(~F.isnan(out), out)
     return out
@@ -39,7 +42,7 @@ def flatten_documents(docs: DataFrame) -> DataFrame:
     cols = []
     for src, dst, dtype in TRIP_FIELDS:
         if src in present:
-            cols.append(_conform(F.col("payload").getField(src), dtype, dst in KEEP_NAN).alias(dst))
+            cols.append(_conform(F.col("payload").getField(src), payload_type[src].dataType, dtype, dst in KEEP_NAN).alias(dst))
         else:
             cols.append(F.lit(None).cast(dtype).alias(dst))
     cols += [

@@ -15,7 +15,7 @@ def road_stats(edges: DataFrame, nodes: DataFrame, areas: DataFrame | None = Non
     unknown area.
     """
     length = edges.groupBy("id_zona").agg(
-        F.round(F.sum("longitud_m").try_cast("decimal(24,3)") * F.lit(0.001).cast("decimal(4,3)"), 2)
+        F.round(F.sum(F.col("longitud_m").try_cast("decimal(14,3)")) * F.lit(0.001).cast("decimal(4,3)"), 2)
         .cast("decimal(10,2)")
         .alias("long_via_km")
     )

@@ -1,4 +1,4 @@
-"""First rows of each source file."""
+"""First rows of each source."""
 
 from __future__ import annotations
 
@@ -6,15 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_rows_per_file(df: DataFrame, n: int | None, row_index_col: str = "_fila") -> DataFrame:
-    """Rows whose position in their file is below ``n`` (``None`` keeps all).
+def first_rows_per_source(
+    df: DataFrame, n: int | None, source_col: str = "fichero_origen", path_col: str = "_ruta", row_index_col: str = "_fila"
+) -> DataFrame:
+    """The first ``n`` rows of each source (``None`` keeps all).
 
-    With the file row index of the scan (``_metadata.row_index``) this is a
-    plain filter evaluated inside the scan's tasks: no shuffle and no sort.
+    A source is one file or a folder of part files, read in path order. Rows
+    before a part file come from a count per file (one row per file), so the rows
+    themselves are only filtered: no sort and no shuffle of rows.
     """
     if n is None:
         return df
-    return df.filter(F.col(row_index_col) < n)
+    order = Window.partitionBy(source_col).orderBy(path_col).rowsBetween(Window.unboundedPreceding, -1)
+    files = df.groupBy(source_col, path_col).agg(F.count(F.lit(1)).alias("_n"))
+    before = files.select(F.col(path_col), F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
+    return df.join(before, path_col).where(F.col("_before") + F.col(row_index_col) < n).select(*df.columns)
 
 
 def first_rows_per_group(

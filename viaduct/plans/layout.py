@@ -85,15 +85,9 @@ def write_dimension_table(spark: SparkSession, df: DataFrame, prefix: str) -> st
     return name
 
 
-# Columns the reference queries join or filter on: the planner's size
-# estimates need statistics on these, not on every measure.
-STATS_COLUMNS = ("sk_tiempo", "sk_zona_origen", "sk_zona_destino", "factor_rodeo", "fecha", "sk_zona")
-
-
 def analyze(spark: SparkSession, table: str) -> None:
-    """Table statistics plus column statistics of the join / filter columns."""
-    cols = [c for c in spark.table(table).columns if c in STATS_COLUMNS]
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + (f" FOR COLUMNS {', '.join(cols)}" if cols else ""))
+    """Table statistics and statistics of all columns."""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
 def compact(spark: SparkSession, df: DataFrame, path: str, sort_cols: list[str], rows_per_file: int = 5_000_000) -> DataFrame:
@@ -108,50 +102,37 @@ def compact(spark: SparkSession, df: DataFrame, path: str, sort_cols: list[str],
     return spark.read.parquet(path)
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Order-free fingerprint of a multiset of rows: one pass, no shuffle of rows.
-
-    Row count and the sums of two independent 64- and 32-bit row hashes,
-    summed exactly as decimals (no overflow up to ~10^19 rows).
-    """
-    cols = [F.col(c) for c in df.columns]
-    return df.agg(
-        F.count(F.lit(1)).cast("long").alias("n"),
-        F.sum(F.xxhash64(*cols).cast("decimal(38,0)")).alias("h64"),
-        F.sum(F.hash(*cols).cast("decimal(38,0)")).alias("h32"),
-    )
-
+def layout_equivalence(optimised: DataFrame, control: DataFrame) -> DataFrame:
+    """Row counts of both layouts and rows present in only one (S20), as one lazy plan.
 
-def layout_equivalence(optimised: DataFrame, control: DataFrame, exact: bool = False) -> DataFrame:
-    """Row counts of both layouts and rows present in only one.
-
-    The fingerprints of both layouts are compared first (a scan each); only
-    if they differ, or with ``exact``, are the rows diffed with a multiset
-    difference in both directions, so equal counts with different rows are
-    caught and counted.
+    A multiset comparison: each distinct row counts +1 per copy in one layout
+    and -1 per copy in the other, combined map-side; equal counts with
+    different rows are caught and counted.
     """
-    fo, fc = fingerprint(optimised).first(), fingerprint(control).first()
-    if fo == fc and not exact:
-        n = fo["n"]
-        return optimised.sparkSession.range(1).select(
-            F.lit(n).cast("long").alias("n_optimizada"),
-            F.lit(n).cast("long").alias("n_control"),
-            F.lit(0).cast("long").alias("solo_optimizada"),
-            F.lit(0).cast("long").alias("solo_control"),
-            F.lit(True).alias("equivalente"),
-        )
-    only_opt = optimised.exceptAll(control).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("solo_optimizada").alias("medida"), "n")
-    only_ctl = control.exceptAll(optimised).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("solo_control").alias("medida"), "n")
-    n_opt = optimised.agg(F.count(F.lit(1)).alias("n")).select(F.lit("n_optimizada").alias("medida"), "n")
-    n_ctl = control.agg(F.count(F.lit(1)).alias("n")).select(F.lit("n_control").alias("medida"), "n")
-    stacked = n_opt.unionByName(n_ctl).unionByName(only_opt).unionByName(only_ctl)
-    pick = lambda m: F.max(F.when(F.col("medida") == m, F.col("n"))).cast("long").alias(m)
-    return stacked.agg(pick("n_optimizada"), pick("n_control"), pick("solo_optimizada"), pick("solo_control")).withColumn(
-        "equivalente",
-        (F.col("n_optimizada") == F.col("n_control")) & (F.col("solo_optimizada") == 0) & (F.col("solo_control") == 0),
+    sides = optimised.withColumn("_n", F.lit(1)).unionByName(control.withColumn("_n", F.lit(-1)))
+    rows = sides.groupBy(*optimised.columns).agg(
+        F.sum("_n").alias("d"), F.count_if(F.col("_n") > 0).alias("o"), F.count_if(F.col("_n") < 0).alias("c")
     )
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    out = rows.agg(
+        total("o", "n_optimizada"), total("c", "n_control"),
+        total(F.greatest("d", F.lit(0)), "solo_optimizada"), total(F.greatest(-F.col("d"), F.lit(0)), "solo_control"),
+    )
+    return out.withColumn("equivalente", (F.col("solo_optimizada") == 0) & (F.col("solo_control") == 0))
+
+
+def layout_results(queries: dict[str, Callable[[DataFrame], DataFrame]], layouts: dict[str, DataFrame]) -> DataFrame:
+    """What the comparison must hold apart from its timings (A13): per query the
+    result rows on both layouts and whether the results are equal."""
+    out = None
+    for name, build in queries.items():
+        both = layout_equivalence(build(layouts[OPTIMISED]), build(layouts[CONTROL]))
+        row = both.select(
+            F.lit(name).alias("consulta"), F.col("n_optimizada").alias("filas_optimizada"),
+            F.col("n_control").alias("filas_control"), F.col("equivalente").alias("iguales"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def _run(df: DataFrame) -> float:

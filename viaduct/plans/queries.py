@@ -25,9 +25,14 @@ def _avg(df: DataFrame, c: str) -> Column:
     return F.round(F.try_divide(F.sum(F.col(c)), F.count(F.col(c))), 6).cast("double")
 
 
+def _ordered(df: DataFrame, *order: str | Column) -> DataFrame:
+    """A result bounded by the calendar or the boroughs, in order: one small exchange and a sort, no sampling job."""
+    return df.repartition(1).sortWithinPartitions(*order)
+
+
 def q1_monthly_overview(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     t = dim_tiempo.select("sk_tiempo", "anio", "mes")
-    return (
+    return _ordered(
         fact.join(t, "sk_tiempo")
         .groupBy("anio", "mes")
         .agg(
@@ -35,9 +40,9 @@ def q1_monthly_overview(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
             _avg(fact, "duracion_min").alias("duracion_media"),
             _avg(fact, "velocidad_kmh").alias("velocidad_media"),
             _avg(fact, "desviacion_eta_pct").alias("desviacion_media_eta"),
-        )
-        .orderBy("anio", "mes")
-    )
+        ),
+        "anio", "mes",
+    )
 
 
 def q2_unreliable_corridors(
@@ -62,16 +67,16 @@ def q2_unreliable_corridors(
 
 def q3_band_degradation(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     t = dim_tiempo.select("sk_tiempo", "nombre_dia")
-    return (
+    return _ordered(
         fact.join(t, "sk_tiempo")
         .groupBy("nombre_dia", "franja_horaria")
         .agg(
             _avg(fact, "duracion_min").alias("duracion_media"),
             _avg(fact, "desviacion_eta_pct").alias("desviacion_media"),
             _avg(fact, "velocidad_kmh").alias("velocidad_media"),
-        )
-        .orderBy("nombre_dia", "franja_horaria")
-    )
+        ),
+        "nombre_dia", "franja_horaria",
+    )
 
 
 def q4_route_efficiency(
@@ -98,20 +103,19 @@ def q5_date_range(
 ) -> DataFrame:
     """Trips and mean duration per borough of origin for a date range.
 
-    The date keys of the range span [lo, hi]; that range is added as a
-    literal filter on the fact so it reaches the Parquet reader: on the
-    layout sorted by date key, row groups outside it are skipped by their
-    min/max statistics. The filter is a superset of the dates asked for, so
-    it never removes a matching row; the join applies the exact dates.
+    The date keys of the range span [lo, hi]. Two scalar subqueries over the
+    date dimension filter the fact by that span before the join (on the layout
+    sorted by date key, files outside it hold no such rows); the join applies the exact dates.
+    The query is one lazy plan.
     """
     t = dim_tiempo.filter(F.col("fecha").between(F.lit(params.q5_desde), F.lit(params.q5_hasta))).select("sk_tiempo")
-    lo, hi = t.agg(F.min("sk_tiempo"), F.max("sk_tiempo")).first()
+    lo, hi = (t.select(f("sk_tiempo")).scalar() for f in (F.min, F.max))
     zo = dim_zona.select(F.col("sk_zona").alias("sk_zona_origen"), "distrito")
-    return (
-        fact.filter(F.col("sk_tiempo").between(F.lit(lo), F.lit(hi)))
+    return _ordered(
+        fact.filter(F.col("sk_tiempo").between(lo, hi))
         .join(t, "sk_tiempo")
         .join(zo, "sk_zona_origen")
         .groupBy("distrito")
-        .agg(F.count(F.lit(1)).alias("n_servicios"), _avg(fact, "duracion_min").alias("duracion_media"))
-        .orderBy(F.col("n_servicios").desc(), "distrito")
-    )
+        .agg(F.count(F.lit(1)).alias("n_servicios"), _avg(fact, "duracion_min").alias("duracion_media")),
+        F.col("n_servicios").desc(), "distrito",
+    )

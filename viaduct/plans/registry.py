@@ -15,12 +15,16 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import conform as conform_ops
-from ..operators import sampling
+from ..operators import sampling, zones
 from ..operators.flatten import flatten_documents
+from ..session import scratch_path
 from ..sources import bronze
+from ..sources import zones as zone_sources
+from . import gold as gold_plan
 from . import layout
 from . import queries as Q
 from . import reports
+from . import silver as silver_plan
 from .warehouse import Warehouse, warehouse_for
 
 # Rows kept per source file by the sampling query (a sampling operator: the
@@ -83,7 +87,7 @@ def bronze_documents(spark, sf_dir):
 
 def bronze_export_roundtrip(spark, sf_dir):
     docs = _w(spark, sf_dir).documents
-    rebuilt = bronze.nest_export(bronze.export_flat(docs))
+    rebuilt = bronze.nest_export(bronze.export_flat(docs), docs.schema["payload"].dataType)
     return raw_ints_as_double(for_compare(flatten_documents(rebuilt)))
 
 
@@ -176,26 +180,13 @@ def gold_fact_servicio(spark, sf_dir):
 
 
 def conformance_report(spark, sf_dir):
-    w = _w(spark, sf_dir)
-    raw = {
-        "dim_zona": w.dim_zona,
-        "dim_tiempo": w.dim_tiempo_raw,
-        "dim_operador": w.dim_operador_raw,
-        "fact_servicio": w.fact_keyed,
-    }
-    parts = [
-        conform_ops.conformance_checks(df, name, schemas.GOLD[name], schemas.VARCHAR_LIMITS.get(name))
-        for name, df in raw.items()
-    ]
-    for name, keys in schemas.UNIQUE_KEYS.items():
-        if name == "fact_servicio":
-            continue  # the dense key is unique by construction (tested), not re-checked per run
-        for k in keys:
-            parts.append(conform_ops.duplicate_keys(raw[name], name, k))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return gold_plan.conformance_report(_w(spark, sf_dir).gold_raw)
+
+
+def gold_rejects(spark, sf_dir):
+    """Source rows of the fact of which the gold types hold not every value."""
+    rejects = conform_ops.conform(_w(spark, sf_dir).fact_keyed, schemas.FACT_SERVICIO).rejects
+    return rejects.select("hash_registro", F.array_join(conform_ops.REASON, ",").alias(conform_ops.REASON))
 
 
 def load_integrity(spark, sf_dir):
@@ -255,9 +246,57 @@ def layout_equivalence(spark, sf_dir):
     return layout.layout_equivalence(lay[layout.OPTIMISED], lay[layout.CONTROL])
 
 
-def layout_latency(spark, sf_dir):
+def layout_results(spark, sf_dir):
+    w = _w(spark, sf_dir)
+    return layout.layout_results(reference_queries(w, w.dimension_tables), w.layouts)
+
+
+# -- sources and sinks: written, read back -------------------------------------
+def bronze_monthly_scan(spark, sf_dir):
+    """Trips written as monthly files of differing columns and types, scanned into documents."""
+    trips = _w(spark, sf_dir).trips.drop("fichero_origen")
+    raw = scratch_path(spark, "raw")
+    month = F.pmod("o_orderkey", F.lit(3))
+    layouts = (
+        trips.where(month == 0),
+        trips.where(month == 1).withColumn("passenger_count", F.col("passenger_count").cast("double")),
+        trips.where(month == 2).withColumn("nota", F.concat_ws("|", F.lit("n=1"), F.col("VendorID").cast("string"))),
+    )
+    for i, df in enumerate(layouts, 1):
+        df.write.parquet(f"{raw}/yellow_tripdata_2023-{i:02d}.parquet")
+    files = bronze.trip_file_paths(spark, raw)
+    docs = bronze.to_documents(bronze.scan_trip_files(spark, files))
+    flat = flatten_documents(docs).select("hash_registro", "fichero_origen", "n_pasajeros", "distancia_millas")
+    return flat.withColumn("n_pasajeros", F.col("n_pasajeros").cast("double"))
+
+
+def zone_csv_roundtrip(spark, sf_dir):
+    """Zone lookup through the CSV format and the dimension sink."""
+    path = scratch_path(spark, "zones")
+    _w(spark, sf_dir).zone_lookup.write.option("header", True).csv(f"{path}/lookup.csv")
+    lookup = zone_sources.read_zone_lookup_csv(spark, f"{path}/lookup.csv")
+    zone_sources.write_dimension(zones.zone_geometry(lookup), f"{path}/dim")
+    return zone_sources.read_dimension(spark, f"{path}/dim").select("sk_zona", "id_zona", "nombre_zona", "distrito", "zona_servicio")
+
+
+def silver_by_date(spark, sf_dir):
+    """Silver written by date and read back: rows and distance of each month."""
+    path = scratch_path(spark, "silver_by_date")
+    silver_plan.write_silver(_w(spark, sf_dir).silver, path)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(F.date_format("fecha", "yyyy-MM").alias("mes")).agg(
+        F.count(F.lit(1)).alias("filas"), F.sum(F.round(F.col("distancia_km") * 1000).cast("long")).alias("metros")
+    )
+
+
+def fact_compacted(spark, sf_dir):
+    """The fact re-sorted and analysed (S17, S18): rows and key span, with the catalog's row count."""
     w = _w(spark, sf_dir)
-    return layout.measure_latency(spark, reference_queries(w, w.dimension_tables), w.layouts, runs=5)
+    path = scratch_path(spark, "compact")
+    df = layout.compact(spark, w.gold_fact, path, ["sk_tiempo", "sk_zona_origen", "sk_servicio"])
+    return df.groupBy("sk_tiempo").agg(
+        F.count(F.lit(1)).alias("filas"), F.min("sk_servicio").alias("primero"), F.max("sk_servicio").alias("ultimo")
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -286,5 +325,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q4_route_efficiency": q4_route_efficiency,
     "q5_date_range": q5_date_range,
     "layout_equivalence": layout_equivalence,
-    "layout_latency": layout_latency,
+    "layout_results": layout_results,
+    "gold_rejects": gold_rejects,
+    "bronze_monthly_scan": bronze_monthly_scan,
+    "zone_csv_roundtrip": zone_csv_roundtrip,
+    "silver_by_date": silver_by_date,
+    "fact_compacted": fact_compacted,
 }

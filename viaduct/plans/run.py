@@ -3,27 +3,27 @@
     python -m viaduct.plans.run all --raw DIR --zones taxi_zone_lookup.csv --out DIR
 
 Stages (each can run alone): ``bronze`` (scan monthly files, write the
-document store, ingestion report), ``silver`` (quality, de-duplication,
-KPIs, zones; silver partitioned by date, quarantine, quality report),
-``gold`` (star schema), ``layouts`` (optimised and control copies,
-statistics, equivalence guard, latency report). Reports go to
-``<out>/evidencias``.
+document store, ingestion report), ``export`` (flat interchange copy), ``silver`` (quality,
+de-duplication, KPIs, zones; silver partitioned by date, quarantine, quality
+report), ``gold`` (star schema with conformance report and rejects),
+``layouts`` (load check against the quality report, re-sort, optimised and control copies,
+statistics, equivalence guard, latency report). Reports are JSON text written by Spark
+to ``<out>/evidencias``, so ``--out`` can be any folder that Spark reaches.
 """
 
 from __future__ import annotations
 
 import argparse
 import json
-import os
 import time
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config, schemas
 from ..config import PipelineConfig
 from ..operators import zones
-from ..operators.sampling import first_rows_per_file
+from ..operators.sampling import first_rows_per_source
 from ..session import build_session, scratch_path
 from ..sources import bronze
 from ..sources import zones as zone_sources
@@ -33,43 +33,73 @@ from . import queries as Q
 from . import reports
 from . import silver as silver_plan
 
+QUALITY_REPORT = "informe_calidad_silver"
+
 
 def _paths(out: str) -> dict[str, str]:
-    names = ("bronze", "silver", "cuarentena", "gold", "dim_zona", "evidencias")
-    return {n: os.path.join(out, n) for n in names}
+    names = ("bronze", "export", "silver", "cuarentena", "gold", "dim_zona", "evidencias")
+    return {n: f"{out.rstrip('/')}/{n}" for n in names}
 
 
-def _write_json(folder: str, name: str, payload: dict) -> str:
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, name)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(payload, f, indent=2, ensure_ascii=False, default=str)
-    return path
+def write_report(spark: SparkSession, out: str, name: str, payload: dict) -> None:
+    """One JSON document as a line of text, through Spark's file system; what an earlier run wrote is kept."""
+    path = f"{_paths(out)['evidencias']}/{name}"
+    body = json.dumps({**payload, "generado": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())}, ensure_ascii=False, default=str)
+    spark.createDataFrame([(body,)], "value string").coalesce(1).write.mode("append").text(path)
+
+
+def read_report(spark: SparkSession, out: str, name: str) -> dict:
+    """The latest report of that name."""
+    rows = spark.read.text(f"{_paths(out)['evidencias']}/{name}").collect()  # one row per run
+    return max((json.loads(r["value"]) for r in rows), key=lambda x: x["generado"])
 
 
 def run_bronze(spark: SparkSession, raw_dir: str, out: str, service: str = config.TIPO_SERVICIO,
                sample: int | None = None) -> dict:
-    """Monthly files → document store (full refresh) + ingestion report."""
+    """Monthly files → document store (full refresh) + ingestion report.
+
+    Each source is written on its own, so the report has its seconds and rows per second.
+    """
     p = _paths(out)
-    files = bronze.trip_file_paths(raw_dir, service)
-    t0 = time.time()
-    trips = bronze.scan_trip_files(spark, files, row_index_col="_fila", size_col="_bytes")
-    trips = first_rows_per_file(trips, sample, "_fila").drop("_fila")
-    bronze.write_documents(bronze.to_documents(trips, extra_exclude=["_bytes"]), p["bronze"])
-    seconds = time.time() - t0
+    files = bronze.trip_file_paths(spark, raw_dir, service)
+    trips = bronze.scan_trip_files(spark, files, row_index_col="_fila", size_col="_bytes", path_col="_ruta")
+    trips = first_rows_per_source(trips, sample).drop("_fila")
+    docs = bronze.to_documents(trips, extra_exclude=["_bytes", "_ruta"])
+    began, seconds = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime()), {}
+    for i, source in enumerate(sorted({_source_of(f, service) for f in files})):
+        t0 = time.time()
+        part = docs.where(F.col("_ingesta.fichero_origen") == source)
+        bronze.write_documents(part, p["bronze"], full_refresh=i == 0)
+        seconds[source] = time.time() - t0
     stored = bronze.read_documents(spark, p["bronze"])
-    per_file = reports.ingest_report(trips, stored, size_col="_bytes").collect()
-    inserted = sum(r["registros_insertados"] for r in per_file)
+    per_file = []
+    for r in reports.ingest_report(trips, stored, size_col="_bytes").collect():  # one row per source
+        took = seconds[r["fichero"]]
+        per_file.append({**r.asDict(), "segundos": round(took, 1), "registros_por_segundo": round(r["registros_insertados"] / max(took, 1e-9), 1)})
+    inserted, total = sum(r["registros_insertados"] for r in per_file), sum(seconds.values())
     report = {
-        "ficheros": [r.asDict() for r in per_file],
-        "segundos_totales": round(seconds, 1),
+        "inicio": began,
+        "ficheros": per_file,
+        "segundos_totales": round(total, 1),
         "documentos_finales": inserted,
-        "registros_por_segundo": round(inserted / seconds, 1) if seconds else None,
+        "registros_por_segundo": round(inserted / max(total, 1e-9), 1),
     }
-    _write_json(p["evidencias"], "informe_ingesta_bronze.json", report)
+    write_report(spark, out, "informe_ingesta_bronze", report)
     return report
 
 
+def _source_of(path: str, service: str) -> str:
+    """The monthly source's name in a path, as `bronze.source_name` gives it."""
+    return next((x for x in path.split("/") if x.startswith(f"{service}_tripdata_")), path.rsplit("/", 1)[-1])
+
+
+def run_export(spark: SparkSession, out: str) -> str:
+    """Document store → flat export with the payload's schema."""
+    p = _paths(out)
+    bronze.write_export(bronze.read_documents(spark, p["bronze"]), p["export"])
+    return p["export"]
+
+
 def build_zone_dimension(spark: SparkSession, lookup_csv: str, out: str, centroids: DataFrame | None = None,
                          road_stats: DataFrame | None = None) -> str:
     """Zone lookup ⟕ centroids ⟕ road statistics, keyed by id (03 re-aimed)."""
@@ -89,33 +119,37 @@ def _table_writer(spark: SparkSession):
     return write
 
 
-def run_silver(spark: SparkSession, out: str, cfg: PipelineConfig = PipelineConfig()) -> dict:
-    """Document store → silver (by date) + quarantine + quality report."""
+def run_silver(spark: SparkSession, out: str, cfg: PipelineConfig = PipelineConfig(), source: str = config.FUENTE_SILVER) -> dict:
+    """Documents or export → silver (by date) + quarantine + quality report."""
     p = _paths(out)
     t0 = time.time()
-    docs = bronze.read_documents(spark, p["bronze"])
+    docs = bronze.read_export(spark, p["export"]) if source == "export" else bronze.read_documents(spark, p["bronze"])
     geometry = spark.read.parquet(p["dim_zona"]).select("id_zona", "sk_zona", "nombre_zona", "distrito",
                                                        "zona_servicio", "lat", "lon")
     frames = silver_plan.build_silver(docs, geometry, cfg.thresholds, materialize=_table_writer(spark))
-    silver_obs = Observation("silver")
-    silver_plan.write_silver(frames.silver.observe(silver_obs, F.count(F.lit(1)).alias("filas")), p["silver"])
+    silver_plan.write_silver(frames.silver, p["silver"])
     tagged, obs = silver_plan.quality_observation(frames.tagged)
     silver_plan.write_quarantine(tagged.filter(F.col("motivo_rechazo").isNotNull()), p["cuarentena"])
     seconds = time.time() - t0
-    accepted = int(silver_obs.get["filas"])
+    # Counted on the written table: a re-run task can't count twice.
+    accepted = spark.read.parquet(p["silver"]).count()
     report = json.loads(reports.quality_report_json(obs.get, accepted, cfg.thresholds.as_dict(), seconds))
-    _write_json(p["evidencias"], "informe_calidad_silver.json", report)
+    write_report(spark, out, QUALITY_REPORT, report)
     return report
 
 
-def run_gold(spark: SparkSession, out: str, cfg: PipelineConfig = PipelineConfig()) -> dict[str, str]:
-    """Silver → gold star (S13), no marker files."""
+def run_gold(spark: SparkSession, out: str, cfg: PipelineConfig = PipelineConfig()) -> dict:
+    """Silver → gold star (S13), without marker files (S14), with conformance report and rejects."""
     p = _paths(out)
-    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     silver_df = spark.read.parquet(p["silver"])
     dim_zona = spark.read.parquet(p["dim_zona"])
-    g = gold_plan.build_gold(silver_df, dim_zona, cfg.key_prefix_hex)
-    return gold_plan.write_gold(g, p["gold"])
+    _, checks, rejects = gold_plan.build_gold(silver_df, dim_zona, p["gold"], _table_writer(spark), cfg.key_prefix_hex)
+    report = {
+        "conformidad": [r.asDict() for r in checks.collect()],  # one row per column and check
+        "descartes": {name: df.count() for name, df in rejects.items()},
+    }
+    write_report(spark, out, "informe_conformidad_gold", report)
+    return report
 
 
 def load_gold(spark: SparkSession, out: str) -> dict[str, DataFrame]:
@@ -123,8 +157,8 @@ def load_gold(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     root = _paths(out)["gold"]
     tables = {}
     for name, schema in schemas.GOLD.items():
-        df = spark.read.schema(schema).parquet(os.path.join(root, name))
-        stored = spark.read.parquet(os.path.join(root, name)).schema
+        df = spark.read.schema(schema).parquet(f"{root}/{name}")
+        stored = spark.read.parquet(f"{root}/{name}").schema
         got = [(f.name, f.dataType) for f in stored.fields]
         want = [(f.name, f.dataType) for f in schema.fields]
         if got != want:
@@ -133,18 +167,48 @@ def load_gold(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     return tables
 
 
+def check_load(spark: SparkSession, out: str, gold: dict[str, DataFrame]) -> dict[str, int]:
+    """Loaded rows against what the stages before accepted (S19); raises where they differ.
+
+    The fact against the quality report, zones against the zone dimension, dates and
+    operators against silver.
+    """
+    p = _paths(out)
+    silver = spark.read.parquet(p["silver"])
+    accepted = read_report(spark, out, QUALITY_REPORT)["registros_aceptados"]
+    expected = {
+        "fact_servicio": spark.createDataFrame([(accepted,)], "filas_esperadas long"),
+        "dim_zona": spark.read.parquet(p["dim_zona"]).agg(F.count(F.lit(1)).alias("filas_esperadas")),
+        "dim_tiempo": silver.agg(F.count_distinct("fecha").alias("filas_esperadas")),
+        "dim_operador": silver.agg(F.count_distinct("id_operador").alias("filas_esperadas")),
+    }
+    rows = reports.load_integrity(gold, expected).collect()
+    bad = [r.asDict() for r in rows if not (r["ok"] and r["esquema_ok"])]
+    if bad:
+        raise ValueError(f"loaded tables differ from what was accepted: {bad}")
+    return {r["tabla"]: r["filas"] for r in rows}
+
+
 def run_layouts(spark: SparkSession, out: str, runs: int = 5, params=None) -> dict:
     """Both physical layouts, statistics, equivalence guard and latency report."""
     p = _paths(out)
     params = params or Q.QueryParams()
+    t0 = time.time()
     gold = load_gold(spark, out)
-    integrity = {r["tabla"]: r["filas"] for r in reports.load_integrity(
-        gold, {k: v.agg(F.count(F.lit(1)).alias("filas_esperadas")) for k, v in gold.items()}).collect()}
-    opt = layout.write_optimised(spark, gold["fact_servicio"])
+    load_s = time.time() - t0
+    integrity = check_load(spark, out, gold)
+    t0 = time.time()
+    fact = layout.compact(spark, gold["fact_servicio"], f"{p['gold']}_ordenado/fact_servicio", ["sk_tiempo", "sk_zona_origen", "sk_servicio"])
+    opt = layout.write_optimised(spark, fact)
+    optimised_s = time.time() - t0
+    t0 = time.time()
     ctl = layout.write_control(spark, gold["fact_servicio"])
+    control_s = time.time() - t0
     dims = {}
     for name in ("dim_tiempo", "dim_zona"):
-        dims[name] = spark.table(layout.write_dimension_table(spark, gold[name], name))
+        table = layout.write_dimension_table(spark, gold[name], name)
+        layout.analyze(spark, table)
+        dims[name] = spark.table(table)
     for t in (opt, ctl):
         layout.analyze(spark, t)
     lay = {layout.OPTIMISED: spark.table(opt), layout.CONTROL: spark.table(ctl)}
@@ -160,8 +224,11 @@ def run_layouts(spark: SparkSession, out: str, runs: int = 5, params=None) -> di
         "Q5": lambda f: Q.q5_date_range(f, t, z, params),
     }
     lat = [r.asDict() for r in layout.measure_latency(spark, qs, lay, runs=runs).collect()]
-    report = {"filas": integrity, "equivalencia": eq, "latencia": lat, "repeticiones": runs}
-    _write_json(p["evidencias"], "resultados_layouts.json", report)
+    report = {"filas": integrity, "carga_s": round(load_s, 1), "optimizada_s": round(optimised_s, 1), "control_s": round(control_s, 1),
+              "equivalencia": eq, "latencia": lat, "repeticiones": runs}
+    write_report(spark, out, "resultados_layouts", report)
+    for name in (opt, ctl):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return report
 
 
@@ -180,7 +247,7 @@ def main(argv: list[str] | None = None) -> None:
     from ..operators import roads
 
     ap = argparse.ArgumentParser(prog="viaduct")
-    ap.add_argument("stage", choices=["bronze", "zones", "silver", "gold", "layouts", "all"])
+    ap.add_argument("stage", choices=["bronze", "export", "zones", "silver", "gold", "layouts", "all"])
     ap.add_argument("--raw", help="folder with {service}_tripdata_YYYY-MM.parquet files")
     ap.add_argument("--service", default=config.TIPO_SERVICIO)
     ap.add_argument("--zones", help="zone lookup CSV")
@@ -190,7 +257,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--zone-areas", help="zone areas (id_zona, area)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
-    ap.add_argument("--sample", type=int, default=None, help="first N rows of each file")
+    ap.add_argument("--sample", type=int, default=None, help="first N rows of each source")
+    ap.add_argument("--silver-source", choices=["documents", "export"], default=config.FUENTE_SILVER)
     ap.add_argument("--shuffle-partitions", type=int, default=None,
                     help="initial shuffle partitions (default: the cluster's setting)")
     ap.add_argument("--q2-min", type=int, default=config.Q2_MIN_SERVICIOS)
@@ -202,6 +270,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(a.master, shuffle_partitions=a.shuffle_partitions)
     if a.stage in ("bronze", "all"):
         print(json.dumps(run_bronze(spark, a.raw, a.out, service=a.service, sample=a.sample), default=str))
+    if a.stage in ("export", "all"):
+        print(run_export(spark, a.out))
     if a.stage in ("zones", "all"):
         road = None
         edges, nodes = _read_table(spark, a.road_edges), _read_table(spark, a.road_nodes)
@@ -209,9 +279,9 @@ def main(argv: list[str] | None = None) -> None:
             road = roads.road_stats(edges, nodes, _read_table(spark, a.zone_areas))
         print(build_zone_dimension(spark, a.zones, a.out, _read_table(spark, a.centroids), road))
     if a.stage in ("silver", "all"):
-        print(json.dumps(run_silver(spark, a.out)))
+        print(json.dumps(run_silver(spark, a.out, source=a.silver_source)))
     if a.stage in ("gold", "all"):
-        print(json.dumps(run_gold(spark, a.out)))
+        print(json.dumps(run_gold(spark, a.out), default=str))
     if a.stage in ("layouts", "all"):
         params = Q.QueryParams(a.q2_min, a.q4_min, date.fromisoformat(a.q5_from), date.fromisoformat(a.q5_to))
         print(json.dumps(run_layouts(spark, a.out, runs=a.runs, params=params), default=str))

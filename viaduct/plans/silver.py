@@ -41,22 +41,19 @@ def build_silver(
 
     With ``materialize`` (write a table to the shared checkpoint folder and
     read it back) the de-duplicated rows are computed once: the corridor
-    aggregate then reads only its five columns from that table, its size is
-    checked and it is broadcast, so the trips are shuffled once (by hash, to
-    de-duplicate) and never for the corridor join. Without it the plan is one
-    lazy query and the planner / AQE choose the join.
+    aggregate then reads only its five columns from that table, and the planner knows the
+    size of the written corridor table and broadcasts it while it is small, so the
+    trips are shuffled once (by hash, to de-duplicate). Without it the plan is one
+    lazy query.
     """
     flat = flatten_documents(docs)
     tagged = quality.tag_quality(quality.derive_metrics(flat), thresholds)
     quar = quality.quarantine(tagged)
     clean = corridor.add_calendar(dedup_by_key(quality.accepted(tagged)))
-    if materialize is not None:
-        clean = materialize(clean)
-        corridors = materialize(corridor.corridor_stats(clean))
-        kpis = corridor.attach_corridor_kpis(clean, corridors, broadcast="checked")
-    else:
-        corridors = corridor.corridor_stats(clean)
-        kpis = corridor.attach_corridor_kpis(clean, corridors, broadcast=False)
+    clean = materialize(clean) if materialize else clean
+    corridors = corridor.corridor_stats(clean)
+    corridors = materialize(corridors) if materialize else corridors
+    kpis = corridor.attach_corridor_kpis(clean, corridors)
     silver = zones.enrich_zones(kpis, geometry)
     return SilverFrames(flat, tagged, quar, clean, corridors, silver)
 

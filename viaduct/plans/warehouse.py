@@ -50,7 +50,7 @@ class Warehouse:
 
     @property
     def params(self) -> QueryParams:
-        return fixture.query_params(self.sf_dir)
+        return fixture.query_params()
 
     # -- sources and bronze ------------------------------------------------
     @cached_property
@@ -117,49 +117,52 @@ class Warehouse:
         return obs.get
 
     # -- gold ------------------------------------------------------------
-    # The raw dimensions stay lazy (the conformance report reads them); only
-    # their conformed form is written, and the fact is keyed from it.
+    # Dimensions and the keyed fact are stage tables before the cast to the gold
+    # schema: the conformance report reads them, the fact is keyed from them.
     @cached_property
     def dim_tiempo_raw(self) -> DataFrame:
-        return dims.dim_tiempo(self.silver)
+        return self._write(dims.dim_tiempo(self.silver), "dim_tiempo_raw", single_file=True)
 
     @cached_property
     def dim_operador_raw(self) -> DataFrame:
-        return dims.dim_operador(self.silver)
+        return self._write(dims.dim_operador(self.silver), "dim_operador_raw", single_file=True)
+
+    @cached_property
+    def fact_keyed(self) -> DataFrame:
+        """Keyed trips before the cast to the gold schema."""
+        return self._write(
+            gold_plan.fact_with_keys(self.silver, self.dim_tiempo_raw, self.dim_operador_raw, self.cfg.key_prefix_hex),
+            "fact_keyed",
+        )
+
+    @property
+    def gold_raw(self) -> dict[str, DataFrame]:
+        return {
+            "dim_zona": self.dim_zona, "dim_tiempo": self.dim_tiempo_raw,
+            "dim_operador": self.dim_operador_raw, "fact_servicio": self.fact_keyed,
+        }
+
+    def _gold(self, name: str, df: DataFrame) -> DataFrame:
+        """One conformed gold table, written and read back."""
+        rows = conform(df, schemas.GOLD[name]).rows
+        return gold_plan.write_table(rows, scratch_path(self.spark, "gold"), name) if self.materialize else rows
 
     @cached_property
     def gold_dim_zona(self) -> DataFrame:
-        return self._write(conform(self.dim_zona, schemas.DIM_ZONA), "dim_zona", single_file=True)
+        return self._gold("dim_zona", self.dim_zona)
 
     @cached_property
     def gold_dim_tiempo(self) -> DataFrame:
-        return self._write(conform(self.dim_tiempo_raw, schemas.DIM_TIEMPO), "dim_tiempo", single_file=True)
+        return self._gold("dim_tiempo", self.dim_tiempo_raw)
 
     @cached_property
     def gold_dim_operador(self) -> DataFrame:
-        return self._write(conform(self.dim_operador_raw, schemas.DIM_OPERADOR), "dim_operador", single_file=True)
-
-    @cached_property
-    def fact_keyed(self) -> DataFrame:
-        """Keyed trips before the cast to the gold schema, as a stage table.
-
-        Both the conformed fact and the conformance report read it, so the
-        dense-key shuffles run once.
-        """
-        return self._write(
-            gold_plan.fact_with_keys(self.silver, self.gold_dim_tiempo, self.gold_dim_operador,
-                                     self.cfg.key_prefix_hex),
-            "fact_keyed",
-        )
+        return self._gold("dim_operador", self.dim_operador_raw)
 
     @cached_property
     def gold_fact(self) -> DataFrame:
-        """The conformed fact: a cast projection over the keyed stage table.
-
-        Reads prune to the gold columns; the layouts write their own copies,
-        and ``plans.run`` writes the gold table itself.
-        """
-        return conform(self.fact_keyed, schemas.FACT_SERVICIO)
+        """The conformed fact, written with its declared types."""
+        return self._gold("fact_servicio", self.fact_keyed)
 
     @property
     def gold(self) -> gold_plan.GoldFrames:
@@ -174,7 +177,7 @@ class Warehouse:
     # -- physical layouts -------------------------------------------------
     @cached_property
     def layouts(self) -> dict[str, DataFrame]:
-        """The gold fact written twice: bucketed + sorted, and plain."""
+        """The gold fact written twice: range-partitioned and sorted, and plain."""
         fact = self.gold_fact
         opt = layout.write_optimised(self.spark, fact)
         ctl = layout.write_control(self.spark, fact)
@@ -184,11 +187,11 @@ class Warehouse:
 
     @cached_property
     def dimension_tables(self) -> dict[str, DataFrame]:
-        """Date and zone dimensions as catalog tables (their file size is all the
-        planner needs to broadcast them; only the fact layouts are analysed)."""
+        """Date and zone dimensions as analysed catalog tables."""
         out = {}
         for name in ("dim_tiempo", "dim_zona"):
             t = layout.write_dimension_table(self.spark, getattr(self, f"gold_{name}"), name)
+            layout.analyze(self.spark, t)
             out[name] = self.spark.table(t)
         return out
 

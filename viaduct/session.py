@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,6 +17,9 @@ PIPELINE_CONF = {
     # AQE turns a sort-merge join into a broadcast only after it has measured
     # the small side at run time; beyond this size the shuffle join stays.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # Corridor sketches are hash-aggregated up to this many groups per task
+    # (the default of 128 would sort the trips).
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 
@@ -58,18 +60,20 @@ def ensure_pipeline_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    On a cluster this is the shared path named by ``spark.checkpoint.dir``;
-    a machine-local folder is only created when the setting is absent, which
-    happens in local tests.
+    This is the shared path named by ``spark.checkpoint.dir``. Only a local
+    master may go without that setting (tests): a machine-local folder is made.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    context = spark.sparkContext
+    current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    configured = context.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="viaduct-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="viaduct-ckpt-")
+    context.setCheckpointDir(configured)
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

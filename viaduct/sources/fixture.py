@@ -18,12 +18,13 @@ size grows with the scale factor (see FIXTURES.md §3):
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import config
 from ..config import QueryParams
-from .tables import read_table, scale_factor
+from .tables import read_table
 
 # Fixed values of the fixture (FIXTURES.md §3).
 FILE_MAIN = "f1"
@@ -35,25 +36,15 @@ NULL_ORIGIN_EVERY_PART = 89
 ZONE_WITHOUT_CENTROID = 24
 SERVICE_ZONE = "Yellow Zone"
 
-# Query thresholds that leave a non-empty answer at each fixture scale.
-FIXTURE_QUERY_PARAMS = {
-    0.001: (5, 100),
-    0.01: (20, 1000),
-    0.1: (200, 10000),
-}
-FIXTURE_Q5 = ("1998-02-01", "1998-02-14")
-
+# HAVING thresholds of Q2 and Q4 over the fixture, the same at every scale.
+FIXTURE_Q2_MIN = 5
+FIXTURE_Q4_MIN = 100
+FIXTURE_Q5 = (date(1998, 2, 1), date(1998, 2, 14))
 
-def query_params(sf_dir: str) -> QueryParams:
-    from datetime import date
 
-    sf = scale_factor(sf_dir)
-    q2, q4 = FIXTURE_QUERY_PARAMS.get(sf, (config.Q2_MIN_SERVICIOS, config.Q4_MIN_SERVICIOS))
+def query_params() -> QueryParams:
     return QueryParams(
-        q2_min_servicios=q2,
-        q4_min_servicios=q4,
-        q5_desde=date.fromisoformat(FIXTURE_Q5[0]),
-        q5_hasta=date.fromisoformat(FIXTURE_Q5[1]),
+        q2_min_servicios=FIXTURE_Q2_MIN, q4_min_servicios=FIXTURE_Q4_MIN, q5_desde=FIXTURE_Q5[0], q5_hasta=FIXTURE_Q5[1]
     )
 
 

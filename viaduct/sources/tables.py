@@ -2,16 +2,8 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def scale_factor(sf_dir: str) -> float | None:
-    """Scale factor encoded in a ``.../sf<N>`` folder name, if any."""
-    m = re.search(r"sf([0-9.]+)/?$", sf_dir.rstrip("/"))
-    return float(m.group(1)) if m else None

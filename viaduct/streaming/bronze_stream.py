@@ -1,68 +1,62 @@
 """Incremental bronze ingestion with Structured Streaming.
 
-The same operation as the batch bronze load (monthly trip files → nested
-documents with lineage and content hash), run as a file stream: every new
-``{service}_tripdata_*.parquet`` file dropped into the raw folder is
-ingested exactly once, tracked by the stream's checkpoint, and appended to
-the document store. ``availableNow`` processes what is there and stops, so
-the job can be scheduled like a batch job.
-
-Every file is read with one schema (by default the first file's); Parquet
-allows widening on read (int to long or double) but not narrowing, so for
-sources whose monthly files disagree in other ways use the batch scan
-(``sources.bronze.scan_trip_files``), which groups files by their own schema.
+A file stream watches the raw folder; every new ``{service}_tripdata_*.parquet``
+file is ingested once, tracked by the stream's checkpoint. Each micro-batch
+hands its new file names to the batch loader (`sources.bronze.scan_trip_files` and
+`to_documents`), so stream and batch build the same documents whatever
+columns and types a file has. A batch writes its own ``lote=<id>`` folder
+and overwrites it when it is run again, so a restarted stream neither loses nor repeats
+documents. ``availableNow`` processes what is there and stops, so the job can be
+scheduled like a batch job.
 """
 
 from __future__ import annotations
 
-import glob
-import os
+from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config
-from ..session import checkpoint_dir
 from ..sources import bronze
 
 
-def source_schema(raw_dir: str, service: str = config.TIPO_SERVICIO) -> T.StructType:
-    """Schema of the monthly files, read from the footer of the first one."""
-    spark = SparkSession.getActiveSession()
-    files = sorted(glob.glob(os.path.join(raw_dir, f"{service}_tripdata_*.parquet")))
-    if not files:
-        raise FileNotFoundError(f"no {service} trip files in {raw_dir}")
-    return spark.read.parquet(files[0]).schema
+def read_stream_store(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Documents of all batches; columns that only some files have are NULL in the others."""
+    return spark.read.option("mergeSchema", True).parquet(bronze_path).select("payload", "_ingesta")
 
 
 def start_bronze_stream(
     spark: SparkSession,
     raw_dir: str,
     bronze_path: str,
-    checkpoint: str | None = None,
-    schema: T.StructType | None = None,
+    checkpoint: str,
     service: str = config.TIPO_SERVICIO,
     files_per_trigger: int = 1,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the stream; returns the running query (``awaitTermination`` to wait)."""
-    schema = schema or source_schema(raw_dir, service)
-    checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/streams/bronze"
-    trips = (
-        spark.readStream.schema(schema)
+    """Start the stream; returns the running query (``awaitTermination`` to wait).
+
+    ``checkpoint`` must be a lasting shared folder: it is what makes a later
+    run skip the files already ingested.
+    """
+
+    def ingest(batch: DataFrame, batch_id: int) -> None:
+        # At most ``files_per_trigger`` names.
+        files = sorted(unquote(r["path"]) for r in batch.select("path").distinct().collect())
+        if files:
+            docs = bronze.to_documents(bronze.scan_trip_files(spark, files))
+            bronze.write_documents(docs, f"{bronze_path.rstrip('/')}/lote={batch_id}")
+
+    names = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
         .option("pathGlobFilter", f"{service}_tripdata_*.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(raw_dir)
-        .select("*", bronze.source_name().alias("fichero_origen"))
-    )
-    docs = bronze.to_documents(trips)
-    writer = (
-        docs.writeStream.format("parquet")
-        .option("path", bronze_path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
+        .load(raw_dir)
+        .select(F.col("path"))
     )
+    writer = names.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
