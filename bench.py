@@ -89,7 +89,7 @@ def main() -> None:
         "value": round(total, 3),
         "unit": "sec",
         "queries": queries,
-        "sf": sf_dir.rstrip("/").rsplit("/sf", 1)[-1],
+        "sf": float(sf_dir.rstrip("/").rsplit("/sf", 1)[-1]),
         "rows_input": n_docs,
         "rows_fact": n_fact,
         "silver_rows_per_sec": round(n_docs / stages["silver_pipeline"], 1),

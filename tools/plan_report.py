@@ -66,8 +66,8 @@ def main() -> None:
             8, "sk_tiempo", "sk_zona_origen", "sk_servicio"
         ).sortWithinPartitions("sk_tiempo", "sk_zona_origen"),
     }
-    plans["Layout guard: fingerprint of one layout (one scan, no row shuffle)"] = layout.fingerprint(
-        w.layouts[layout.OPTIMISED]
+    plans["Layout guard: multiset difference of both layouts"] = layout.layout_equivalence(
+        w.layouts[layout.OPTIMISED], w.layouts[layout.CONTROL]
     )
     qs = reference_queries(w, w.dimension_tables)
     for name, build in qs.items():
