@@ -15,8 +15,10 @@ the aggregate that finds signatures of several lines combines copies map-side.
 Only lines of such signatures are listed. They are first verified against the
 earliest line of their signature, which settles large groups of alike lines
 with one pair each; then all pairs are verified whose later line isn't
-dropped yet. Verification is the edit distance limited to a band of ``EDITS``
-diagonals (`levenshtein` with a threshold), on the whole lines.
+dropped yet and whose letter counts differ by at most two per edit (an edit changes
+two counts by one at most, so the filter in the join condition loses no pair).
+Verification is bit-parallel in a band of ``2 EDITS + 1`` diagonals, over the whole
+lines: see `within_edits`.
 
 Lines are identified by 64 + 32 hash bits and the length. Defined results: null
 text is one empty line; rows that repeat an id are one document (a line number
@@ -36,6 +38,8 @@ MIN_CHARS = 24
 # Rows of two longs that may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 2_000_000
 LAST = (1 << 63) - 1
+# Letters whose counts must nearly agree in lines within a few edits.
+LETTERS = "etaoinsrhdlu"
 
 
 def bounded(rows: DataFrame) -> DataFrame:
@@ -50,31 +54,65 @@ def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(doc, F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
 
 
-def segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
-    """(start from 1, length) of a segment; the last ones are one longer where the length isn't even."""
-    parts = edits + 1
-    base = F.floor(length / parts).cast("int")
-    longer = length - base * parts
-    before = F.greatest(F.lit(0), F.lit(number - 1) - (parts - longer))
-    size = base + F.when(F.lit(number) > parts - longer, 1).otherwise(0)
-    return base * (number - 1) + before + 1, size
-
+def signatures(lines: DataFrame, edits: int) -> DataFrame:
+    """(lid, sig, own): all signatures a line probes; those of its own segments are among them (``own``).
 
-def signature_column(line: Column, length: Column, edits: int) -> Column:
-    """All signatures a line probes; those of its own segments are among them."""
+    A line of 32-bit characters is cut by bytes, without counting characters anew
+    for each piece. The last segments are one longer where the length isn't even.
+    """
+    parts = edits + 1
+    wide = lines.select(F.xxhash64("line").alias("lid"), "length", F.encode("line", "UTF-32").alias("wide"))
+    for less in range(parts):
+        target = F.col("length") - less
+        wide = wide.withColumns({f"b{less}": F.floor(target / parts).cast("int"), f"r{less}": F.pmod(target, F.lit(parts))})
     out = []
-    for less in range(edits + 1):
-        target = length - less
-        for i in range(1, edits + 2):
-            start, size = segment(target, i, edits)
-            left, right = i - 1, edits + 1 - i
+    for less in range(parts):
+        base, longer = F.col(f"b{less}"), F.col(f"r{less}")
+        for i in range(1, parts + 1):
+            start = base * (i - 1) + F.greatest(F.lit(0), longer - (parts - i + 1)) + 1
+            size = base + F.when(longer >= parts - i + 1, 1).otherwise(0)
+            left, right = i - 1, parts - i
             for shift in range(max(-left, less - right), min(left, less + right) + 1):
-                inside = (start + shift >= 1) & (start + shift + size - 1 <= length)
-                piece = F.substring(line, start + shift, size)
-                own = 1 if less == 0 and shift == 0 else 0
-                sig = F.xxhash64(target, F.lit(i), piece)
-                out.append(F.when(inside, F.struct(sig.alias("sig"), F.lit(own).alias("own"))))
-    return F.filter(F.array(*out), lambda s: s.isNotNull())
+                piece = F.substring("wide", 4 * (start + (shift - 1)) + 1, 4 * size)
+                sig = F.xxhash64(F.col("length") - less, F.lit(i), piece)
+                out.append(F.struct(sig.alias("sig"), F.lit(int(less == 0 and shift == 0)).alias("own")))
+    return wide.select("lid", F.inline(F.array(*out)))
+
+
+def within_edits(framed: Column, wide: Column, edits: int) -> Column:
+    """Whether two lines lie within ``edits`` edits (at most 4), by banded bit-parallel matching.
+
+    Lines are UTF-32 bytes, the first one framed by ``edits`` zero characters on
+    either side, so the band of a step is a window of it. The state packs
+    ``edits + 1`` vectors of ``2 edits + 1`` bits: bit b of vector d says that the first
+    line's prefix ending on diagonal b matches what was read of the second one with at
+    most d edits. A step reads one character: its equality mask over the window, then
+    match, substitution, insertion and deletion on whole vectors.
+    """
+    width = 2 * edits + 1
+    full = (1 << width) - 1
+    n, m = (F.length(wide) / 4).cast("int"), (F.length(framed) / 4).cast("int") - 2 * edits
+    begin = sum(1 << (b + width * d) for d in range(edits + 1) for b in range(width) if 0 <= b - edits <= d)
+
+    def mask(j: Column) -> Column:
+        c, out = F.substring(wide, 4 * j + 1, 4), F.lit(0).cast("long")
+        for b in range(width):
+            out = out.bitwiseOR(F.when(F.substring(framed, 4 * (j + b) + 1, 4) == c, F.lit(1 << b).cast("long")).otherwise(F.lit(0).cast("long")))
+        return out
+
+    def step(state: Column, equal: Column) -> Column:
+        old = [F.shiftright(state, width * d).bitwiseAND(full) for d in range(edits + 1)]
+        new = old[0].bitwiseAND(equal)
+        out = new
+        for d in range(1, edits + 1):
+            new = old[d].bitwiseAND(equal).bitwiseOR(old[d - 1]).bitwiseOR(F.shiftright(old[d - 1], 1)).bitwiseOR(F.shiftleft(new, 1)).bitwiseAND(full)
+            out = out.bitwiseOR(F.shiftleft(new, width * d))
+        return out
+
+    read = F.transform(F.sequence(F.lit(0), n - 1), mask)
+    end = F.aggregate(read, F.lit(begin).cast("long"), step)
+    bit = F.call_function("shiftright", end, m - n + edits + width * edits).bitwiseAND(1)
+    return F.when((F.abs(m - n) > edits) | (n < 1), F.lit(False)).otherwise(bit == 1)
 
 
 def line_classes(
@@ -94,31 +132,39 @@ def line_classes(
     first_doc = in_doc.groupBy("lid", "h", "length").agg(F.min(F.struct("ord", "pos")).alias("first"))
     firsts = staged(first_doc.select("lid", "h", "length", "first.ord", "first.pos"), "lines-first")
 
-    signed = lines.select(F.xxhash64("line").alias("lid"), F.inline(signature_column(F.col("line"), F.col("length"), edits)))
+    signed = signatures(lines, edits)
     shared = signed.groupBy("sig").agg(F.min("lid").alias("a"), F.max("lid").alias("b"), F.max("own").alias("own"))
     shared = staged(shared.where("a <> b AND own = 1").select("sig"), "lines-shared")
     members = signed.join(bounded(shared), "sig").groupBy("sig", "lid").agg(F.max("own").alias("own"))
     place = firsts.groupBy("lid").agg(F.min(F.struct("ord", "pos")).alias("at"))
     members = staged(members.join(place, "lid"), "lines-members")
 
+    lids = staged(members.select("lid").distinct(), "lines-lids")
+    texts = lines.select(F.xxhash64("line").alias("lid"), "line").join(bounded(lids), "lid").groupBy("lid", "line").count()
+    counts = [F.regexp_count("line", F.lit(c)).cast("int").alias(f"n_{c}") for c in LETTERS]
+    texts = staged(texts.select("lid", "line", F.array(*counts).alias("letters")), "lines-texts")
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs (lid, other) within the edits; ``other`` is the earlier line."""
         pairs = staged(pairs.select("lid", "other").distinct(), f"lines-pairs-{name}")
-        used = pairs.select("lid").union(pairs.select("other")).distinct()
-        used = staged(used, f"lines-used-{name}")
-        texts = lines.select(F.xxhash64("line").alias("lid"), "line").join(bounded(used), "lid").groupBy("lid", "line").count()
-        texts = staged(texts.select("lid", "line"), f"lines-texts-{name}")
-        both = pairs.join(texts, "lid").join(texts.select(F.col("lid").alias("other"), F.col("line").alias("earlier")), "other")
-        return staged(both.where(F.levenshtein("line", "earlier", edits) >= 0).select("lid", "other").distinct(), f"lines-links-{name}")
-
+        both = pairs.join(texts.select("lid", "line"), "lid").join(texts.select(F.col("lid").alias("other"), F.col("line").alias("earlier")), "other")
+        frame = F.lit(bytes(4 * edits))
+        framed = F.concat(frame, F.encode("earlier", "UTF-32"), frame).alias("framed")
+        both = staged(both.select("lid", "other", framed, F.encode("line", "UTF-32").alias("wide")), f"lines-wide-{name}")
+        return staged(both.where(within_edits(F.col("framed"), F.col("wide"), edits)).select("lid", "other").distinct(), f"lines-links-{name}")
+
+    letters = texts.groupBy("lid").agg(*[F.min(F.col("letters")[i]).alias(f"c{i}") for i in range(len(LETTERS))])
+    counted = staged(members.join(letters, "lid"), "lines-counted")
+    other = {"lid": "other", "at": "other_at", "own": "other_own"} | {f"c{i}": f"d{i}" for i in range(len(LETTERS))}
+    alike = " + ".join(f"abs(c{i} - d{i})" for i in range(len(LETTERS))) + f" <= {2 * edits}"
     heads = members.groupBy("sig").agg(F.min(F.struct("at", "lid")).alias("head"))
-    stars = members.join(heads.select("sig", "head.lid").withColumnRenamed("lid", "other"), "sig").where("lid <> other")
-    near = verified(stars, "star")
+    first = counted.join(heads.select("sig", F.col("head.lid").alias("lid")), ["sig", "lid"]).withColumnsRenamed(other)
+    near = verified(counted.join(first, "sig").where(f"lid <> other AND {alike}"), "star")
     gone = staged(near.select("lid").distinct(), "lines-gone")
     # A later line that isn't dropped yet meets every earlier line of its signatures.
-    later = members.join(bounded(gone), "lid", "left_anti").join(heads.select("sig", "head"), "sig").where("lid <> head.lid")
-    earlier = members.select("sig", F.col("lid").alias("other"), F.col("at").alias("other_at"), F.col("own").alias("other_own"))
-    rest = later.join(earlier, "sig").where("other_at < at AND own + other_own > 0 AND other <> head.lid")
+    later = counted.join(bounded(gone), "lid", "left_anti").join(heads.select("sig", "head"), "sig").where("lid <> head.lid")
+    earlier = counted.withColumnsRenamed(other)
+    rest = later.join(earlier, "sig").where(f"other_at < at AND own + other_own > 0 AND other <> head.lid AND {alike}")
     return occurrences, firsts, near.unionByName(verified(rest, "rest"))
 
 
