@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from viaduct.llm import exact_dedup, jaccard_join, line_dedup, substring_dedup
 
@@ -171,6 +172,8 @@ def test_linked_sets_share_a_signature(common, a, b, seed, percent):
     r, s = np.unique(e[: common + a]), np.unique(np.concatenate([e[:common], e[common + a :]]))
     both = len(np.intersect1d(r, s))
     if 100 * both >= percent * (len(r) + len(s) - both):
+        assert jaccard_join.sketches_allow(percent, len(r), jaccard_join.sketch(r), len(s), jaccard_join.sketch(s))
+        assert jaccard_join.sets_link(percent, len(r), r.tobytes(), len(s), s.tobytes())
         sig, of = jaccard_join.signatures([r, s], percent)
         assert set(sig[of == 0].tolist()) & set(sig[of == 1].tolist())
 
@@ -228,6 +231,26 @@ def test_lines_equal_brute_force(spark):
         assert r["text"] == (None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone))
 
 
+def test_banded_matching_equals_the_edit_distance(spark):
+    rng = np.random.default_rng(11)
+    letters = list("etaoin shrdluß😀")
+    rows = []
+    for _ in range(150):
+        a = list(rng.choice(letters, rng.integers(1, 60)))
+        b = a.copy()
+        for _ in range(rng.integers(0, 6)):
+            p, kind = int(rng.integers(0, len(b) + 1)), rng.integers(0, 3)
+            b[p : p + (kind > 0)] = [] if kind == 1 else [rng.choice(letters)]
+        rows.append(("".join(a), "".join(b)))
+    rows += [("", "a"), ("a", ""), ("abc", "abc"), ("x" * 400, "x" * 399 + "y"), ("ab" * 150, "ba" * 150)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    for k in (1, 2, 4):
+        frame = F.lit(bytes(4 * k))
+        wide = df.select("a", "b", F.encode("b", "UTF-32").alias("y"), F.concat(frame, F.encode("a", "UTF-32"), frame).alias("x")).cache()
+        got = wide.select("a", "b", line_dedup.within_edits(F.col("x"), F.col("y"), k).alias("w")).collect()
+        assert all(r["w"] == (within(r["a"], r["b"], k) and r["b"] != "") for r in got)
+
+
 def test_lines_of_documents(spark, texts):
     got = {r[0]: (r[1], r[2], r[3], r[5]) for r in tuples(line_dedup.op7_line_dedup(spark, SF001))}
     assert got == lines_by_brute_force(texts)

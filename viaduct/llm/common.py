@@ -19,7 +19,7 @@ from ..sources.tables import read_table
 # The white space of every text contract: blank, tab, LF, VT, FF, CR.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-LOWER_AZ = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,10 +34,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path."""
     context = df.sparkSession.sparkContext
-    if not any(f.startswith("viaduct-workers") for f in context._python_includes):
+    if context.applicationId not in _shipped:
+        _shipped.add(context.applicationId)
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(), "viaduct-workers.zip")
         with zipfile.ZipFile(path, "w") as archive:

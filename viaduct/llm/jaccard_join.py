@@ -5,10 +5,10 @@ lower-cased; with fewer words, the whole sequence is one shingle; without
 words, empty and linked with nothing). Two documents link when
 ``100 * intersection >= percent * union``.
 
-Signatures. Set sizes fall into bands ``[l, u]`` with ``u = 100 l / percent``, so
-linked sets lie in the same or in neighbouring bands; a set takes part in the
-instance of its own band and of the next one. In an instance, linked sets
-differ in at most ``k`` shingles. The shingle domain is hashed into ``k + 1 +
+Signatures. Set sizes fall into bands ``[l, u]``, ``u`` being ``WIDTH`` times ``l`` and at
+least ``100 l / percent``, so linked sets lie in the same or in neighbouring bands; a
+set takes part in the instance of its own band, and of the next one if it is large enough
+to link with a set there. In an instance, linked sets differ in at most ``k`` shingles. The shingle domain is hashed into ``k + 1 +
 SPARE`` partitions; ``k`` differences leave at least ``SPARE + 1`` partitions
 untouched, so linked sets agree there and share that partition's signature.
 Empty partitions say nothing: a set with at most ``SPARE`` of them leaves them out
@@ -17,11 +17,16 @@ Empty partitions say nothing: a set with at most ``SPARE`` of them leaves them o
 Work. Equal sets are one node. Each map task joins its own nodes of one
 signature to the smallest of them and sends that one on, so a signature that a
 third of all rows share costs one row per task. Candidates are verified by
-exact intersection of the sets, in two rounds: first every member of a signature
-against its leader; then, where a signature still joins several components,
-every pair between different components that isn't verified yet. Members of
-one component need no further pair, so a large group of near copies costs links
-in proportion to its size.
+exact intersection of the sets, in three rounds: first every node against the
+smallest leader of its signatures; then, where a signature still joins several
+components, its members against its leader; then every pair between different
+components of a signature that isn't verified yet. Members of one component need no further
+pair, so a large group of near copies costs pairs in proportion to its size. For
+verification members go to their leader's task, a leader with many members to several
+tasks of ``GROUP`` members each: first with parity sketches of ``SKETCH`` bits (each
+shingle flips one bit, so sketches of linked sets differ in at most as many bits as the sets
+may differ in shingles; this loses no link and settles nearly all other pairs), then,
+for the pairs left, with the sets themselves.
 
 Defined results: null text is empty; rows that repeat an id with another text
 are documents of their own under that id; a null id links with nothing and has a
@@ -34,24 +39,35 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, connected_components, documents, map_arrow, mix64, staged, text_or_empty
+from .common import connected_components, documents, map_arrow, mix64, staged, text_or_empty
 
 SPARE = 3
-FLUSH_ROWS = 1_500_000
-# Ids (8 bytes each) that may be broadcast; beyond it the join shuffles.
+WIDTH = 1.35
+FLUSH_ROWS = 800_000
+CHUNK = 1 << 20
+GROUP = 512
+SKETCH = 4096
+# Ids, and roles of nodes, that may be broadcast (some 10 bytes each); beyond that the join shuffles.
 BROADCAST_IDS = 2_000_000
+BROADCAST_ROLES = 2_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+# A number for each byte, the same for both cases of A-Z; 0 for white space.
+_BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * _P)
+_BYTE[65:91] = _BYTE[97:123]
+_SPACES = np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+
+
 class WordHashes(dict):
     """64-bit hashes of words, a bounded cache."""
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-
         value = xxhash.xxh3_64_intdigest(word)
         if len(self) >= 400_000:
             self.clear()
@@ -59,24 +75,48 @@ class WordHashes(dict):
         return value
 
 
-_words = WordHashes()
-
-
-def word_hashes(text: str) -> np.ndarray:
-    words = text.encode("utf-8", "surrogatepass").translate(LOWER_AZ).split()
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-
-
-def shingle_set(text: str, n: int) -> np.ndarray:
-    """Sorted hashes of the distinct ``n``-word shingles."""
-    h = word_hashes(text)
-    if not len(h):
-        return h
-    width = min(n, len(h))
-    s = np.full(len(h) - width + 1, width, np.uint64)
-    for i in range(width):
-        s = s * _P + h[i : len(h) - width + 1 + i]
-    return np.unique(mix64(s))
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first byte's offset) of each word: a polynomial in random numbers for its bytes."""
+    b = np.frombuffer(data, np.uint8)
+    at = np.flatnonzero(~_SPACES[b])
+    if not len(at):
+        return np.zeros(0, np.uint64), at
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
+    size = np.diff(np.concatenate([first, [len(at)]]))
+    place = np.arange(len(at)) - np.repeat(first, size)
+    power = np.cumprod(np.full(int(size.max()), _P, np.uint64), dtype=np.uint64)
+    return mix64(np.add.reduceat(_BYTE[b[at]] * power[place], first)), at[first]
+
+
+def shingle_sets(texts: list[str], n: int) -> list[np.ndarray]:
+    """Per text the sorted hashes of its distinct ``n``-word shingles; texts are hashed about ``CHUNK`` bytes at a time."""
+    out: list[np.ndarray] = []
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    low = 0
+    while low < len(raw):
+        high, size = low, 0
+        while high < len(raw) and (high == low or size + len(raw[high]) <= CHUNK):
+            size += len(raw[high]) + 1
+            high += 1
+        h, at = word_hashes(b" ".join(raw[low:high]))
+        ends = np.searchsorted(at, np.cumsum([len(r) + 1 for r in raw[low:high]]))
+        begin = 0
+        for end in ends.tolist():
+            words = h[begin:end]
+            begin = end
+            if not len(words):
+                out.append(words)
+                continue
+            width = min(n, len(words))
+            s = np.full(len(words) - width + 1, width, np.uint64)
+            for i in range(width):
+                s *= _P
+                s += words[i : len(words) - width + 1 + i]
+            s = mix64(s)
+            s.sort()
+            out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+        low = high
+    return out
 
 
 def fingerprint(s: np.ndarray) -> tuple[int, int]:
@@ -88,55 +128,63 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
 
 def size_bands(largest: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper set size of each band, up to the one after ``largest``."""
-    low, high = [1], [100 // percent]
-    while low[-1] <= largest or len(low) < 2 or low[-2] <= largest:
-        low.append(high[-1] + 1)
-        high.append(max(low[-1], 100 * low[-1] // percent))
+    low, high = [], []
+    while len(low) < 2 or low[-2] <= largest:
+        low.append(high[-1] + 1 if high else 1)
+        high.append(max(low[-1], int(WIDTH * low[-1]), 100 * low[-1] // percent))
     return np.array(low, np.int64), np.array(high, np.int64)
 
 
 def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(signature, number of its set) of non-empty sets."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    elements = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    low, high = size_bands(int(sizes.max()), percent)
-    band = np.searchsorted(low, sizes, "right") - 1
-    place = mix64(elements ^ np.uint64(0xA0761D6478BD642F))
-    value = mix64(elements + np.uint64(0xE7037ED1A0B428DB))
-    lo, hi = (value & np.uint64(0xFFFFFFFF)).astype(np.float64), (value >> np.uint64(32)).astype(np.float64)
+    every = np.array([len(s) for s in sets], np.int64)
+    low, high = size_bands(int(every.max()), percent)
+    own = np.searchsorted(low, every, "right") - 1
     out_sig, out_set = [], []
     for step in (0, 1):
-        instance = band + step
+        # The next band's smallest set links with sets of at least percent / 100 of its size.
+        which = np.arange(len(sets)) if step == 0 else np.flatnonzero(100 * every >= percent * low[own + 1])
+        if not len(which):
+            continue
+        sizes, instance = every[which], own[which] + step
+        elements = np.concatenate([sets[i] for i in which])
+        owner = np.repeat(np.arange(len(which)), sizes)
         # |r - s| + |s - r| <= (1 - t) / (1 + t) * (|r| + |s|), both sizes at most the band's upper end
-        k = 2 * high[instance] * (100 - percent) // (100 + percent)
-        parts = k + 1 + SPARE
+        parts = 2 * high[instance] * (100 - percent) // (100 + percent) + 1 + SPARE
         start = np.concatenate([[0], np.cumsum(parts)])
-        slot = start[owner] + (place % parts[owner].astype(np.uint64)).astype(np.int64)
+        # Upper bits of a shingle's hash choose its partition, all bits its value.
+        slot = start[owner] + ((elements >> np.uint64(32)) * parts[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        value = elements * np.uint64(0xE7037ED1A0B428DB)
+        value ^= value >> np.uint64(32)
         count = np.bincount(slot, minlength=start[-1])
-        low_sum = np.bincount(slot, lo, start[-1]).astype(np.uint64)
-        high_sum = np.bincount(slot, hi, start[-1]).astype(np.uint64)
-        total = low_sum + (high_sum << np.uint64(32))
-        of = np.repeat(np.arange(len(sets)), parts)
+        total = np.bincount(slot, value & np.uint64(0xFFFFFFFF), start[-1]).astype(np.uint64)
+        total += np.bincount(slot, value >> np.uint64(32), start[-1]).astype(np.uint64) << np.uint64(32)
+        of = np.repeat(np.arange(len(which)), parts)
         number = np.arange(start[-1]) - start[of]
-        empty = np.bincount(of, count == 0, len(sets))
+        empty = np.bincount(of, count == 0, len(which))
         use = (count > 0) | (empty[of] > SPARE)
-        tag = mix64((instance[of] * 1_000_003 + number).astype(np.uint64) * _P + count.astype(np.uint64))
-        out_sig.append(mix64(total[use] ^ tag[use]))
-        out_set.append(of[use])
+        tag = (instance[of[use]] * 1_000_003 + number[use]).astype(np.uint64) * _P + count[use].astype(np.uint64)
+        out_sig.append(mix64(total[use] ^ mix64(tag)))
+        out_set.append(which[of[use]])
     return np.concatenate(out_sig), np.concatenate(out_set)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the number of shingles that fall on each of ``SKETCH`` bits."""
+    bits = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(bits.astype(bool)).tobytes()
+
+
 def _info(n: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
+            sets = shingle_sets(batch.column("text").to_pylist(), n)
             prints = [fingerprint(s) if len(s) else (0, 0) for s in sets]
             columns = [
                 batch.column("id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
+                pa.array([p[0] for p in prints], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "node", "check"])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "node", "payload"])
 
     return scan
 
@@ -165,8 +213,7 @@ def _signature_rows(n: int, percent: int):
         sigs, nodes, held = [], [], 0
         for batch in batches:
             sets, prints = [], []
-            for text in batch.column("text").to_pylist():
-                s = shingle_set(text, n)
+            for s in shingle_sets(batch.column("text").to_pylist(), n):
                 if len(s) and (f := fingerprint(s)[0]) not in seen:
                     seen.add(f)
                     sets.append(s)
@@ -214,35 +261,59 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(n: int):
+    """(id, node, n, payload): the sets of nodes."""
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node = batch.column("node").to_pylist()
-            sets = [shingle_set(t, n) for t in batch.column("text").to_pylist()]
-            # An id may come with several texts; the node's own one is meant.
-            own = [i for i, s in enumerate(sets) if len(s) and fingerprint(s)[0] == node[i]]
-            blob = _binary(np.array([8 * len(sets[i]) for i in own], np.int64), b"".join(sets[i].tobytes() for i in own))
-            yield pa.RecordBatch.from_arrays([pa.array([node[i] for i in own], pa.int64()), blob], ["node", "shingles"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, 256):
+                batch = whole.slice(low, 256)
+                node, sets = batch.column("node").to_pylist(), shingle_sets(batch.column("text").to_pylist(), n)
+                # An id may come with several texts; the node's own one is meant.
+                own = pa.array([bool(len(s)) and fingerprint(s)[0] == i for s, i in zip(sets, node, strict=True)], pa.bool_())
+                blobs = pa.array([s.tobytes() for s in sets], pa.binary())
+                size = pa.array([len(s) for s in sets], pa.int64())
+                columns = [batch.column("node"), batch.column("roles"), size, blobs]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "roles", "n", "payload"]).filter(own)
 
     return scan
 
 
-def _verify(percent: int):
+def sketches_allow(percent: int, n: int, a: bytes, m: int, b: bytes) -> bool:
+    """Whether sets of these sizes and sketches can link."""
+    differ = int(np.bitwise_count(np.frombuffer(a, np.uint64) ^ np.frombuffer(b, np.uint64)).sum())
+    return (100 + percent) * differ <= (100 - percent) * (n + m)
+
+
+def sets_link(percent: int, n: int, a: bytes, m: int, b: bytes) -> bool:
+    both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
+    return 100 * both >= percent * (n + m - both)
+
+
+def _meet(test, percent: int):
+    """Pairs (a, b) that pass the test; rows come sorted by (a, salt), the leader first."""
+
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader, lead = None, None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                r, s = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(r, s, assume_unique=True))
-                keep.append(100 * both >= percent * (len(r) + len(s) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            out = []
+            for a, salt, member, node, n, payload in zip(*(batch.column(c).to_pylist() for c in _ROLE_COLUMNS), strict=True):
+                if not member:
+                    leader, lead = (a, salt), (n, payload)
+                elif leader == (a, salt) and test(percent, *lead, n, payload):
+                    out.append((a, node))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
 
     return scan
 
 
-def _semi(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
-    """Rows whose id is among ``ids`` (distinct longs); broadcast within a checked size."""
-    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if small else ids, on)
+def _with_roles(rows: DataFrame, roles: DataFrame, on: list[str]) -> DataFrame:
+    """Rows with their roles; broadcast within a checked number of roles."""
+    total = roles.agg(F.sum(F.size("roles"))).first()[0] or 0
+    return rows.join(F.broadcast(roles) if total <= BROADCAST_ROLES else roles, on)
+
+
+_ROLE_COLUMNS = ("a", "salt", "member", "node", "n", "payload")
 
 
 def jaccard_classes(
@@ -250,7 +321,7 @@ def jaccard_classes(
 ) -> tuple[DataFrame, DataFrame]:
     """(documents, links): (doc_id, n_shingles, node, component_id), and verified links (a, b) between nodes."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    info = staged(map_arrow(rows, _info(n), "id long, n long, node long, check long"), "jaccard-info")
+    info = staged(map_arrow(rows, _info(n), "id long, n long, node long, payload binary"), "jaccard-info")
     nodes = staged(
         info.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")), "jaccard-nodes"
     )
@@ -259,41 +330,64 @@ def jaccard_classes(
     signed = signed.repartition("sig").sortWithinPartitions("sig", "node")
     shared = staged(map_arrow(signed, _shared, "sig long, leader long, member long"), "jaccard-shared")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    size = nodes.select("node", "n")
+
+    def roles_of(pairs: DataFrame) -> DataFrame:
+        """(node, id, roles) of the nodes of pairs: a leads, the b follow, ``GROUP`` of them in a task."""
+        tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("tasks"))
+        salted = pairs.join(tasks, "a").select("a", F.pmod(F.hash("b"), "tasks").alias("salt"), "b")
+        role = lambda member: F.struct("a", "salt", F.lit(member).alias("member")).alias("role")
+        members = salted.select(F.col("b").alias("node"), role(1))
+        leaders = salted.select("a", "salt").distinct().select(F.col("a").alias("node"), role(0))
+        roles = members.unionByName(leaders).groupBy("node").agg(F.collect_list("role").alias("roles"))
+        return staged(roles.join(nodes.select("node", "id"), "node"), "jaccard-roles")
+
+    def met(rows: DataFrame, test) -> DataFrame:
+        """Pairs that pass the test, from rows (node, roles, n, payload)."""
+        each = rows.select(F.inline("roles"), "node", "n", "payload").select(*_ROLE_COLUMNS)
+        each = each.repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
+        return map_arrow(each, _meet(test, percent), "a long, b long").distinct()
+
+    def verified(pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that link."""
-        size = nodes.select("node", "n")
         pairs = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
-        fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-        pairs = staged(pairs.where(fits).select("a", "b"), f"jaccard-pairs-{name}")
-        used = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        ids = staged(nodes.join(used, "node").select("id", "node"), f"jaccard-ids-{name}")
-        texts = _semi(rows, ids, "id")
-        sets = staged(map_arrow(texts.select("node", "text"), _sets(n), "node long, shingles binary"), f"jaccard-sets-{name}")
-        left = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        full = left.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        return staged(map_arrow(full, _verify(percent), "a long, b long"), f"jaccard-links-{name}")
-
-    stars = shared.where("leader <> member").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    links = verified(stars, "star")
+        pairs = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
+        near = _with_roles(info, roles_of(staged(pairs, "jaccard-pairs")), ["id", "node"])
+        near = staged(met(near, sketches_allow), "jaccard-near")
+        texts = _with_roles(rows, roles_of(near), ["id"]).select("node", "roles", "text")
+        kind = "node long, roles array<struct<a long, salt int, member int>>, n long, payload binary"
+        return staged(met(map_arrow(texts, _sets(n), kind), sets_link), "jaccard-links")
+
+    def opened(components: DataFrame) -> DataFrame:
+        """(sig, leader, member, root) of signatures that still join several components."""
+        placed = shared.join(components.withColumnRenamed("node", "member"), "member", "left")
+        placed = placed.select("sig", "leader", "member", F.coalesce("component", "member").alias("root"))
+        several = placed.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("sig")
+        return staged(placed.join(several, "sig"), "jaccard-open")
+
+    a, b = F.col("leader").alias("a"), F.col("member").alias("b")
+    first = staged(shared.where("leader <> member").groupBy("member").agg(F.min("leader").alias("leader")), "jaccard-first")
+    links = verified(first.select(a, b))
     components = staged(connected_components(links), "jaccard-components")
 
-    # What the stars left apart: pairs of one signature in different components.
-    root = F.coalesce("component", "member")
-    placed = shared.join(components.withColumnRenamed("node", "member"), "member", "left").select("sig", "leader", "member", root.alias("root"))
-    open_sigs = placed.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("m"))
-    open_sigs = open_sigs.where("r0 <> r1 AND m > 2").select("sig")
-    apart = staged(placed.join(open_sigs, "sig"), "jaccard-apart")
-    x = apart.select("sig", F.col("member").alias("a"), F.col("root").alias("ra"), "leader")
-    y = apart.select("sig", F.col("member").alias("b"), F.col("root").alias("rb"))
-    size = nodes.select("node", "n")
-    x = x.join(size.toDF("a", "na"), "a")
-    y = y.join(size.toDF("b", "nb"), "b")
+    # Members against the leader of every signature that joins several components.
+    apart = opened(components)
+    heads = apart.where("leader = member").select("sig", F.col("root").alias("head"))
+    stars = apart.join(heads, "sig").where("root <> head").select("leader", "member").distinct()
+    stars = staged(stars.join(first, ["leader", "member"], "left_anti").select(a, b), "jaccard-stars")
+    if stars.limit(1).count():
+        links = links.unionByName(verified(stars))
+        components = staged(connected_components(links), "jaccard-components")
+        apart = opened(components)
+
+    # Every pair of different components of one signature; pairs with its leader are verified.
+    rest = apart.where("leader <> member").select("sig", "member", "root")
+    x = rest.select("sig", F.col("member").alias("a"), F.col("root").alias("ra")).join(size.toDF("a", "na"), "a")
+    y = rest.select("sig", F.col("member").alias("b"), F.col("root").alias("rb")).join(size.toDF("b", "nb"), "b")
     fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-    # The star already verified every pair with the leader.
-    rest = x.join(y, "sig").where(fits & (F.col("a") != F.col("leader")) & (F.col("b") != F.col("leader")))
-    rest = staged(rest.select("a", "b").distinct(), "jaccard-rest")
+    rest = staged(x.join(y, "sig").where(fits).select("a", "b").distinct(), "jaccard-rest")
     if rest.limit(1).count():
-        links = links.unionByName(verified(rest, "rest"))
+        links = links.unionByName(verified(rest))
         components = staged(connected_components(links), "jaccard-components")
     smallest = components.join(nodes, "node").groupBy("component").agg(F.min("id").alias("component_id"))
     label = components.join(smallest, "component").select("node", "component_id")
