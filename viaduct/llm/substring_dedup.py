@@ -232,13 +232,20 @@ def _survivors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out
 
 
+def _blobs(out: list[tuple[int, bytes]], name: str) -> pa.RecordBatch:
+    """(uid, bytes) rows collected so far."""
+    uids, blobs = ([r[i] for r in out] for i in (0, 1))
+    out.clear()
+    return pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(blobs, pa.binary())], ["uid", name])
+
+
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(uid, places): the anchors of one text; rows come sorted by uid and pos."""
-    uid_held, held = None, []
+    uid_held, held, out = None, [], []
 
-    def row():
-        place = np.concatenate(held)
-        return pa.RecordBatch.from_arrays([pa.array([uid_held], pa.int64()), pa.array([np.unique(place).tobytes()], pa.binary())], ["uid", "places"])
+    def close():
+        out.append((uid_held, np.unique(np.concatenate(held)).tobytes()))
+        held.clear()
 
     for batch in batches:
         uid = batch.column("uid").to_numpy()
@@ -249,12 +256,14 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if z > a:
                 if held and uid[a] != uid_held:
-                    yield row()
-                    held = []
+                    close()
                 uid_held = int(uid[a])
                 held.append(place[a:z])
+        if len(out) >= 1000:
+            yield _blobs(out, "places")
     if held:
-        yield row()
+        close()
+    yield _blobs(out, "places")
 
 
 def _side(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -382,15 +391,15 @@ def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(uid, spans): maximal runs of removed bytes of a text; rows come sorted by uid and pos."""
-    uid_held, held = None, []
+    uid_held, held, out = None, [], []
 
-    def row():
+    def close():
         starts = np.unique(np.concatenate(held))
         new = np.concatenate([[True], starts[1:] > starts[:-1] + LENGTH])
         begin = starts[new]
         end = starts[np.concatenate([new[1:], [True]])] + LENGTH
-        spans = np.stack([begin, end], axis=1).astype("<i4")
-        return pa.RecordBatch.from_arrays([pa.array([uid_held], pa.int64()), pa.array([spans.tobytes()], pa.binary())], ["uid", "spans"])
+        out.append((uid_held, np.stack([begin, end], axis=1).astype("<i4").tobytes()))
+        held.clear()
 
     for batch in batches:
         uid, pos, mask = (batch.column(c).to_numpy() for c in ("uid", "pos", "mask"))
@@ -399,12 +408,14 @@ def _spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if z > a:
                 if held and uid[a] != uid_held:
-                    yield row()
-                    held = []
+                    close()
                 uid_held = int(uid[a])
                 held.append((pos[a:z, None].astype(np.int64) + np.arange(STRIDE))[bits[a:z]])
+        if len(out) >= 1000:
+            yield _blobs(out, "spans")
     if held:
-        yield row()
+        close()
+    yield _blobs(out, "spans")
 
 
 def _bounded(rows: DataFrame, blob: str) -> DataFrame:
