@@ -29,27 +29,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, documents
+from .common import WORD, documents, staged
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
 BINS = 4096
-# Words holding none of these marks count as clean.
-CLEAN_WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D%$&*#!|]+(?![^\x20\x09-\x0D])"
+JUNK = r"[%$&*#!|]"
 
 
 def word_count(text: Column) -> Column:
-    """Number of words; every word but the first follows white space."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ")
-    trimmed = F.btrim(spaced, F.lit(" "))
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 1).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
 def quality_weight(text: Column) -> Column:
     """0.1 plus the share of characters that aren't junk marks (1.1 for an empty text)."""
     plain = F.coalesce(text, F.lit(""))
     n = F.greatest(F.length(plain), F.lit(1))
-    return F.lit(0.1) + (n - (F.length(plain) - F.length(F.translate(plain, "%$&*#!|", "")))) / n
+    return F.lit(0.1) + (n - F.regexp_count(plain, F.lit(JUNK))) / n
 
 
 def uniform(key: Column, seed: int) -> Column:
@@ -104,8 +100,11 @@ def mix(
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if keep else []),
     )
     rows = rows.withColumn("bin", F.least(F.lit(bins - 1), F.floor((1 - F.exp(-F.col("key"))) * bins)).cast("int"))
-    targets = source_targets(rows, weights, cap)
-    loads = rows.groupBy("source", "bin").agg(F.sum("size").alias("load"))
+    # Texts are read once for all statistics (and once more where the rows are kept).
+    narrow = staged(rows.drop("row"), "mix-sizes")
+    rows = rows if keep else narrow
+    targets = staged(source_targets(narrow, weights, cap), "mix-targets")
+    loads = narrow.groupBy("source", "bin").agg(F.sum("size").alias("load"))
     run = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     loads = loads.withColumn("upto", F.sum("load").over(run)).withColumnRenamed("source", "src")
     edges = targets.join(loads, F.col("source").eqNullSafe(F.col("src")), "left").groupBy(
@@ -114,6 +113,7 @@ def mix(
         F.coalesce(F.min(F.when(F.col("upto") >= F.col("rest"), F.col("bin"))), F.lit(bins)).alias("edge"),
         F.coalesce(F.max(F.when(F.col("upto") < F.col("rest"), F.col("upto"))), F.lit(0)).alias("below"),
     ).withColumnRenamed("source", "src")
+    edges = staged(edges, "mix-edges")
     placed = rows.join(edges, F.col("source").eqNullSafe(F.col("src"))).drop("src")
     whole = placed.where("bin <> edge").withColumn("part", F.when(F.col("bin") < F.col("edge"), F.col("size")).otherwise(0))
     order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
