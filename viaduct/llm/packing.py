@@ -42,7 +42,7 @@ from .common import documents, map_arrow, text_or_empty
 CAPACITY = 2048
 CLOSING_ID = 1
 SHARD_WINDOWS = 64
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 TOKENIZER = "word_bpe_49k.json"
 
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -55,6 +55,11 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PLAIN = r"[\x21-\x7e\xa1-įı-ɏ]+"
 
 
+# Byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes, in order, for the letters from 256 on.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_BYTE_LETTERS = {b: 256 + n for n, b in enumerate(_HIDDEN)}
+
+
 class Encoder:
     """Ids of a text as packed little-endian 32-bit numbers."""
 
@@ -66,6 +71,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file if os.path.isabs(file) else public_tokenizers.path(file))
+        self.tokenize = self.tokenizer.model.tokenize
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.find = regex.compile(PRE_TOKEN).findall
         self.plain = regex.compile(PLAIN).fullmatch
@@ -84,6 +90,12 @@ class Encoder:
     def packed(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def piece(self, piece: str) -> bytes:
+        """Ids of a lower-cased pre-token."""
+        if not piece.isascii():
+            piece = piece.encode("utf-8").decode("latin-1").translate(_BYTE_LETTERS)
+        return np.array([t.id for t in self.tokenize(piece)], "<u4").tobytes()
+
     def word(self, word: str) -> bytes:
         if not self.plain(word):
             return self.packed(word) if word else b""
@@ -93,7 +105,7 @@ class Encoder:
             if ids is None:
                 if len(self.pieces) >= 2 * CACHE_WORDS:
                     self.pieces.clear()
-                ids = self.pieces[piece] = self.packed(piece)
+                ids = self.pieces[piece] = self.piece(piece)
             out.append(ids)
         return b"".join(out)
 
