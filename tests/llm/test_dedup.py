@@ -256,6 +256,18 @@ def test_lines_of_documents(spark, texts):
     assert got == lines_by_brute_force(texts)
 
 
+def test_short_lines_that_stand_earlier_are_found(spark, texts):
+    """Lines of 1 to 23 characters take part in exact dedup."""
+    seen, want = set(), {}
+    for i, t in texts:
+        gone = [p for p, x in enumerate((t or "").split("\n")) if 0 < len(x) < 24 and (x in seen or seen.add(x))]
+        want[i] = (len(gone), ",".join(map(str, gone)))
+    rows = line_dedup.op7_line_dedup(spark, SF001).collect()
+    assert {r["doc_id"]: (r["n_equal_short"], r["dropped_short"]) for r in rows} == want and any(n for n, _ in want.values())
+    docs = spark.createDataFrame([(1, "short\n\nshort\nb"), (2, "b\n\nc"), (None, "c")], "doc_id long, text string")
+    assert {(r["doc_id"], r["text"]) for r in line_dedup.without_repeated_lines(docs, short=True).collect()} == {(1, "short\n\nb"), (2, "\nc"), (None, "")}
+
+
 def test_lines_of_no_table(no_docs):
     assert tuples(line_dedup.dropped_lines(no_docs)) == []
 

@@ -2,7 +2,9 @@
 
 A line (text between line feeds) of at least ``MIN_CHARS`` characters is dropped
 when it stands earlier in the corpus (by document id, then line number), or
-when an earlier line lies within ``EDITS`` edits of it. Shorter lines stay.
+when an earlier line lies within ``EDITS`` edits of it. Of shorter lines, ``short`` takes those
+in that aren't empty and stand earlier: two edits turn short lines into other ones
+(another number, another name), so the near join alone has the lower bound.
 
 Candidates. A line of length L is cut into ``EDITS + 1`` even segments; two
 lines within ``EDITS`` edits agree on a whole segment of the shorter one. A
@@ -116,17 +118,19 @@ def within_edits(framed: Column, wide: Column, edits: int) -> Column:
 
 
 def line_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(occurrences, first occurrences, near links).
 
     occurrences: doc, pos, lid; first: lid, doc, pos of each distinct line; links:
-    (lid, other), ``other`` being an earlier line within ``edits`` edits.
+    (lid, other), ``other`` being an earlier line within ``edits`` edits. With ``short``,
+    occurrences and first hold the lines of 1 to ``min_chars - 1`` characters too.
     """
-    lines = lines_of(docs, id_col, text_col).withColumn("length", F.length("line")).where(F.col("length") >= min_chars)
+    every = lines_of(docs, id_col, text_col).withColumn("length", F.length("line"))
+    every, lines = every.where(F.col("length") >= (1 if short else min_chars)), every.where(F.col("length") >= min_chars)
     key = [F.xxhash64("line").alias("lid"), F.hash("line").alias("h"), "length"]
     order = F.coalesce("doc", F.lit(LAST))
-    occurrences = lines.select("doc", order.alias("ord"), "pos", *key)
+    occurrences = every.select("doc", order.alias("ord"), "pos", *key)
     # Smallest document first, then the smallest line number in it: two hash aggregates, map-side combined.
     in_doc = occurrences.groupBy("lid", "h", "length", "ord").agg(F.min("pos").alias("pos"))
     first_doc = in_doc.groupBy("lid", "h", "length").agg(F.min(F.struct("ord", "pos")).alias("first"))
@@ -168,15 +172,17 @@ def line_classes(
     return occurrences, firsts, near.unionByName(verified(rest, "rest"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc, pos, near, other): lines to drop, ``near`` where no equal line stands earlier."""
-    occurrences, firsts, links = line_classes(docs, id_col, text_col, edits, min_chars)
+def dropped_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
+) -> DataFrame:
+    """(doc, pos, near, links, length): lines to drop, ``near`` where no equal line stands earlier."""
+    occurrences, firsts, links = line_classes(docs, id_col, text_col, edits, min_chars, short)
     near = links.groupBy("lid").agg(F.count("*").alias("links"))
     firsts = firsts.join(near, "lid", "left").withColumnsRenamed({"ord": "first_ord", "pos": "first_pos"})
     every = occurrences.join(firsts, ["lid", "h", "length"])
     repeat = (F.col("ord") != F.col("first_ord")) | (F.col("pos") != F.col("first_pos"))
     every = every.where(repeat | F.col("links").isNotNull())
-    return every.select("doc", "pos", (~repeat).alias("near"), F.coalesce("links", F.lit(0)).alias("links"))
+    return every.select("doc", "pos", (~repeat).alias("near"), F.coalesce("links", F.lit(0)).alias("links"), "length")
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -190,13 +196,19 @@ def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """One row per document: lines, dropped lines (equal, near), links of its near lines, dropped line numbers."""
+    """One row per document: lines, dropped lines (equal, near), links of its near lines, dropped line numbers; repeats below ``MIN_CHARS`` apart."""
     docs = documents(spark, sf_dir)
-    drop = dropped_lines(docs).groupBy("doc").agg(
-        F.count_if(~F.col("near")).alias("n_equal"), F.count_if("near").alias("n_near"),
-        F.sum("links").alias("n_links"), F.array_join(F.array_sort(F.collect_list("pos")), ",").alias("dropped"),
+    short = F.col("length") < MIN_CHARS
+    numbers = lambda which: F.array_join(F.array_sort(F.collect_list(F.when(which, F.col("pos")))), ",")
+    drop = dropped_lines(docs, short=True).groupBy("doc").agg(
+        F.count_if(~F.col("near") & ~short).alias("n_equal"), F.count_if("near").alias("n_near"),
+        F.sum("links").alias("n_links"), numbers(~short).alias("dropped"),
+        F.count_if(short).alias("n_equal_short"), numbers(short).alias("dropped_short"),
     )
     every = docs.select("doc_id", F.size(F.split(text_or_empty("text"), "\n", -1)).cast("long").alias("n_lines"))
     joined = every.join(drop, F.col("doc_id").eqNullSafe(F.col("doc")), "left")
-    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_equal", "n_near", "n_links")]
-    return joined.select("doc_id", "n_lines", *zero, F.coalesce("dropped", F.lit("")).alias("dropped"))
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    listed = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    return joined.select(
+        "doc_id", "n_lines", number("n_equal"), number("n_near"), number("n_links"), listed("dropped"), number("n_equal_short"), listed("dropped_short")
+    )
