@@ -256,6 +256,22 @@ def test_lines_of_documents(spark, texts):
     assert got == lines_by_brute_force(texts)
 
 
+def test_links_of_near_lines_equal_brute_force(spark):
+    """All earlier neighbours count, also those of lines that one of them settles."""
+    base = "every line of this group is alike but for few letters"
+    rows = [(i, base[:p] + c + base[p + 1 :]) for i, (p, c) in enumerate((p, c) for p in (3, 20, 37, 50) for c in "xyz")]
+    rows += [(100, rows[0][1] + "\n" + base), (101, base[1:]), (102, base + "!!"), (103, base + "!!!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    first, want = [], {}
+    for i, t in rows:
+        for p, line in enumerate(t.split("\n")):
+            if line not in first:
+                want[i, p] = sum(within(line, o, 2) for o in first)
+                first.append(line)
+    got = {(r["doc"], r["pos"]): r["links"] for r in line_dedup.dropped_lines(docs).collect() if r["near"]}
+    assert got == {k: n for k, n in want.items() if n} and max(got.values()) > 10
+
+
 def test_short_lines_that_stand_earlier_are_found(spark, texts):
     """Lines of 1 to 23 characters take part in exact dedup."""
     seen, want = set(), {}

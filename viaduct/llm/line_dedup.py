@@ -14,11 +14,10 @@ edits). A signature is the hash of (indexed length, segment number, substring).
 
 Work. Signatures are made where the text is read; equal lines share an id, so
 the aggregate that finds signatures of several lines combines copies map-side.
-Only lines of such signatures are listed. They are first verified against the
-earliest line of their signature, which settles large groups of alike lines
-with one pair each; then all pairs are verified whose later line isn't
-dropped yet and whose letter counts differ by at most two per edit (an edit changes
-two counts by one at most, so the filter in the join condition loses no pair).
+Only lines of such signatures are listed. All their pairs are verified whose letter
+counts differ by at most two per edit (an edit changes two counts by one at most, so
+the filter in the join condition loses no pair): links are counted for every line, also
+for one that an earlier link drops, so a group of alike lines costs its pairs.
 Verification is bit-parallel in a band of ``2 EDITS + 1`` diagonals, over the whole
 lines: see `within_edits`.
 
@@ -148,28 +147,24 @@ def line_classes(
     counts = [F.regexp_count("line", F.lit(c)).cast("int").alias(f"n_{c}") for c in LETTERS]
     texts = staged(texts.select("lid", "line", F.array(*counts).alias("letters")), "lines-texts")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
+    def verified(pairs: DataFrame) -> DataFrame:
         """Pairs (lid, other) within the edits; ``other`` is the earlier line."""
-        pairs = staged(pairs.select("lid", "other").distinct(), f"lines-pairs-{name}")
+        pairs = staged(pairs.select("lid", "other").distinct(), "lines-pairs")
         both = pairs.join(texts.select("lid", "line"), "lid").join(texts.select(F.col("lid").alias("other"), F.col("line").alias("earlier")), "other")
         frame = F.lit(bytes(4 * edits))
         framed = F.concat(frame, F.encode("earlier", "UTF-32"), frame).alias("framed")
-        both = staged(both.select("lid", "other", framed, F.encode("line", "UTF-32").alias("wide")), f"lines-wide-{name}")
-        return staged(both.where(within_edits(F.col("framed"), F.col("wide"), edits)).select("lid", "other").distinct(), f"lines-links-{name}")
+        both = staged(both.select("lid", "other", framed, F.encode("line", "UTF-32").alias("wide")), "lines-wide")
+        return staged(both.where(within_edits(F.col("framed"), F.col("wide"), edits)).select("lid", "other").distinct(), "lines-links")
 
     letters = texts.groupBy("lid").agg(*[F.min(F.col("letters")[i]).alias(f"c{i}") for i in range(len(LETTERS))])
     counted = staged(members.join(letters, "lid"), "lines-counted")
     other = {"lid": "other", "at": "other_at", "own": "other_own"} | {f"c{i}": f"d{i}" for i in range(len(LETTERS))}
     alike = " + ".join(f"abs(c{i} - d{i})" for i in range(len(LETTERS))) + f" <= {2 * edits}"
-    heads = members.groupBy("sig").agg(F.min(F.struct("at", "lid")).alias("head"))
-    first = counted.join(heads.select("sig", F.col("head.lid").alias("lid")), ["sig", "lid"]).withColumnsRenamed(other)
-    near = verified(counted.join(first, "sig").where(f"lid <> other AND {alike}"), "star")
-    gone = staged(near.select("lid").distinct(), "lines-gone")
-    # A later line that isn't dropped yet meets every earlier line of its signatures.
-    later = counted.join(bounded(gone), "lid", "left_anti").join(heads.select("sig", "head"), "sig").where("lid <> head.lid")
+    # Every line meets every earlier line of its signatures, dropped or not, so links are whole.
     earlier = counted.withColumnsRenamed(other)
-    rest = later.join(earlier, "sig").where(f"other_at < at AND own + other_own > 0 AND other <> head.lid AND {alike}")
-    return occurrences, firsts, near.unionByName(verified(rest, "rest"))
+    before = F.struct("other_at", "other") < F.struct("at", "lid")
+    pairs = counted.join(earlier, "sig").where(before).where(f"own + other_own > 0 AND {alike}")
+    return occurrences, firsts, verified(pairs)
 
 
 def dropped_lines(
