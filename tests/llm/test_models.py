@@ -260,6 +260,27 @@ def test_permutations_are_bijective(size, tweak):
     assert sorted(by.permute(i, size, tweak) for i in range(size)) == list(range(size))
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.integers(2, 600), st.text(max_size=5))
+def test_no_number_stays(size, tweak):
+    by = pii.Surrogates()
+    image = [by.derange(i, size, tweak) for i in range(size)]
+    assert sorted(image) == list(range(size)) and all(i != x for i, x in enumerate(image))
+    assert all(by.permute(by.permute(i, size, tweak), size, tweak, back=True) == i for i in range(size))
+
+
+def test_names_of_all_scripts_change():
+    by = pii.Surrogates()
+    for name in ("محمد", "שרה", "王小明", "김철수", "राम", "Łukąść", "Şğı", "Čžěř", "Άέή", "Ed", "Al", "Li", "Bo"):
+        new = by.replace("person", name)
+        assert new != name and len(new) == len(name) and [c.isupper() for c in new] == [c.isupper() for c in name]
+    for local in ("محمد", "王小明", "ąęł", "+", "٣٤"):
+        new = by.rewrite(f"to {local}@example.com now")[0]
+        assert local + "@" not in new
+    two = [a + "i" for a in "BCDFGHJKLMNPQRSTVWXZ"]
+    assert sorted(by.person(v) for v in two) == sorted(two) and all(by.person(v) != v for v in two)
+
+
 def test_check_digits_stay_valid():
     by = pii.Surrogates()
     luhn = lambda v: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed([c for c in v if c.isdigit()]))) % 10 == 0

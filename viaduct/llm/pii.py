@@ -6,10 +6,11 @@ Kinds: e-mail, phone, IPv4, card number, IBAN, social security number, secret
 
 A surrogate is the image of the value under a keyed permutation of all values of
 the same form (a Feistel network over the characters that may change, with
-cycle walking), so:
+cycle walking, around a shift, so that no value is its own surrogate), so:
 
 * type and format stay: digits for digits, letters for letters of the same
-  script and case, vowels for vowels in names, separators, lengths, country
+  script and case (all scripts; Latin, Cyrillic and Greek by the tables below, others by
+  Unicode blocks; a form without any letter or digit is starred out), vowels for vowels in names, separators, lengths, country
   codes, reserved domains; the check digits of cards and IBANs stay as valid or
   invalid as they were, private addresses stay private;
 * gender stays: the title and a name's last letter (its gender ending) are kept;
@@ -30,6 +31,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -52,7 +55,33 @@ ALPHABETS = (
     "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ",
     "αεηιουω", "βγδζθκλμνξπρστφχψ", "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
 )
+
+
+def _further() -> tuple[str, ...]:
+    """All other letters and digits by script, case and block; a group too small joins others of its case."""
+    known = {c for a in ALPHABETS for c in a}
+    groups: dict[tuple, list[str]] = {}
+    for code in range(128, sys.maxunicode + 1):
+        c = chr(code)
+        if c.isalnum() and c not in known:
+            case, script = unicodedata.category(c), unicodedata.name(c, "").split(" ")[0]
+            if case == "Nd":
+                block = code - unicodedata.digit(c)
+            else:
+                block = 0 if script in ("CJK", "HANGUL") else code >> 8
+            groups.setdefault((case, script, block), []).append(c)
+    small: dict[str, list[str]] = {}
+    for case, _, _ in (k for k, g in groups.items() if len(g) < 4):
+        small[case] = []
+    for key in [k for k, g in groups.items() if len(g) < 4]:
+        small[key[0]] += groups.pop(key)
+    return tuple("".join(g) for g in [*groups.values(), *small.values()])
+
+
+ALPHABETS += _further()
 _CLASS = {c: a for a in ALPHABETS for c in a}
+_PLACE = {c: i for a in ALPHABETS for i, c in enumerate(a)}
+_FORM = {a: f"{i}," for i, a in enumerate(ALPHABETS)}
 _HEX = "0123456789abcdef"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -98,34 +127,40 @@ class Surrogates:
         self.key = hashlib.blake2b(key.encode(), digest_size=32).digest()
         self.known: dict[tuple[str, str], str] = {}
 
-    def permute(self, number: int, size: int, tweak: str) -> int:
-        """A keyed permutation of 0 .. size - 1."""
+    def permute(self, number: int, size: int, tweak: str, back: bool = False) -> int:
+        """A keyed permutation of 0 .. size - 1, or its inverse."""
         half = max((size - 1).bit_length() + 1 >> 1, 1)
         mask = (1 << half) - 1
         label = tweak.encode("utf-8", "surrogatepass")
         while True:
             left, right = number >> half, number & mask
-            for r in range(8):
-                message = label + b"\0" + bytes([r]) + right.to_bytes((half + 7) // 8, "little")
+            for r in reversed(range(8)) if back else range(8):
+                message = label + b"\0" + bytes([r]) + (left if back else right).to_bytes((half + 7) // 8, "little")
                 digest = hashlib.blake2b(message, key=self.key, digest_size=min(64, (half + 7) // 8 + 8)).digest()
-                left, right = right, left ^ (int.from_bytes(digest, "little") & mask)
+                mixed = int.from_bytes(digest, "little") & mask
+                left, right = (right ^ mixed, left) if back else (right, left ^ mixed)
             number = left << half | right
             if number < size:
                 return number
 
+    def derange(self, number: int, size: int, tweak: str) -> int:
+        """A keyed permutation of 0 .. size - 1 (two or more) that moves every number."""
+        step = 1 + self.permute(0, size - 1, tweak + "|step") if size > 2 else 1
+        return self.permute((self.permute(number, size, tweak) + step) % size, size, tweak, back=True)
+
     def shape(self, value: str, tweak: str, alphabets: Callable[[str], str | None] = _CLASS.get, same: Callable[[str], object] | None = None) -> str:
         """Another string of the same form; ``same`` is a property that it shares."""
         sets = [alphabets(c) for c in value]
         size = 1
         for a in sets:
             size *= len(a) if a else 1
-        form = "".join(str(ALPHABETS.index(a)) + "," if a in ALPHABETS else "x," if a else c for a, c in zip(sets, value, strict=True))
+        form = "".join(_FORM.get(a, "x,") if a else c for a, c in zip(sets, value, strict=True))
         number = 0
         for a, c in zip(sets, value, strict=True):
             if a:
-                number = number * len(a) + a.index(c)
+                number = number * len(a) + (a.index(c) if a is _HEX else _PLACE[c])
         while True:
-            number = self.permute(number, size, f"{tweak}|{form}") if size > 1 else number
+            number = self.derange(number, size, f"{tweak}|{form}") if size > 1 else number
             rest, out = number, []
             for a, c in zip(reversed(sets), reversed(value), strict=True):
                 if a:
@@ -159,9 +194,9 @@ class Surrogates:
             a, b = n >> 24, n >> 16 & 255
             return 1 if a == 10 else 2 if a == 172 and 16 <= b < 32 else 3 if a == 192 and b == 168 else 4 if a == 127 else 0 if 0 < a < 224 else 5
 
-        now = self.permute(number, 1 << 32, "ip")
+        now = self.derange(number, 1 << 32, "ip")
         while range_of(now) != range_of(number):
-            now = self.permute(now, 1 << 32, "ip")
+            now = self.derange(now, 1 << 32, "ip")
         return ".".join(str(now >> s & 255) for s in (24, 16, 8, 0))
 
     def card(self, value: str) -> str:
@@ -201,7 +236,9 @@ class Surrogates:
         if found is None:
             if len(self.known) >= 100_000:
                 self.known.clear()
-            found = self.known[kind, value] = getattr(self, kind)(value)
+            found = getattr(self, kind)(value)
+            # A form without letters and digits has one value.
+            found = self.known[kind, value] = found if found != value else "*" * len(value)
         return found
 
     def rewrite(self, text: str) -> tuple[str, list[tuple[str, str, str]]]:
