@@ -248,6 +248,17 @@ def test_every_kind_is_replaced_in_its_form():
     assert names[0].split()[1] == names[1]  # one surname, one surrogate
 
 
+def test_partial_and_untitled_mentions_agree():
+    text = "Dr. Anna Keller wrote. Later Keller said, and Anna's note (KELLER) too. Frau Maria del Mar Ruiz Lopez Garcia Perez met Perez."
+    new, log = pii.Surrogates().rewrite(text)
+    assert not re.search("Anna|Keller|KELLER|Perez", new)
+    full, last, first = (s for _, _, s in log[:3])
+    assert full.split() == [first, last]
+    for t, name in (("Anna Keller wrote; Keller left.", "Keller"), ("Hi, my name is Zoltan Quux. Zoltan", "Zoltan"), ("See you.\nBest regards,\nOdo Brandt", "Brandt"), ("Mr Ab Cd Ef Gh Ij", "Ij")):
+        assert not re.search(rf"\b{name}\b", pii.Surrogates().rewrite(t)[0])
+    assert pii.Surrogates().rewrite("The Keller of a house. New York Times.")[1] == []
+
+
 def test_surrogates_are_keyed_and_repeatable():
     a, b, c = (pii.Surrogates(k).rewrite(PRIVATE)[0] for k in ("one", "one", "two"))
     assert a == b != c

@@ -2,7 +2,9 @@
 
 Kinds: e-mail, phone, IPv4, card number, IBAN, social security number, secret
 (value after token, password, key and the like, or a long hex string), person
-(capitalised words after a title).
+(capitalised words after a title, after a cue such as "my name is" or a closing, or with
+a known given name among them; every further mention of these words in the text,
+also in capitals). A name with none of these cues anywhere in its text isn't found.
 
 A surrogate is the image of the value under a keyed permutation of all values of
 the same form (a Feistel network over the characters that may change, with
@@ -46,6 +48,21 @@ KINDS = ("email", "phone", "ip", "card", "iban", "ssn", "secret", "person")
 
 # Titles, and domains reserved for examples.
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Sir", "Lady", "Herr", "Frau", "Señor", "Señora", "Sr", "Sra", "Monsieur", "Madame", "Mme", "Mlle", "Don", "Doña")
+# Words before a name, and given names that are no other words.
+CUES = (
+    "my name is", "signed by", "best regards", "kind regards", "sincerely", "yours truly", "mein name ist", "ich heiße", "mit freundlichen grüßen",
+    "me llamo", "mi nombre es", "atentamente", "je m'appelle", "mon nom est", "cordialement",
+)
+PARTICLES = ("de", "del", "la", "von", "van", "der", "den", "zu", "di", "da", "du", "le")
+GIVEN = frozenset(
+    "Alexander Alice Amelia Andrea Andreas Andrew Angela Anna Anne Anthony Antonio Barbara Benjamin Carlos Carmen Catherine Charlotte "
+    "Christian Christine Christopher Claudia Daniel David Deborah Diego Dorothy Edward Elena Elizabeth Emily Emma Eric Fernando "
+    "François Franz Friedrich George Hannah Hans Helen Henry Isabelle Jacques James Javier Jean Jennifer Jessica Johann John Jonathan "
+    "José Joseph Juan Julia Jürgen Karen Katharina Kevin Klaus Laura Linda Lisa Louise Lucía Luis Lukas Manuel Marco Margaret Maria "
+    "María Marie Martin Matthew Michael Michel Miguel Monika Nancy Nicholas Nicole Olivia Pablo Patricia Patrick Paul Pedro Peter "
+    "Petra Philippe Pierre Rachel Rebecca Richard Robert Sabine Samuel Sandra Sarah Sofia Sophie Stefan Stephanie Stephen Susan "
+    "Thomas Timothy Ursula Walter Werner William Wolfgang".split()
+)
 RESERVED = ("example.com", "example.org", "example.net", "test", "invalid", "localhost")
 
 # Letters that stand for each other, by script, case and sound.
@@ -97,23 +114,48 @@ _SECRET = re.compile(
     r"|(?<![\w])(?P<hex>[0-9a-f]{32,128})(?![\w])"
 )
 _IBAN = re.compile(r"(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)")
-_PERSON = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\b\.?\s+(?P<person>[^\W\d_a-zà-ÿ][^\W\d_]+(?:[ -][^\W\d_a-zà-ÿ][^\W\d_]+){{0,2}})")
+_NAME_WORD = r"[^\W\d_a-zà-ÿ][^\W\d_]+"
+_LINK = rf"[ -](?:(?:{'|'.join(PARTICLES)})[ -])*"
+_NAME = rf"(?P<person>{_NAME_WORD}(?:{_LINK}{_NAME_WORD})*)"
+_PERSON = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\b\.?\s+{_NAME}")
+_CUE = re.compile(rf"(?<!\w)(?i:{'|'.join(CUES)})[:,]?\s+{_NAME}")
+_CAPITALS = re.compile(rf"(?<!\w){_NAME_WORD}(?:{_LINK}{_NAME_WORD})+")
+_NAME_PART = re.compile(r"[^ -]+")
 _LETTER_DIGIT = re.compile(r"[^\W_]")
 
 
+def _persons(text: str) -> Iterator[tuple[int, int]]:
+    """Names after titles and cues, with a known given name, and the further mentions of their words."""
+    spans = [m.span("person") for m in _PERSON.finditer(text)]
+    low = text.lower()
+    if any(c in low for c in CUES):
+        spans += [m.span("person") for m in _CUE.finditer(text)]
+    for m in _CAPITALS.finditer(text):
+        at = next((w.start() for w in _NAME_PART.finditer(m[0]) if w[0] in GIVEN), None)
+        if at is not None and (" " in m[0][at:] or "-" in m[0][at:]):
+            spans.append((m.start() + at, m.end()))
+    yield from spans
+    words = {w for start, end in spans for w in _NAME_PART.findall(text[start:end])} - set(PARTICLES)
+    if words:
+        word = "|".join(re.escape(w) for w in sorted(words | {w.upper() for w in words}, key=len, reverse=True))
+        for m in re.finditer(rf"(?<!\w)(?:{word})(?:[ -](?:{word}))*(?!\w)", text):
+            yield m.span()
+
+
 def entities(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities of a text, not overlapping, in order."""
     found: list[tuple[int, int, str]] = []
-    searches = [(_NUMBER, True), (_EMAIL, "@" in text), (_SECRET, True), (_IBAN, True), (_PERSON, True)]
+    searches = [(_NUMBER, True), (_EMAIL, "@" in text), (_SECRET, True), (_IBAN, True)]
     for pattern, worth in searches:
         if worth:
             for m in pattern.finditer(text):
                 kind = m.lastgroup or ""
                 found.append((*m.span(kind), "secret" if kind == "hex" else kind))
+    found += [(*span, "person") for span in _persons(text)]
     rank = {k: i for i, k in enumerate(("email", "secret", "iban", "ip", "card", "ssn", "phone", "person"))}
     out: list[tuple[int, int, str]] = []
     taken: list[tuple[int, int]] = []
-    for start, end, kind in sorted(found, key=lambda e: (rank[e[2]], e[0])):
+    for start, end, kind in sorted(found, key=lambda e: (rank[e[2]], e[0], -e[1])):
         if all(end <= a or start >= z for a, z in taken):
             taken.append((start, end))
             out.append((start, end, kind))
