@@ -165,6 +165,17 @@ def test_one_of_each_class_stays(odd, odd_docs):
     assert {r["doc_id"] for r in jaccard_join.one_of_each(odd_docs).collect()} == want
 
 
+def test_texts_of_one_id_are_decided_each(spark):
+    """A clean text stays when its id's other text goes; near copies under one id leave one."""
+    words = lambda tag, k=60: [f"{tag}{i}" for i in range(k)]
+    a, c, clean = words("a"), words("c"), words("b")
+    rows = [(1, " ".join(a)), (5, " ".join([*a, "more"])), (5, " ".join(clean)), (7, " ".join(c)), (7, " ".join([*c, "more"])), (8, " ".join([*c, "less"])), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter(tuples(jaccard_join.one_of_each(docs)))
+    near = [k for k in got if k[0] == 7]
+    assert got == collections.Counter([rows[0], rows[2], rows[6], *near]) and len(near) == 1 and near[0] in rows
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 150), st.integers(0, 30), st.integers(0, 30), st.integers(0, 99), st.sampled_from([80, 85]))
 def test_linked_sets_share_a_signature(common, a, b, seed, percent):

@@ -42,6 +42,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import connected_components, documents, map_arrow, mix64, staged, text_or_empty
 
@@ -189,6 +190,17 @@ def _info(n: int):
     return scan
 
 
+def _row_nodes(n: int):
+    """Rows with the fingerprint of their text's set."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = [fingerprint(s)[0] if len(s) else 0 for s in shingle_sets(batch.column("_text").to_pylist(), n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, pa.int64())], [*batch.schema.names, "node"])
+
+    return scan
+
+
 def _binary(lengths: np.ndarray, data: bytes) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
@@ -319,7 +331,10 @@ _ROLE_COLUMNS = ("a", "salt", "member", "node", "n", "payload")
 def jaccard_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): (doc_id, n_shingles, node, component_id), and verified links (a, b) between nodes."""
+    """(documents, links): (doc_id, n_shingles, node, component_id, kept), and verified links (a, b) between nodes.
+
+    ``kept`` is the node that stays of a class: its smallest id's, the smallest one if that id has several.
+    """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     info = staged(map_arrow(rows, _info(n), "id long, n long, node long, payload binary"), "jaccard-info")
     nodes = staged(
@@ -389,26 +404,46 @@ def jaccard_classes(
     if rest.limit(1).count():
         links = links.unionByName(verified(rest))
         components = staged(connected_components(links), "jaccard-components")
-    smallest = components.join(nodes, "node").groupBy("component").agg(F.min("id").alias("component_id"))
-    label = components.join(smallest, "component").select("node", "component_id")
-    label = nodes.join(label, "node", "left").select("node", F.coalesce("component_id", "id").alias("component_id"))
+    smallest = components.join(nodes, "node").groupBy("component").agg(F.min(F.struct("id", "node")).alias("least"))
+    label = components.join(smallest, "component").select("node", F.col("least.id").alias("component_id"), F.col("least.node").alias("kept"))
+    label = nodes.join(label, "node", "left").select("node", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("kept", "node").alias("kept"))
     result = info.withColumn("key", F.when(F.expr("n > 0 AND id IS NOT NULL"), F.col("node"))).join(
         label.withColumnRenamed("node", "key"), "key", "left"
     )
     result = result.select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "id").alias("component_id")
-    )
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "node", F.coalesce("component_id", "id").alias("component_id"),
+        F.coalesce("kept", "node").alias("kept"),
+    )
     return result, links
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest id of its class, all their columns."""
+    """The rows of ``docs`` whose document is the smallest id of its class, all their columns.
+
+    Rows that repeat an id with another text are decided each by its own text: where an
+    id has texts that go and texts that stay, its rows are told apart by their sets.
+    """
     classes, _ = jaccard_classes(docs, id_col, text_col, n, percent)
-    drop = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("_drop")).distinct()
+    gone = F.expr("doc_id <> component_id OR node <> kept")
+    states = classes.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_drop"), "node").agg(F.max(gone).alias("gone"))
+    drop = states.groupBy("_drop").agg(F.max("gone").alias("any"), F.min("gone").alias("all")).where("any")
     drop = staged(drop, "jaccard-drop")
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_drop"))
-    small = drop.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return row.join(F.broadcast(drop) if small else drop, "_drop", "left_anti").select("_row.*")
+    row = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_drop"),
+        text_or_empty(F.col(f"`{text_col}`")).alias("_text"),
+    )
+
+    def bounded(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+    stay = row.join(bounded(drop.select("_drop")), "_drop", "left_anti").select("_row.*")
+    mixed = drop.where("NOT all").select("_drop")
+    if not mixed.limit(1).count():
+        return stay
+    part = row.join(bounded(mixed), "_drop", "left_semi").select("_row", "_drop", "_text")
+    part = map_arrow(part, _row_nodes(n), StructType([*part.schema.fields, StructField("node", LongType())]))
+    lost = states.where("gone").join(bounded(mixed), "_drop", "left_semi").select("_drop", "node")
+    return stay.unionByName(part.join(lost, ["_drop", "node"], "left_anti").select("_row.*"))
 
 
 def op4_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
