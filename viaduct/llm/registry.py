@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, pii, quality, search, substring_dedup
+from . import (
+    alignment, chat, exact_dedup, jaccard_join, licenses, line_dedup, mixing, packing, pii, quality, search, substring_dedup, whitening,
+)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +17,9 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_packing": packing.op9_packing,
     "op10_pii_surrogates": pii.op10_pii_surrogates,
+    "op11_chat_formatting": chat.op11_chat_formatting,
+    "op12_tokenizer_alignment": alignment.op12_tokenizer_alignment,
+    "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
 ORACLE = {
