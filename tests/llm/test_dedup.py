@@ -179,16 +179,109 @@ def test_texts_of_one_id_are_decided_each(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 150), st.integers(0, 30), st.integers(0, 30), st.integers(0, 99), st.sampled_from([80, 85]))
 def test_linked_sets_share_a_signature(common, a, b, seed, percent):
-    e = np.random.default_rng(seed).integers(0, 1 << 62, common + a + b).astype(np.uint64)
+    e = np.random.default_rng(seed).integers(0, 1 << 64, common + a + b, np.uint64)
     r, s = np.unique(e[: common + a]), np.unique(np.concatenate([e[:common], e[common + a :]]))
     both = len(np.intersect1d(r, s))
-    if 100 * both >= percent * (len(r) + len(s) - both):
+    if 100 * both >= percent * (len(r) + len(s) - both) and a + b:
         assert jaccard_join.sketches_allow(percent, len(r), jaccard_join.sketch(r), len(s), jaccard_join.sketch(s))
         assert jaccard_join.sets_link(percent, len(r), r.tobytes(), len(s), s.tobytes())
         sig, of = jaccard_join.signatures([r, s], percent)
         assert set(sig[of == 0].tolist()) & set(sig[of == 1].tolist())
 
 
+@pytest.mark.parametrize("size,percent", [(60, 85), (200, 85), (3000, 85), (200, 80), (3000, 80)])
+def test_unlike_sets_share_few_signatures(size, percent):
+    """Pairs of similarity 0.5 share one signature in some pairs only, of 0.3 and less hardly ever."""
+    rng = np.random.default_rng(size + percent)
+    shared = {}
+    for similarity in (0.5, 0.3, 0.0):
+        common = round(2 * size * similarity / (1 + similarity))
+        met = []
+        for _ in range(100):
+            e = rng.integers(0, 1 << 64, 2 * size - common, np.uint64)
+            r, s = np.sort(e[:size]), np.sort(np.concatenate([e[:common], e[size:]]))
+            sig, of = jaccard_join.signatures([r, s], percent)
+            met.append(len(set(sig[of == 0].tolist()) & set(sig[of == 1].tolist())) / len(sig))
+        shared[similarity] = np.mean(met)
+    assert shared[0.0] < 0.0005 and shared[0.3] < 0.005 and shared[0.5] < (0.02 if percent == 85 else 0.03)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 3000), st.integers(1, 3000), st.integers(0, 99))
+def test_sketches_of_different_lengths_fold(n, m, seed):
+    e = np.random.default_rng(seed).integers(0, 1 << 64, n + m, np.uint64)
+    r, s = np.unique(e[:n]), np.unique(e[n // 2 :])
+    a, b = jaccard_join.sketch(r), jaccard_join.sketch(s)
+    words = min(len(a), len(b)) // 8
+    differ = int(np.bitwise_count(jaccard_join.folded(a, words) ^ jaccard_join.folded(b, words)).sum())
+    assert differ <= len(np.setxor1d(r, s))
+
+
+def group_texts(members, differing, seed, words=200):
+    """Near copies of one text, each with ``differing`` words of its own."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for i in range(members):
+        t = base.copy()
+        for p in rng.choice(words, differing, replace=False):
+            t[p] = f"m{i}p{p}"
+        out.append(" ".join(t))
+    return out
+
+
+def test_large_group_of_alike_but_unlinked_texts(spark):
+    """Thousands of texts that resemble each other without linking: nothing is joined, and the pairs written stay few."""
+    rows = list(enumerate(group_texts(3000, 8, 1)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    classes, links = jaccard_join.jaccard_classes(docs, n=4, percent=85)
+    got = {r.doc_id: r.component_id for r in classes.collect()}
+    sets = jaccard_join.shingle_sets([t for _, t in rows], 4)
+    linked = {(i, j) for i in range(0, 3000, 10) for j in range(i + 1, 3000, 7) if jaccard_join.sets_link(85, len(sets[i]), sets[i].tobytes(), len(sets[j]), sets[j].tobytes())}
+    assert all(got[i] == got[j] for i, j in linked)
+    if not linked:
+        assert all(k == v for k, v in got.items()) and links.count() == 0
+
+
+def test_large_group_of_linked_texts(spark):
+    rows = list(enumerate(group_texts(3000, 2, 2)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    classes, links = jaccard_join.jaccard_classes(docs, n=4, percent=85)
+    assert {r.component_id for r in classes.collect()} == {0}
+    assert 2999 <= links.count() < 10 * 3000
+
+
+def test_groups_are_cut_into_pairs_of_parts(spark, monkeypatch):
+    """Parts of a group still meet each other."""
+    nodes = np.arange(5000)
+    parts = list(jaccard_join._parts(nodes))
+    assert max(map(len, parts)) <= jaccard_join.GROUP
+    met = set()
+    for p in parts:
+        met |= {(int(a), int(b)) for a in p[::97] for b in p[::89] if a < b}
+    for a, b in [(0, 4999), (10, 1030), (1023, 1024), (1, 2), (4000, 4700)]:
+        assert any(a in p and b in p for p in parts)
+    assert met
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7), st.integers(0, 9)), max_size=30), st.lists(st.integers(0, 3), min_size=8, max_size=8))
+def test_forest_joins_what_the_pairs_join(edges, roots):
+    root = np.array(roots)
+    edges = [e for e in edges if root[e[0]] != root[e[1]]]
+    i, j, d = (np.array([e[k] for e in edges], np.int64) for k in range(3))
+
+    def classes(which):
+        label = {r: r for r in roots}
+        for e in which:
+            a, b = label[roots[i[e]]], label[roots[j[e]]]
+            label = {k: min(a, b) if v in (a, b) else v for k, v in label.items()}
+        return label
+
+    keep = jaccard_join.spanning(i, j, d, root)
+    assert classes(keep) == classes(range(len(edges))) and len(keep) < len(set(roots))
+
+
 # -- lines ---------------------------------------------------------------------
 def within(a, b, k):
     if abs(len(a) - len(b)) > k:

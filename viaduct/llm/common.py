@@ -90,7 +90,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = staged(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc"
     )
-    state = None
+    last = None
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -101,10 +101,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         floor = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(floor, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = staged(small.where("u <> v").distinct(), "cc")
-        now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
-        if state == now:
+        if last is not None and edges.count() == last.count() and edges.join(last, ["u", "v"], "left_anti").isEmpty():
             # Every node points at one root, the smallest of its component.
             return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
-        state = now
+        last = edges

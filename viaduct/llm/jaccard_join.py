@@ -8,25 +8,31 @@ words, empty and linked with nothing). Two documents link when
 Signatures. Set sizes fall into bands ``[l, u]``, ``u`` being ``WIDTH`` times ``l`` and at
 least ``100 l / percent``, so linked sets lie in the same or in neighbouring bands; a
 set takes part in the instance of its own band, and of the next one if it is large enough
-to link with a set there. In an instance, linked sets differ in at most ``k`` shingles. The shingle domain is hashed into ``k + 1 +
-SPARE`` partitions; ``k`` differences leave at least ``SPARE + 1`` partitions
-untouched, so linked sets agree there and share that partition's signature.
-Empty partitions say nothing: a set with at most ``SPARE`` of them leaves them out
-(one untouched partition still isn't empty), only sets with more emit them.
-
-Work. Equal sets are one node. Each map task joins its own nodes of one
-signature to the smallest of them and sends that one on, so a signature that a
-third of all rows share costs one row per task. Candidates are verified by
-exact intersection of the sets, in three rounds: first every node against the
-smallest leader of its signatures; then, where a signature still joins several
-components, its members against its leader; then every pair between different
-components of a signature that isn't verified yet. Members of one component need no further
-pair, so a large group of near copies costs pairs in proportion to its size. For
+to link with a set there. In an instance, linked sets differ in at most ``k`` shingles. The shingle
+domain is hashed into ``k // 2 + 1 + SPARE`` partitions, so at least ``SPARE + 1`` of them hold at most one
+difference. Each is cut into ``CELLS`` cells, and each subset that leaves out one cell is a region: where a partition holds
+at most one difference, the sets agree on the region without that cell and share its
+signature. A partition whose shingles lie in one cell has an empty region, which says nothing: a set
+with at most ``SPARE`` such partitions leaves empty regions out, only sets with more emit them (of ``SPARE + 1`` good
+partitions, one then has no empty region in that set, nor in the other where they agree).
+
+Work. Equal sets are one node. Map tasks send signatures as packed numbers, by bucket; a
+task orders a bucket's signatures and sends on the nodes that share one, a group. Groups that many signatures
+repeat are kept once; a group beyond ``GROUP`` nodes becomes groups of each two of its parts, so no task holds more.
+Candidates become links in three steps, each verified by exact intersection of the sets:
+
+1. every node against the smallest leader of its groups;
+2. in groups that join several components, all pairs of different components are tested in memory by
+   size and parity sketch (each shingle flips one bit, so sketches of linked sets differ in at most as many bits as
+   the sets may differ in shingles; this loses no link), and the pairs of a minimum spanning forest of those that
+   pass are written: fewer than the group has nodes;
+3. in groups that still join several components, every pair that passes and isn't verified yet is written.
+
+So a large group of alike sets, linked or not, writes pairs in proportion to its size, apart from pairs
+of unlinked sets so near the threshold that their sketches can't tell. For
 verification members go to their leader's task, a leader with many members to several
-tasks of ``GROUP`` members each: first with parity sketches of ``SKETCH`` bits (each
-shingle flips one bit, so sketches of linked sets differ in at most as many bits as the sets
-may differ in shingles; this loses no link and settles nearly all other pairs), then,
-for the pairs left, with the sets themselves.
+tasks of ``PART`` members each. Verified pairs inside one component say nothing more about it and aren't sought: the returned
+links are connecting ones (a subset of all links with the same components), not every link.
 
 Defined results: null text is empty; rows that repeat an id with another text
 are documents of their own under that id; a null id links with nothing and has a
@@ -46,12 +52,17 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import connected_components, documents, map_arrow, mix64, staged, text_or_empty
 
-SPARE = 3
-WIDTH = 1.35
+SPARE = 1
+CELLS = 3
+WIDTH = 1.25
 FLUSH_ROWS = 800_000
 CHUNK = 1 << 20
-GROUP = 512
-SKETCH = 4096
+# Signatures in a bucket (14 bytes each in its task), nodes in a group, members in a task of a leader.
+BUCKET = 500_000
+GROUP = 2048
+PART = 512
+# Bits of a parity sketch, about four for each shingle.
+LEAST_SKETCH, MOST_SKETCH = 512, 65_536
 # Ids, and roles of nodes, that may be broadcast (some 10 bytes each); beyond that the join shuffles.
 BROADCAST_IDS = 2_000_000
 BROADCAST_ROLES = 2_000_000
@@ -151,19 +162,29 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
         elements = np.concatenate([sets[i] for i in which])
         owner = np.repeat(np.arange(len(which)), sizes)
         # |r - s| + |s - r| <= (1 - t) / (1 + t) * (|r| + |s|), both sizes at most the band's upper end
-        parts = 2 * high[instance] * (100 - percent) // (100 + percent) + 1 + SPARE
-        start = np.concatenate([[0], np.cumsum(parts)])
-        # Upper bits of a shingle's hash choose its partition, all bits its value.
-        slot = start[owner] + ((elements >> np.uint64(32)) * parts[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        k = 2 * high[instance] * (100 - percent) // (100 + percent)
+        parts = np.where(k > 0, k // 2 + 1 + SPARE, 1)
+        start = np.concatenate([[0], np.cumsum(parts * CELLS)])
+        cells = (parts * CELLS).astype(np.uint64)
+        # Upper bits of a shingle's hash choose its cell, all bits its value.
+        slot = start[owner] + ((elements >> np.uint64(32)) * cells[owner] >> np.uint64(32)).astype(np.int64)
         value = elements * np.uint64(0xE7037ED1A0B428DB)
         value ^= value >> np.uint64(32)
-        count = np.bincount(slot, minlength=start[-1])
+        count = np.bincount(slot, minlength=start[-1]).reshape(-1, CELLS)
         total = np.bincount(slot, value & np.uint64(0xFFFFFFFF), start[-1]).astype(np.uint64)
         total += np.bincount(slot, value >> np.uint64(32), start[-1]).astype(np.uint64) << np.uint64(32)
+        total = total.reshape(-1, CELLS)
+        # Region c of a partition holds its cells but for c.
+        count = count.sum(1, keepdims=True) - count
+        total = total.sum(1, keepdims=True, dtype=np.uint64) - total
+        thin = (count == 0).any(1)
         of = np.repeat(np.arange(len(which)), parts)
+        many = np.bincount(of, thin, len(which)) > SPARE
+        # Where no difference is allowed, linked sets are equal and one node.
+        use = (((count > 0) | many[of][:, None]) & (k[of] > 0)[:, None]).ravel()
+        of = np.repeat(of, CELLS)
         number = np.arange(start[-1]) - start[of]
-        empty = np.bincount(of, count == 0, len(which))
-        use = (count > 0) | (empty[of] > SPARE)
+        total, count = total.ravel(), count.ravel()
         tag = (instance[of[use]] * 1_000_003 + number[use]).astype(np.uint64) * _P + count[use].astype(np.uint64)
         out_sig.append(mix64(total[use] ^ mix64(tag)))
         out_set.append(which[of[use]])
@@ -171,11 +192,20 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parity of the number of shingles that fall on each of ``SKETCH`` bits."""
-    bits = np.bincount((s & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    """Parity of the number of shingles that fall on each bit; a longer sketch folds into a shorter one."""
+    size = min(max(LEAST_SKETCH, 1 << (4 * len(s) - 1).bit_length()), MOST_SKETCH) if len(s) else LEAST_SKETCH
+    bits = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(bool)).tobytes()
 
 
+def folded(data: bytes, words: int) -> np.ndarray:
+    """A sketch as 64-bit words, folded to so many."""
+    a = np.frombuffer(data, np.uint64)
+    while len(a) > words:
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return a
+
+
 def _info(n: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,18 +236,19 @@ def _binary(lengths: np.ndarray, data: bytes) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
 
 
-def _signature_rows(n: int, percent: int):
-    """(sig, node, others): per task and signature the smallest node, and the others packed."""
+def _signature_rows(n: int, percent: int, buckets: int):
+    """(bucket, sigs, nodes): signatures (their lower six bytes) and nodes, packed by bucket."""
 
-    def combine(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((node, sig))
+    def pack(sig: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+        bucket = ((sig >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
         sig, node = sig[order], node[order]
-        first = np.concatenate([[True], sig[1:] != sig[:-1]])
-        starts = np.flatnonzero(first)
-        sizes = np.diff(np.concatenate([starts, [len(sig)]]))
+        count = np.bincount(bucket, minlength=buckets)
+        some = np.flatnonzero(count)
+        short = np.ascontiguousarray(sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
         return pa.RecordBatch.from_arrays(
-            [pa.array(sig[starts].view(np.int64)), pa.array(node[starts]), _binary(8 * (sizes - 1), node[~first].tobytes())],
-            ["sig", "node", "others"],
+            [pa.array(some, pa.int32()), _binary(6 * count[some], short.tobytes()), _binary(8 * count[some], node.tobytes())],
+            ["bucket", "sigs", "nodes"],
         )
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,39 +268,143 @@ def _signature_rows(n: int, percent: int):
             nodes.append(np.array(prints, np.int64)[of])
             held += len(sig)
             if held > FLUSH_ROWS:
-                yield combine(np.concatenate(sigs), np.concatenate(nodes))
+                yield pack(np.concatenate(sigs), np.concatenate(nodes))
                 sigs, nodes, held = [], [], 0
         if held:
-            yield combine(np.concatenate(sigs), np.concatenate(nodes))
+            yield pack(np.concatenate(sigs), np.concatenate(nodes))
 
     return scan
 
 
-def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, leader, member) of signatures with several nodes; rows come sorted by signature and node."""
-    last_sig = last_node = None  # a lone first row that may still turn out shared
-    opened = False
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(g0, g1, members): sorted nodes that share a signature, each group of a bucket once; rows come sorted by bucket."""
 
+    def shared(sigs: list[bytes], nodes: list[bytes]) -> Iterator[pa.RecordBatch]:
+        short = np.frombuffer(b"".join(sigs), np.uint8).reshape(-1, 6)
+        sig = np.zeros((len(short), 8), np.uint8)
+        sig[:, :6] = short
+        sig, node = sig.view("<u8").ravel(), np.frombuffer(b"".join(nodes), np.int64)
+        order = np.lexsort((node, sig))
+        sig, node = sig[order], node[order]
+        fresh = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
+        sig, node = sig[fresh], node[fresh]
+        first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        size = np.diff(np.concatenate([first, [len(sig)]]))
+        seen: set[bytes] = set()
+        held = 0
+        for low, many in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+            for some in _parts(node[low : low + many]):
+                data = some.tobytes()
+                if data not in seen:
+                    seen.add(data)
+                    held += len(some)
+                if held > FLUSH_ROWS:
+                    yield rows(seen)
+                    seen, held = set(), 0
+        if seen:
+            yield rows(seen)
+
+    def rows(groups: set[bytes]) -> pa.RecordBatch:
+        listed = sorted(groups)
+        hashes = [xxhash.xxh3_128_intdigest(g) for g in listed]
+        signed = np.array([[h >> 64, h & (1 << 64) - 1] for h in hashes], np.uint64).view(np.int64)
+        ends = np.concatenate([[0], np.cumsum([len(g) // 8 for g in listed])]).astype(np.int32)
+        members = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(listed), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(signed[:, 0]), pa.array(signed[:, 1]), members], ["g0", "g1", "members"])
+
+    bucket, sigs, nodes = None, [], []
     for batch in batches:
-        sig = batch.column("sig").to_numpy()
-        node = batch.column("node").to_numpy()
-        others = batch.column("others")
-        size = np.diff(np.frombuffer(others.buffers()[1], np.int32)[others.offset : others.offset + len(others) + 1])
-        same = np.concatenate([[last_sig is not None and sig[0] == last_sig], sig[1:] == sig[:-1]])
-        nxt = np.concatenate([same[1:], [True]])
-        out: list[tuple[int, int, int]] = []
-        for i in np.flatnonzero(same | nxt | (size > 0)):
-            if not same[i]:
-                last_sig, last_node, opened = int(sig[i]), int(node[i]), False
-            if (same[i] or size[i]) and not opened:
-                out.append((last_sig, last_node, last_node))
-                opened = True
-            if same[i]:
-                out.append((last_sig, last_node, int(node[i])))
-            if size[i]:
-                out.extend((last_sig, last_node, x) for x in np.frombuffer(others[i].as_py(), np.int64).tolist())
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["sig", "leader", "member"])
+        for b, s, m in zip(*(batch.column(c).to_pylist() for c in ("bucket", "sigs", "nodes")), strict=True):
+            if b != bucket:
+                if sigs:
+                    yield from shared(sigs, nodes)
+                bucket, sigs, nodes = b, [], []
+            sigs.append(s)
+            nodes.append(m)
+    if sigs:
+        yield from shared(sigs, nodes)
+
+
+def _parts(nodes: np.ndarray) -> Iterator[np.ndarray]:
+    """The nodes, or each two halves of ``GROUP`` of them."""
+    if len(nodes) <= GROUP:
+        yield nodes
+        return
+    half = GROUP // 2
+    cut = [nodes[i : i + half] for i in range(0, len(nodes), half)]
+    for i in range(len(cut)):
+        for j in range(i + 1, len(cut)):
+            yield np.concatenate([cut[i], cut[j]])
+
+
+def passing_pairs(percent: int, n: np.ndarray, root: np.ndarray, sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, differing bits), i < j, of pairs of different roots that can link by size and sketch."""
+    words = min(len(x) for x in sketches) // 8
+    bits = np.stack([folded(x, words) for x in sketches])
+    out = []
+    step = max(1, (1 << 21) // bits.size)
+    for low in range(0, len(n), step):
+        high = min(low + step, len(n))
+        differ = np.bitwise_count(bits[low:high, None, :] ^ bits[None, low:, :]).sum(2, dtype=np.int64)
+        every = n[low:high, None] + n[None, low:]
+        can = ((100 + percent) * differ <= (100 - percent) * every) & (root[low:high, None] != root[None, low:])
+        can &= 100 * np.minimum(n[low:high, None], n[None, low:]) >= percent * np.maximum(n[low:high, None], n[None, low:])
+        i, j = np.nonzero(np.triu(can, 1))
+        out.append((i + low, j + low, differ[i, j]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def spanning(i: np.ndarray, j: np.ndarray, differ: np.ndarray, root: np.ndarray) -> list[int]:
+    """Numbers of the pairs of a minimum spanning forest over the roots."""
+    parent = {r: r for r in root.tolist()}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    left, keep = len(parent) - 1, []
+    for e in np.argsort(differ, kind="stable").tolist():
+        a, b = find(int(root[i[e]])), find(int(root[j[e]]))
+        if a != b:
+            parent[a] = b
+            keep.append(e)
+            left -= 1
+            if not left:
+                break
+    return keep
+
+
+def _pairs_in_groups(percent: int, forest: bool):
+    """Pairs (a, b) of nodes in each group that can link, or a forest of them; rows come sorted by group and node."""
+
+    def found(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        node, n, root = (np.array([r[i] for r in rows], np.int64) for i in (0, 1, 2))
+        i, j, differ = passing_pairs(percent, n, root, [r[3] for r in rows])
+        if forest:
+            keep = spanning(i, j, differ, root)
+            i, j = i[keep], j[keep]
+        return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for *g, node, n, root, data in zip(*(batch.column(c).to_pylist() for c in ("g0", "g1", "node", "n", "root", "payload")), strict=True):
+                if g != group:
+                    if len(rows) > 1:
+                        done.append(found(rows))
+                    group, rows = g, []
+                if not rows or rows[-1][0] != node:
+                    rows.append((node, n, root, data))
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*done, strict=True)], ["a", "b"])
+                done = []
+        if len(rows) > 1:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found(rows)], ["a", "b"])
+
+    return scan
 
 
 def _sets(n: int):
@@ -292,7 +427,8 @@ def _sets(n: int):
 
 def sketches_allow(percent: int, n: int, a: bytes, m: int, b: bytes) -> bool:
     """Whether sets of these sizes and sketches can link."""
-    differ = int(np.bitwise_count(np.frombuffer(a, np.uint64) ^ np.frombuffer(b, np.uint64)).sum())
+    words = min(len(a), len(b)) // 8
+    differ = int(np.bitwise_count(folded(a, words) ^ folded(b, words)).sum())
     return (100 + percent) * differ <= (100 - percent) * (n + m)
 
 
@@ -331,7 +467,7 @@ _ROLE_COLUMNS = ("a", "salt", "member", "node", "n", "payload")
 def jaccard_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): (doc_id, n_shingles, node, component_id, kept), and verified links (a, b) between nodes.
+    """(documents, links): (doc_id, n_shingles, node, component_id, kept), and verified connecting links (a, b) between nodes.
 
     ``kept`` is the node that stays of a class: its smallest id's, the smallest one if that id has several.
     """
@@ -340,16 +476,20 @@ def jaccard_classes(
     nodes = staged(
         info.where("n > 0 AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n")), "jaccard-nodes"
     )
+    # A set has about 3 (1 - t) / (1 + t) signatures a shingle in each of up to two instances.
+    shingles = nodes.agg(F.sum("n")).first()[0] or 0
+    buckets = int(min(max(16, 6 * shingles * (100 - percent) / (100 + percent) / BUCKET), 1 << 30))
     named = rows.where("id IS NOT NULL").select("text")
-    signed = map_arrow(named, _signature_rows(n, percent), "sig long, node long, others binary")
-    signed = signed.repartition("sig").sortWithinPartitions("sig", "node")
-    shared = staged(map_arrow(signed, _shared, "sig long, leader long, member long"), "jaccard-shared")
+    signed = map_arrow(named, _signature_rows(n, percent, buckets), "bucket int, sigs binary, nodes binary")
+    signed = signed.repartition("bucket").sortWithinPartitions("bucket")
+    groups = map_arrow(signed, _groups, "g0 long, g1 long, members array<long>")
+    groups = staged(groups.groupBy("g0", "g1").agg(F.first("members").alias("members")), "jaccard-groups")
 
     size = nodes.select("node", "n")
 
     def roles_of(pairs: DataFrame) -> DataFrame:
-        """(node, id, roles) of the nodes of pairs: a leads, the b follow, ``GROUP`` of them in a task."""
-        tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("tasks"))
+        """(node, id, roles) of the nodes of pairs: a leads, the b follow, ``PART`` of them in a task."""
+        tasks = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("tasks"))
         salted = pairs.join(tasks, "a").select("a", F.pmod(F.hash("b"), "tasks").alias("salt"), "b")
         role = lambda member: F.struct("a", "salt", F.lit(member).alias("member")).alias("role")
         members = salted.select(F.col("b").alias("node"), role(1))
@@ -363,47 +503,39 @@ def jaccard_classes(
         each = each.repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
         return map_arrow(each, _meet(test, percent), "a long, b long").distinct()
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(near: DataFrame) -> DataFrame:
         """Pairs (a, b) that link."""
-        pairs = pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
-        pairs = pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-        near = _with_roles(info, roles_of(staged(pairs, "jaccard-pairs")), ["id", "node"])
-        near = staged(met(near, sketches_allow), "jaccard-near")
         texts = _with_roles(rows, roles_of(near), ["id"]).select("node", "roles", "text")
         kind = "node long, roles array<struct<a long, salt int, member int>>, n long, payload binary"
         return staged(met(map_arrow(texts, _sets(n), kind), sets_link), "jaccard-links")
 
-    def opened(components: DataFrame) -> DataFrame:
-        """(sig, leader, member, root) of signatures that still join several components."""
-        placed = shared.join(components.withColumnRenamed("node", "member"), "member", "left")
-        placed = placed.select("sig", "leader", "member", F.coalesce("component", "member").alias("root"))
-        several = placed.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("sig")
-        return staged(placed.join(several, "sig"), "jaccard-open")
-
-    a, b = F.col("leader").alias("a"), F.col("member").alias("b")
-    first = staged(shared.where("leader <> member").groupBy("member").agg(F.min("leader").alias("leader")), "jaccard-first")
-    links = verified(first.select(a, b))
+    def candidates(components: DataFrame, forest: bool, done: DataFrame) -> DataFrame:
+        """Unverified pairs that can link, in groups that join several components."""
+        placed = groups.select("g0", "g1", F.explode("members").alias("node")).join(components, "node", "left")
+        placed = placed.select("g0", "g1", "node", F.coalesce("component", "node").alias("root"))
+        several = placed.groupBy("g0", "g1").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+        apart = staged(placed.join(several.select("g0", "g1"), ["g0", "g1"]), "jaccard-apart")
+        own = staged(nodes.join(apart.select("node").distinct(), "node").select("id", "node"), "jaccard-open")
+        few = own.limit(BROADCAST_ROLES + 1).count() <= BROADCAST_ROLES
+        sketches = info.join(F.broadcast(own) if few else own, ["id", "node"]).select("node", "n", "payload").dropDuplicates(["node"])
+        each = apart.join(sketches, "node").repartition("g0", "g1").sortWithinPartitions("g0", "g1", "node")
+        pairs = map_arrow(each, _pairs_in_groups(percent, forest), "a long, b long").distinct()
+        return staged(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+
+    first = groups.select(F.explode(F.slice("members", 2, GROUP)).alias("b"), F.col("members")[0].alias("a"))
+    first = first.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = first.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+    first = staged(first.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b"), "jaccard-first")
+    near = _with_roles(info, roles_of(first), ["id", "node"])
+    links = verified(staged(met(near, sketches_allow), "jaccard-near"))
     components = staged(connected_components(links), "jaccard-components")
-
-    # Members against the leader of every signature that joins several components.
-    apart = opened(components)
-    heads = apart.where("leader = member").select("sig", F.col("root").alias("head"))
-    stars = apart.join(heads, "sig").where("root <> head").select("leader", "member").distinct()
-    stars = staged(stars.join(first, ["leader", "member"], "left_anti").select(a, b), "jaccard-stars")
-    if stars.limit(1).count():
-        links = links.unionByName(verified(stars))
-        components = staged(connected_components(links), "jaccard-components")
-        apart = opened(components)
-
-    # Every pair of different components of one signature; pairs with its leader are verified.
-    rest = apart.where("leader <> member").select("sig", "member", "root")
-    x = rest.select("sig", F.col("member").alias("a"), F.col("root").alias("ra")).join(size.toDF("a", "na"), "a")
-    y = rest.select("sig", F.col("member").alias("b"), F.col("root").alias("rb")).join(size.toDF("b", "nb"), "b")
-    fits = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))
-    rest = staged(x.join(y, "sig").where(fits).select("a", "b").distinct(), "jaccard-rest")
-    if rest.limit(1).count():
-        links = links.unionByName(verified(rest))
-        components = staged(connected_components(links), "jaccard-components")
+    done = first
+    for forest in (True, False):
+        pairs = candidates(components, forest, done)
+        if pairs.limit(1).count():
+            links = links.unionByName(verified(pairs))
+            components = staged(connected_components(links), "jaccard-components")
+        done = done.unionByName(pairs)
     smallest = components.join(nodes, "node").groupBy("component").agg(F.min(F.struct("id", "node")).alias("least"))
     label = components.join(smallest, "component").select("node", F.col("least.id").alias("component_id"), F.col("least.node").alias("kept"))
     label = nodes.join(label, "node", "left").select("node", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("kept", "node").alias("kept"))
