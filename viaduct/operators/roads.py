@@ -31,3 +31,9 @@ def road_stats(edges: DataFrame, nodes: DataFrame, areas: DataFrame | None = Non
             "densidad_interseccion"
         ),
     )
+
+
+def graph_stats(edges: DataFrame, areas: DataFrame | None = None) -> DataFrame:
+    """The same statistics of simplified graphs: edges with id_zona, nodo_a, nodo_b, metros; each node and edge counts once."""
+    ends = edges.select("id_zona", F.explode(F.array("nodo_a", "nodo_b")).alias("id_nodo"))
+    return road_stats(edges.select("id_zona", F.col("metros").alias("longitud_m")), ends, areas)

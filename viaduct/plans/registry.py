@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions import metrics
+from ..functions.projection import STATE_PLANE_2263
 from ..operators import conform as conform_ops
-from ..operators import sampling, zones
+from ..operators import geometry, quantiles, roads, sampling, zones
+from ..operators.corridor import CORRIDOR_KEYS, add_calendar
 from ..operators.flatten import flatten_documents
 from ..session import scratch_path
-from ..sources import bronze
+from ..sources import bronze, fixture
 from ..sources import zones as zone_sources
 from . import gold as gold_plan
 from . import layout
@@ -32,6 +35,10 @@ from .warehouse import Warehouse, warehouse_for
 SAMPLE_ROWS_PER_FILE = 1000
 
 
+# Square kilometres of a square US survey foot.
+KM2_PER_SQUARE_FOOT = (1200 / 3937 / 1000) ** 2
+
+
 def for_compare(df: DataFrame) -> DataFrame:
     """Dates → ``yyyy-MM-dd``, timestamps → ``yyyy-MM-dd HH:mm:ss``, decimals → double."""
     cols = []
@@ -162,6 +169,58 @@ def zone_road_stats(spark, sf_dir):
     return for_compare(_w(spark, sf_dir).road_stats)
 
 
+# -- exact quantiles, zone geometry, road graph --------------------------------
+def corridor_stats_exact(spark, sf_dir):
+    """Corridor reference times as exact quantiles, whatever a corridor's size."""
+    trips = add_calendar(_w(spark, sf_dir).silver_frames.clean.select("id_zona_origen", "id_zona_destino", "ts_inicio", "duracion_min"))
+    q = quantiles.exact_quantiles(trips, CORRIDOR_KEYS, "duracion_min", {"eta_referencia_min": (1, 2), "p90_min": (9, 10)}, "n_servicios_corredor")
+    return q.withColumn("fiabilidad_corredor", metrics.guarded_ratio(F.col("p90_min"), F.col("eta_referencia_min")))
+
+
+def operator_quantiles_exact(spark, sf_dir):
+    """Amounts of each operator, one of few large groups."""
+    trips = _w(spark, sf_dir).silver_frames.clean.select("id_operador", "importe_total")
+    q = {"p01": (1, 100), "p50": (1, 2), "p90": (9, 10), "p99": (99, 100), "maximo": (1, 1)}
+    return quantiles.exact_quantiles(trips, ["id_operador"], "importe_total", q, "n_servicios")
+
+
+def zone_polygon_centroids(spark, sf_dir):
+    """Area and centroid of the zone polygons, in map units and in degrees."""
+    c = geometry.centroids(geometry.ring_edges(fixture.fixture_zone_vertices(spark, sf_dir)))
+    lon, lat = STATE_PLANE_2263.inverse(F.col("x"), F.col("y"))
+    return c.select(
+        "id_zona", F.round("area", 3).alias("area"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), F.round(lat, 9).alias("lat"),
+        F.round(lon, 9).alias("lon"),
+    )
+
+
+def projection_roundtrip(spark, sf_dir):
+    """Road nodes to degrees and back to map units."""
+    nodes = fixture.fixture_road_graph(spark, sf_dir)[1]
+    lon, lat = STATE_PLANE_2263.inverse(F.col("x"), F.col("y"))
+    degrees = nodes.select("id_nodo", "x", "y", lon.alias("lon"), lat.alias("lat"))
+    x, y = STATE_PLANE_2263.forward(F.col("lon"), F.col("lat"))
+    return degrees.select(
+        "id_nodo", F.round("lon", 8).alias("lon"), F.round("lat", 8).alias("lat"), F.round(x, 3).alias("x"), F.round(y, 3).alias("y"),
+        ((F.abs(x - F.col("x")) < 1e-4) & (F.abs(y - F.col("y")) < 1e-4)).alias("vuelve"),
+    )
+
+
+def nodes_in_zones(spark, sf_dir):
+    return _w(spark, sf_dir).located_nodes.select("id_nodo", F.col("id_zona").cast("double").alias("id_zona"))
+
+
+def road_graph_simplified(spark, sf_dir):
+    return for_compare(_w(spark, sf_dir).simplified_roads)
+
+
+def zone_road_graph_stats(spark, sf_dir):
+    """Road statistics of each zone's own simplified graph."""
+    w = _w(spark, sf_dir)
+    areas = geometry.centroids(w.zone_edges).select("id_zona", (F.col("area") * KM2_PER_SQUARE_FOOT).alias("area"))
+    return for_compare(roads.graph_stats(w.simplified_roads, areas))
+
+
 # -- gold -------------------------------------------------------------------
 def gold_dim_tiempo(spark, sf_dir):
     return for_compare(_w(spark, sf_dir).gold_dim_tiempo)
@@ -313,6 +372,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_eta_deviation": silver_eta_deviation,
     "silver_detour": silver_detour,
     "zone_road_stats": zone_road_stats,
+    "corridor_stats_exact": corridor_stats_exact,
+    "operator_quantiles_exact": operator_quantiles_exact,
+    "zone_polygon_centroids": zone_polygon_centroids,
+    "projection_roundtrip": projection_roundtrip,
+    "nodes_in_zones": nodes_in_zones,
+    "road_graph_simplified": road_graph_simplified,
+    "zone_road_graph_stats": zone_road_graph_stats,
     "gold_dim_tiempo": gold_dim_tiempo,
     "gold_dim_operador": gold_dim_operador,
     "gold_dim_zona": gold_dim_zona,

@@ -13,10 +13,11 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import schemas
 from ..config import PipelineConfig, QueryParams
-from ..operators import dims, roads, zones
+from ..operators import dims, geometry, road_graph, roads, spatial, zones
 from ..operators.conform import conform
 from ..session import ensure_pipeline_conf, scratch_path
 from ..sources import bronze, fixture
@@ -86,6 +87,25 @@ class Warehouse:
     def dim_zona(self) -> DataFrame:
         return zones.dim_zona(self.geometry, self.road_stats)
 
+    # -- zone polygons and road graph --------------------------------------
+    @cached_property
+    def zone_edges(self) -> DataFrame:
+        return self._write(geometry.ring_edges(fixture.fixture_zone_vertices(self.spark, self.sf_dir)), "zone_edges")
+
+    @cached_property
+    def located_nodes(self) -> DataFrame:
+        """Road nodes with the zone whose polygon holds them."""
+        nodes = fixture.fixture_road_graph(self.spark, self.sf_dir)[1]
+        return self._write(spatial.locate(nodes, self.zone_edges, fixture.ZONE_STEP / 16), "located_nodes")
+
+    @cached_property
+    def simplified_roads(self) -> DataFrame:
+        """id_zona and the edges of each zone's simplified graph."""
+        edges = road_graph.within_zones(fixture.fixture_road_graph(self.spark, self.sf_dir)[0], self.located_nodes)
+        simple, _, _ = road_graph.simplify(edges)
+        zone = self.located_nodes.select(F.col("id_nodo").alias("nodo_a"), "id_zona")
+        return self._write(simple.join(zone, "nodo_a").select("id_zona", "id_arista", "nodo_a", "nodo_b", "metros", "tramos"), "simplified_roads")
+
     # -- silver ----------------------------------------------------------
     @cached_property
     def silver_frames(self) -> silver_plan.SilverFrames:

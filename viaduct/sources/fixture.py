@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import QueryParams
@@ -135,3 +135,78 @@ def fixture_road_network(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, D
         F.col("n_nationkey").cast("int").alias("id_zona"), (F.col("n_nationkey") * F.lit(1.5)).alias("area")
     )
     return edges, nodes, areas
+
+
+# Plane of the zone polygons, in whole map units (US survey feet): zones stand in rows of five.
+ZONE_STEP, ZONE_HALF, HOLE_HALF = 40_000, 18_000, 3_000
+ZONE_ORIGIN = (1_000_000, 200_000)
+ZONE_WITHOUT_AREA = 23
+HOLE_EVERY_ZONE = 3
+WAY_SPAN = 32
+
+
+def _zone_middle(zone: Column) -> tuple[Column, Column]:
+    return F.lit(ZONE_ORIGIN[0]) + (zone % 5) * ZONE_STEP, F.lit(ZONE_ORIGIN[1]) + F.floor(zone / 5) * ZONE_STEP
+
+
+def fixture_zone_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone polygons: id_zona, anillo, hoyo, orden, x, y (map units).
+
+    The outer ring of a nation has one vertex per customer, in key order along a square and drawn in towards the
+    middle by a share that depends on the key; every third nation has a square hole; nation 23 lies on a line, nation 24 has none.
+    """
+    c = read_table(spark, sf_dir, "customer").where(F.col("c_nationkey") != ZONE_WITHOUT_CENTROID).select("c_custkey", "c_nationkey")
+    nation = Window.partitionBy("c_nationkey")
+    i = F.row_number().over(nation.orderBy("c_custkey")).cast("long") - 1
+    c = c.select("c_custkey", F.col("c_nationkey").cast("long").alias("z"), i.alias("orden"), F.count(F.lit(1)).over(nation).alias("n"))
+    side = 2 * ZONE_HALF
+    c = c.withColumn("p", F.expr(f"(orden * {4 * side}) div n")).withColumns({"lado": F.expr(f"p div {side}"), "resto": F.expr(f"p % {side}")})
+    dx = F.when(F.col("lado") == 0, F.col("resto") - ZONE_HALF).when(F.col("lado") == 1, F.lit(ZONE_HALF)).when(
+        F.col("lado") == 2, F.lit(ZONE_HALF) - F.col("resto")
+    ).otherwise(F.lit(-ZONE_HALF))
+    dy = F.when(F.col("lado") == 0, F.lit(-ZONE_HALF)).when(F.col("lado") == 1, F.col("resto") - ZONE_HALF).when(
+        F.col("lado") == 2, F.lit(ZONE_HALF)
+    ).otherwise(F.lit(ZONE_HALF) - F.col("resto"))
+    share = F.lit(1000) - (F.col("c_custkey") * 37) % 300
+    x, y = _zone_middle(F.col("z"))
+    flat = F.when(F.col("z") == ZONE_WITHOUT_AREA, F.lit(0)).otherwise(dy)
+    outer = c.select(
+        F.col("z").cast("int").alias("id_zona"), F.lit(0).alias("anillo"), F.lit(False).alias("hoyo"), "orden",
+        ((x * 1000 + dx * share) / 1000.0).cast("double").alias("x"), ((y * 1000 + flat * share) / 1000.0).cast("double").alias("y"),
+    )
+    corners = F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in ((-1, -1), (-1, 1), (1, 1), (1, -1))])
+    holed = read_table(spark, sf_dir, "nation").where(f"n_nationkey % {HOLE_EVERY_ZONE} = 0 AND n_nationkey < {ZONE_WITHOUT_AREA}")
+    holed = holed.select(F.col("n_nationkey").cast("long").alias("z"), F.posexplode(corners).alias("orden", "v"))
+    hole = holed.select(
+        F.col("z").cast("int").alias("id_zona"), F.lit(1).alias("anillo"), F.lit(True).alias("hoyo"), F.col("orden").cast("long").alias("orden"),
+        (x + F.col("v.dx") * HOLE_HALF).cast("double").alias("x"), (y + F.col("v.dy") * HOLE_HALF).cast("double").alias("y"),
+    )
+    return outer.unionByName(hole)
+
+
+def fixture_road_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Road graph: (edges id_arista, nodo_a, nodo_b, metros; nodes id_nodo, x, y).
+
+    Line items of 32 neighbouring order keys are the points of one way, in key order; a point whose part number is
+    divisible by four is an intersection that it shares with other ways of the same nation's square.
+    """
+    # A line number may repeat within an order: such lines are one point.
+    li = read_table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("long").alias("o"), F.col("l_linenumber").cast("long").alias("l"))
+    li = li.agg(F.min("l_partkey").cast("long").alias("p"), F.sum("l_quantity").alias("l_quantity"))
+    li = li.withColumns({"via": F.expr(f"o div {WAY_SPAN}"), "propio": F.lit(1_000_000_000) + F.col("o") * 8 + F.col("l")})
+    li = li.withColumn("z", F.col("via") % 25)
+    shared = F.col("p") % 4 == 0
+    li = li.withColumn("id_nodo", F.when(shared, F.col("z") * 100_000 + F.col("p") % 5000).otherwise(F.col("propio")))
+    along = Window.partitionBy("via").orderBy("o", "l")
+    edges = li.select(
+        (F.col("o") * 8 + F.col("l")).alias("id_arista"), F.col("id_nodo").alias("nodo_a"), F.lead("id_nodo").over(along).alias("nodo_b"),
+        F.col("l_quantity").alias("metros"),
+    ).where("nodo_b IS NOT NULL")
+    width = 2 * ZONE_HALF
+    a = F.when(shared, (F.col("p") % 5000) * 7919 + F.col("z") * 104_729).otherwise(F.col("o") * 7919 + F.col("l") * 104_729)
+    b = F.when(shared, (F.col("p") % 5000) * 15_485_863 + F.col("z") * 32_452_843).otherwise(F.col("o") * 15_485_863 + F.col("l") * 32_452_843)
+    x, y = _zone_middle(F.col("z"))
+    nodes = li.select(
+        "id_nodo", (x - ZONE_HALF + a % width).cast("double").alias("x"), (y - ZONE_HALF + b % width).cast("double").alias("y")
+    ).distinct()
+    return edges, nodes
