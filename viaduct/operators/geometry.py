@@ -1,7 +1,7 @@
 """Zone polygons as rows: ring edges, areas and centroids (J1's input).
 
 A polygon is a set of vertex rows: id_zona, anillo (ring), hoyo (the ring is a hole), orden (0, 1, ... along the
-ring), x, y. Rings close by themselves and may run either way. Everything is an
+ring), x, y (rows without finite coordinates don't count). Rings close by themselves and may run either way. Everything is an
 equi-join or a sum, so a ring with any number of vertices is spread over tasks.
 """
 
@@ -17,7 +17,7 @@ GRAIN = 1000
 def ring_edges(vertices: DataFrame) -> DataFrame:
     """One row per ring edge: id_zona, anillo, hoyo, orden, x1, y1, x2, y2 (from each vertex to the next, the last one to the first)."""
     ring = ["id_zona", "anillo"]
-    v = vertices.where("id_zona IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
+    v = vertices.where("id_zona IS NOT NULL AND abs(x) < double('infinity') AND abs(y) < double('infinity')")
     sizes = v.groupBy(*ring).agg(F.max("orden").alias("_last"))
     starts = v.join(sizes, ring).select(
         *ring, "hoyo", "orden", F.col("x").alias("x1"), F.col("y").alias("y1"),

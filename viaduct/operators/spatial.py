@@ -38,8 +38,9 @@ def polygon_cells(edges: DataFrame, cell: float) -> DataFrame:
 def locate(points: DataFrame, edges: DataFrame, cell: float) -> DataFrame:
     """``points`` (with x and y) and id_zona, the smallest id of the polygons that hold the point, else NULL.
 
-    Points on an edge, also on a hole's edge, are inside; points in a hole and points without coordinates aren't.
+    Points on an edge, also on a hole's edge, are inside; points in a hole and points without finite coordinates aren't.
     """
-    at = [F.floor(F.col(c) / F.lit(cell)).alias(n) for c, n in (("x", "_cx"), ("y", "_cy"))]
+    somewhere = (F.abs("x") < float("inf")) & (F.abs("y") < float("inf"))
+    at = [F.when(somewhere, F.floor(F.col(c) / F.lit(cell))).alias(n) for c, n in (("x", "_cx"), ("y", "_cy"))]
     placed = points.select("*", *at).join(polygon_cells(edges, cell), ["_cx", "_cy"], "left")
     return placed.withColumn("id_zona", F.expr(f"get(filter(zonas, z -> {_HOLDS}), 0).id_zona")).drop("_cx", "_cy", "zonas")
