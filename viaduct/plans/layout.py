@@ -14,6 +14,7 @@ bucket in one task, so a hot zone makes a hot task. Offered, not the default.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Callable
@@ -102,6 +103,49 @@ def compact(spark: SparkSession, df: DataFrame, path: str, sort_cols: list[str],
     return spark.read.parquet(path)
 
 
+def analysed_table(spark: SparkSession, path: str, prefix: str) -> str:
+    """A written folder as a catalog table with statistics."""
+    name = _table_name(prefix)
+    spark.catalog.createTable(name, path=path, source="parquet")
+    analyze(spark, name)
+    return name
+
+
+def catalog_rows(spark: SparkSession, table: str) -> int | None:
+    """Rows of a table as its statistics have them."""
+    stats = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Statistics'").first()
+    rows = re.search(r"(\d+) rows", stats["data_type"]) if stats else None
+    return int(rows[1]) if rows else None
+
+
+MONTH = "anio_mes"
+
+
+def with_month(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
+    """The fact and its month as a number (202302); rows without a date have none."""
+    months = dim_tiempo.select("sk_tiempo", (F.col("anio").cast("int") * 100 + F.col("mes").cast("int")).alias(MONTH))
+    return fact.join(months, "sk_tiempo", "left").select(*fact.columns, MONTH)
+
+
+def _by_month(rows: DataFrame):
+    """Months with many rows are split over tasks and files."""
+    return rows.hint("rebalance", MONTH).sortWithinPartitions(MONTH, "sk_tiempo", "sk_zona_origen").write.mode("overwrite")
+
+
+def write_by_month(rows: DataFrame, path: str) -> None:
+    """The fact (with `with_month`) in one folder per month; replaces what is there."""
+    _by_month(rows).partitionBy(MONTH).parquet(path)
+
+
+def reload_months(rows: DataFrame, path: str) -> None:
+    """Replace the months that ``rows`` hold, and only these.
+
+    Spark writes all files into a staging folder and moves them in when every task is done, so a reload that fails
+    before leaves the layout as it was; folders of other months aren't touched. A month without rows in ``rows`` stays.
+    """
+    _by_month(rows).option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
+
 def layout_equivalence(optimised: DataFrame, control: DataFrame) -> DataFrame:
     """Row counts of both layouts and rows present in only one (S20), as one lazy plan.
 

@@ -119,3 +119,19 @@ def q5_date_range(
         .agg(F.count(F.lit(1)).alias("n_servicios"), _avg(fact, "duracion_min").alias("duracion_media")),
         F.col("n_servicios").desc(), "distrito",
     )
+
+
+def q5_by_month(
+    fact: DataFrame, dim_tiempo: DataFrame, dim_zona: DataFrame, params: QueryParams = QueryParams()
+) -> DataFrame:
+    """Q5 over the layout by month: the join on the month as well lets Spark prune the folders at run time by the dates found."""
+    month = (F.col("anio").cast("int") * 100 + F.col("mes").cast("int")).alias("anio_mes")
+    t = dim_tiempo.filter(F.col("fecha").between(F.lit(params.q5_desde), F.lit(params.q5_hasta))).select("sk_tiempo", month)
+    zo = dim_zona.select(F.col("sk_zona").alias("sk_zona_origen"), "distrito")
+    return _ordered(
+        fact.join(t, ["anio_mes", "sk_tiempo"])
+        .join(zo, "sk_zona_origen")
+        .groupBy("distrito")
+        .agg(F.count(F.lit(1)).alias("n_servicios"), _avg(fact, "duracion_min").alias("duracion_media")),
+        F.col("n_servicios").desc(), "distrito",
+    )

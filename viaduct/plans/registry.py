@@ -21,12 +21,12 @@ from ..operators import geometry, quantiles, roads, sampling, zones
 from ..operators.corridor import CORRIDOR_KEYS, add_calendar
 from ..operators.flatten import flatten_documents
 from ..session import scratch_path
-from ..sources import bronze, fixture
+from ..sources import bronze, fixture, reingest
 from ..sources import zones as zone_sources
 from . import gold as gold_plan
 from . import layout
 from . import queries as Q
-from . import reports
+from . import reports, sql_text
 from . import silver as silver_plan
 from .warehouse import Warehouse, warehouse_for
 
@@ -35,6 +35,8 @@ from .warehouse import Warehouse, warehouse_for
 SAMPLE_ROWS_PER_FILE = 1000
 
 
+# Month that the reload query loads again.
+RELOADED_MONTH = 199802
 # Square kilometres of a square US survey foot.
 KM2_PER_SQUARE_FOOT = (1200 / 3937 / 1000) ** 2
 
@@ -243,8 +245,17 @@ def conformance_report(spark, sf_dir):
 
 
 def gold_rejects(spark, sf_dir):
-    """Source rows of the fact of which the gold types hold not every value."""
-    rejects = conform_ops.conform(_w(spark, sf_dir).fact_keyed, schemas.FACT_SERVICIO).rejects
+    """Source rows of the fact of which the gold types hold not every value.
+
+    The trips all fit, so some get amounts, passengers and dates that don't: every 500th, 700th and 900th.
+    """
+    every = lambda n: F.col("sk_servicio") % n == 0
+    odd = _w(spark, sf_dir).fact_keyed.withColumns({
+        "importe_total": F.when(every(500), F.col("importe_total") * 1e8).otherwise(F.col("importe_total")),
+        "n_pasajeros": F.when(every(700), 100_000).otherwise(F.col("n_pasajeros")),
+        "sk_tiempo": F.when(~every(900), F.col("sk_tiempo")),
+    })
+    rejects = conform_ops.conform(odd, schemas.FACT_SERVICIO).rejects
     return rejects.select("hash_registro", F.array_join(conform_ops.REASON, ",").alias(conform_ops.REASON))
 
 
@@ -349,15 +360,64 @@ def silver_by_date(spark, sf_dir):
 
 
 def fact_compacted(spark, sf_dir):
-    """The fact re-sorted and analysed (S17, S18): rows and key span, with the catalog's row count."""
+    """The fact re-sorted and analysed (S17, S18): rows and key span of each date, and the catalog's row count."""
     w = _w(spark, sf_dir)
     path = scratch_path(spark, "compact")
     df = layout.compact(spark, w.gold_fact, path, ["sk_tiempo", "sk_zona_origen", "sk_servicio"])
+    rows = layout.catalog_rows(spark, layout.analysed_table(spark, path, "fact_compacted"))
     return df.groupBy("sk_tiempo").agg(
         F.count(F.lit(1)).alias("filas"), F.min("sk_servicio").alias("primero"), F.max("sk_servicio").alias("ultimo")
+    ).withColumn("filas_catalogo", F.lit(rows).cast("long"))
+
+
+# -- loads after the first one ---------------------------------------------------
+def bronze_reingest(spark, sf_dir):
+    """Three overlapping loads of the trips: each stored record with the load that brought it."""
+    docs = _w(spark, sf_dir).documents
+    first = F.col("_ingesta.fichero_origen") == fixture.FILE_MAIN
+    path = scratch_path(spark, "reingest")
+    for load in (docs.where(first & (F.col("payload.o_orderkey") % 3 != 0)), docs.where(first), docs):
+        reingest.load_new(load, path, least_rows=1000)
+    return reingest.read_store(spark, path).select(
+        F.col("_ingesta.hash_registro").alias("hash_registro"), F.col("_ingesta.fichero_origen").alias("fichero_origen"), F.col("carga").cast("int").alias("carga")
+    )
+
+
+def month_reload(spark, sf_dir):
+    """The fact by month, one month of it loaded again without its night trips: rows and amounts of each month."""
+    w = _w(spark, sf_dir)
+    path = scratch_path(spark, "by_month")
+    rows = layout.with_month(w.gold_fact, w.gold_dim_tiempo)
+    layout.write_by_month(rows, path)
+    layout.reload_months(rows.where((F.col(layout.MONTH) == RELOADED_MONTH) & (F.col("hora") < 20)), path)
+    return spark.read.parquet(path).groupBy(layout.MONTH).agg(
+        F.count(F.lit(1)).alias("filas"), F.sum(F.col("importe_total").cast("decimal(20,2)")).cast("double").alias("importe")
     )
 
 
+def q5_by_month(spark, sf_dir):
+    """Q5 over the layout by month."""
+    w = _w(spark, sf_dir)
+    path = scratch_path(spark, "by_month")
+    layout.write_by_month(layout.with_month(w.gold_fact, w.gold_dim_tiempo), path)
+    return for_compare(Q.q5_by_month(spark.read.parquet(path), w.gold_dim_tiempo, w.gold_dim_zona, w.params))
+
+
+def sql_text_results(spark, sf_dir):
+    """The reference queries as SQL text, on both layouts: rows, and whether they equal the DataFrame form."""
+    w = _w(spark, sf_dir)
+    tables = {n: sql_text.registered(df, n) for n, df in w.dimension_tables.items()}
+    frames, texts = reference_queries(w, w.dimension_tables), sql_text.reference_sql()
+    out = None
+    for name, df in w.layouts.items():
+        fact = sql_text.registered(df, "fact")
+        for q, text in texts.items():
+            both = layout.layout_equivalence(sql_text.run(spark, text, {**tables, "fact": fact}, w.params), frames[q](df))
+            row = both.select(F.lit(q).alias("consulta"), F.lit(name).alias("layout"), F.col("n_optimizada").alias("filas"), F.col("equivalente").alias("iguales"))
+            out = row if out is None else out.unionByName(row)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_documents": bronze_documents,
     "bronze_export_roundtrip": bronze_export_roundtrip,
@@ -397,4 +457,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_csv_roundtrip": zone_csv_roundtrip,
     "silver_by_date": silver_by_date,
     "fact_compacted": fact_compacted,
+    "bronze_reingest": bronze_reingest,
+    "month_reload": month_reload,
+    "q5_by_month": q5_by_month,
+    "sql_text_results": sql_text_results,
 }
