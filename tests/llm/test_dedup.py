@@ -405,3 +405,31 @@ def test_segments_cover_a_line(length, edits):
         assert start == at
         at += size
     assert at == length + 1
+
+
+def components_by_walking(links):
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    return {x: find(x) for x in parent}
+
+
+def test_components_and_more_links(spark):
+    """Chains, stars, cycles, repeated and self links; links that come later join what is there."""
+    rng = np.random.default_rng(3)
+    first = [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 260)] + [(5, 5), (7, 6), (6, 7)] + [tuple(map(int, x)) for x in rng.integers(300, 420, (90, 2))]
+    later = [(160, 259), (6, 300), (1, 2), (130, 131)]
+    frame = lambda links: spark.createDataFrame(links, "a long, b long").repartition(3)
+    one = jaccard_join.connected_components(frame(first))
+    assert dict(tuples(one)) == components_by_walking(first) and one.count() == len(dict(tuples(one)))
+    both = jaccard_join.joined_components(one, frame(later))
+    assert dict(tuples(both)) == components_by_walking(first + later) and both.count() == len(dict(tuples(both)))
+    assert jaccard_join.connected_components(frame([(1, 1)])).count() == 0

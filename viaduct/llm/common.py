@@ -85,25 +85,34 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Large-star / small-star rounds: every round is one hash aggregate per star
     over the current links, written to the shared folder; rounds grow with
-    the logarithm of a component's size. Nodes without a link don't appear.
+    the logarithm of a component's size. The rounds end when every link leads from a node
+    to a root: no node has two links, and no link leads to a node that has one. Nodes without a link don't appear.
     """
     edges = staged(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc"
     )
-    last = None
     while True:
+        lower = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        inner = lower.where("n > 1").select("u").unionByName(lower.join(edges.select(F.col("v").alias("u")), "u", "left_semi").select("u"))
+        if inner.isEmpty():
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+                edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            )
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Large star: neighbours above the node move to the smallest neighbour.
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # Small star: neighbours below the node, and the node, move to the smallest of them.
         floor = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(floor, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
         edges = staged(small.where("u <> v").distinct(), "cc")
-        if last is not None and edges.count() == last.count() and edges.join(last, ["u", "v"], "left_anti").isEmpty():
-            # Every node points at one root, the smallest of its component.
-            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        last = edges
+
+
+def joined_components(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) after more links (a, b): only the links between different components go through rounds."""
+    own = links.join(components.toDF("a", "ra"), "a", "left").join(components.toDF("b", "rb"), "b", "left")
+    own = own.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    moved = staged(connected_components(own), "cc-moved").toDF("component", "to")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).select("node", F.col("node").alias("component"))
+    every = components.unionByName(ends).groupBy("node").agg(F.min("component").alias("component"))
+    return every.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))

@@ -26,7 +26,7 @@ Candidates become links in three steps, each verified by exact intersection of t
    size and parity sketch (each shingle flips one bit, so sketches of linked sets differ in at most as many bits as
    the sets may differ in shingles; this loses no link), and the pairs of a minimum spanning forest of those that
    pass are written: fewer than the group has nodes;
-3. in groups that still join several components, every pair that passes and isn't verified yet is written.
+3. in groups that had more such pairs and still join several components, every pair that passes and isn't verified yet is written.
 
 So a large group of alike sets, linked or not, writes pairs in proportion to its size, apart from pairs
 of unlinked sets so near the threshold that their sketches can't tell. For
@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import connected_components, documents, map_arrow, mix64, staged, text_or_empty
+from .common import connected_components, documents, joined_components, map_arrow, mix64, staged, text_or_empty
 
 SPARE = 1
 CELLS = 3
@@ -61,8 +61,8 @@ CHUNK = 1 << 20
 BUCKET = 500_000
 GROUP = 2048
 PART = 512
-# Bits of a parity sketch, about four for each shingle.
-LEAST_SKETCH, MOST_SKETCH = 512, 65_536
+# Bits of a parity sketch, two to four for each shingle.
+LEAST_SKETCH, MOST_SKETCH = 256, 65_536
 # Ids, and roles of nodes, that may be broadcast (some 10 bytes each); beyond that the join shuffles.
 BROADCAST_IDS = 2_000_000
 BROADCAST_ROLES = 2_000_000
@@ -193,7 +193,7 @@ def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.nda
 
 def sketch(s: np.ndarray) -> bytes:
     """Parity of the number of shingles that fall on each bit; a longer sketch folds into a shorter one."""
-    size = min(max(LEAST_SKETCH, 1 << (4 * len(s) - 1).bit_length()), MOST_SKETCH) if len(s) else LEAST_SKETCH
+    size = min(max(LEAST_SKETCH, 1 << (2 * len(s) - 1).bit_length()), MOST_SKETCH) if len(s) else LEAST_SKETCH
     bits = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(bool)).tobytes()
 
@@ -377,32 +377,37 @@ def spanning(i: np.ndarray, j: np.ndarray, differ: np.ndarray, root: np.ndarray)
 
 
 def _pairs_in_groups(percent: int, forest: bool):
-    """Pairs (a, b) of nodes in each group that can link, or a forest of them; rows come sorted by group and node."""
+    """Pairs (a, b) of nodes in each group that can link, or a forest of them and (g0, g1) of the groups that have more; rows come sorted by group and node."""
+    kind = pa.int64()
 
-    def found(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    def found(group: list[int], rows: list[tuple]) -> pa.RecordBatch:
         node, n, root = (np.array([r[i] for r in rows], np.int64) for i in (0, 1, 2))
         i, j, differ = passing_pairs(percent, n, root, [r[3] for r in rows])
+        more = 0
         if forest:
             keep = spanning(i, j, differ, root)
+            more = int(len(keep) < len(i))
             i, j = i[keep], j[keep]
-        return np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+        a, b = np.minimum(node[i], node[j]).tolist(), np.maximum(node[i], node[j]).tolist()
+        g0, g1 = ([None] * len(a) + [g] * more for g in group)
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x in (a + [None] * more, b + [None] * more, g0, g1)], ["a", "b", "g0", "g1"])
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows = None, []
-        done: list[tuple[np.ndarray, np.ndarray]] = []
+        done: list[pa.RecordBatch] = []
         for batch in batches:
             for *g, node, n, root, data in zip(*(batch.column(c).to_pylist() for c in ("g0", "g1", "node", "n", "root", "payload")), strict=True):
                 if g != group:
                     if len(rows) > 1:
-                        done.append(found(rows))
+                        done.append(found(group, rows))
                     group, rows = g, []
                 if not rows or rows[-1][0] != node:
                     rows.append((node, n, root, data))
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*done, strict=True)], ["a", "b"])
+                yield pa.concat_batches(done)
                 done = []
         if len(rows) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found(rows)], ["a", "b"])
+            yield found(group, rows)
 
     return scan
 
@@ -509,8 +514,8 @@ def jaccard_classes(
         kind = "node long, roles array<struct<a long, salt int, member int>>, n long, payload binary"
         return staged(met(map_arrow(texts, _sets(n), kind), sets_link), "jaccard-links")
 
-    def candidates(components: DataFrame, forest: bool, done: DataFrame) -> DataFrame:
-        """Unverified pairs that can link, in groups that join several components."""
+    def candidates(groups: DataFrame, components: DataFrame, forest: bool, done: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Unverified pairs that can link, in groups that join several components; and the groups with more such pairs than those of the forest."""
         placed = groups.select("g0", "g1", F.explode("members").alias("node")).join(components, "node", "left")
         placed = placed.select("g0", "g1", "node", F.coalesce("component", "node").alias("root"))
         several = placed.groupBy("g0", "g1").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
@@ -519,8 +524,9 @@ def jaccard_classes(
         few = own.limit(BROADCAST_ROLES + 1).count() <= BROADCAST_ROLES
         sketches = info.join(F.broadcast(own) if few else own, ["id", "node"]).select("node", "n", "payload").dropDuplicates(["node"])
         each = apart.join(sketches, "node").repartition("g0", "g1").sortWithinPartitions("g0", "g1", "node")
-        pairs = map_arrow(each, _pairs_in_groups(percent, forest), "a long, b long").distinct()
-        return staged(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
+        found = staged(map_arrow(each, _pairs_in_groups(percent, forest), "a long, b long, g0 long, g1 long"), "jaccard-found")
+        pairs = found.where("a IS NOT NULL").select("a", "b").distinct()
+        return staged(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-pairs"), found.where("a IS NULL").select("g0", "g1")
 
     first = groups.select(F.explode(F.slice("members", 2, GROUP)).alias("b"), F.col("members")[0].alias("a"))
     first = first.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -529,13 +535,16 @@ def jaccard_classes(
     near = _with_roles(info, roles_of(first), ["id", "node"])
     links = verified(staged(met(near, sketches_allow), "jaccard-near"))
     components = staged(connected_components(links), "jaccard-components")
-    done = first
+    done, left = first, groups
     for forest in (True, False):
-        pairs = candidates(components, forest, done)
-        if pairs.limit(1).count():
-            links = links.unionByName(verified(pairs))
-            components = staged(connected_components(links), "jaccard-components")
-        done = done.unionByName(pairs)
+        pairs, more = candidates(left, components, forest, done)
+        if not pairs.isEmpty():
+            new = verified(pairs)
+            links = links.unionByName(new)
+            components = staged(joined_components(components, new), "jaccard-components")
+        if more.isEmpty():
+            break
+        done, left = done.unionByName(pairs), groups.join(more, ["g0", "g1"], "left_semi")
     smallest = components.join(nodes, "node").groupBy("component").agg(F.min(F.struct("id", "node")).alias("least"))
     label = components.join(smallest, "component").select("node", F.col("least.id").alias("component_id"), F.col("least.node").alias("kept"))
     label = nodes.join(label, "node", "left").select("node", F.coalesce("component_id", "id").alias("component_id"), F.coalesce("kept", "node").alias("kept"))
