@@ -26,7 +26,7 @@ from ..sources import zones as zone_sources
 from . import gold as gold_plan
 from . import layout
 from . import queries as Q
-from . import reports, sql_text
+from . import indexes, reports, sql_text, statistics
 from . import silver as silver_plan
 from .warehouse import Warehouse, warehouse_for
 
@@ -418,6 +418,62 @@ def sql_text_results(spark, sf_dir):
     return out
 
 
+# -- indexes and statistics of the stored tables -----------------------------------
+def hash_lookup(spark, sf_dir):
+    """Trips of every hash that begins with two zeros, through the layout by hash; and whether only files of that range were read."""
+    flat = _w(spark, sf_dir).silver_frames.clean.select("hash_registro", "id_operador", "importe_total")
+    path = scratch_path(spark, "by_hash")
+    indexes.write_hash_indexed(flat, path, "hash_registro", rows_per_file=500)
+    index = indexes.file_ranges(spark, path, "hash_registro")
+    keys = flat.where("hash_registro < '01'").select("hash_registro")
+    rows, read = indexes.lookup(spark, path, index, keys, "hash_registro")
+    within = indexes.files_in_range(index, 0, "00", "01")
+    return rows.withColumn("solo_su_rango", F.lit(0 < read <= within < index.count()))
+
+
+def interleaved_layout(spark, sf_dir):
+    """Ranges of the operator and of the date, on a layout sorted by date and operator and on one by interleaved bits: rows, and whether files are skipped."""
+    fact = _w(spark, sf_dir).gold_fact
+    ranges = {"sk_operador": (3, 3), "sk_tiempo": (500, 600)}
+    out = []
+    for layout_name in ("ordenado", "intercalado"):
+        path = scratch_path(spark, layout_name)
+        if layout_name == "ordenado":
+            fact.repartitionByRange(64, "sk_tiempo", "sk_operador", "sk_servicio").sortWithinPartitions("sk_tiempo", "sk_operador").write.parquet(path)
+        else:
+            indexes.write_interleaved(fact, path, "sk_operador", "sk_tiempo", "sk_servicio", partitions=64)
+        index = indexes.file_ranges(spark, path, *ranges)
+        for i, (c, (low, high)) in enumerate(ranges.items()):
+            rows = spark.read.parquet(path).where(F.col(c).between(low, high)).agg(F.count(F.lit(1)).alias("filas"))
+            skips = 2 * indexes.files_in_range(index, i, low, high) <= index.count()
+            out.append(rows.select(F.lit(layout_name).alias("disposicion"), F.lit(c).alias("columna"), "filas", F.lit(skips).alias("salta_la_mitad")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+def plan_estimates(spark, sf_dir):
+    """Filters and joins of the fact: their rows, and whether the cost-based estimate is within a factor of two."""
+    w = _w(spark, sf_dir)
+    path = scratch_path(spark, "estimates")
+    w.gold_fact.write.parquet(path)
+    fact = layout.analysed_table(spark, path, "fact_estimates")
+    statistics.analyze_with_histograms(spark, fact)
+    zones_ = layout.write_dimension_table(spark, w.gold_dim_zona, "dim_zona_estimates")
+    statistics.analyze_with_histograms(spark, zones_)
+    f, z = spark.table(fact), spark.table(zones_)
+    frames = {
+        "duracion": f.where("duracion_min < 30"), "fecha": f.where("sk_tiempo BETWEEN 500 AND 600"), "importe": f.where("importe_total > 50000"),
+        "operador": f.where("sk_operador = 3"), "zona": f.join(z, f.sk_zona_origen == z.sk_zona),
+    }
+    out = None
+    for name, df in frames.items():
+        guess = statistics.estimated_rows(df)
+        n = F.count(F.lit(1))
+        near = (F.lit(guess) <= 2 * n + 10) & (n <= 2 * F.lit(guess) + 10) if guess is not None else F.lit(False)
+        row = df.agg(n.alias("filas"), near.alias("estimado")).select(F.lit(name).alias("consulta"), "filas", "estimado")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_documents": bronze_documents,
     "bronze_export_roundtrip": bronze_export_roundtrip,
@@ -461,4 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_reload": month_reload,
     "q5_by_month": q5_by_month,
     "sql_text_results": sql_text_results,
+    "hash_lookup": hash_lookup,
+    "interleaved_layout": interleaved_layout,
+    "plan_estimates": plan_estimates,
 }
