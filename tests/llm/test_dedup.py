@@ -322,12 +322,12 @@ def test_lines_equal_brute_force(spark):
     docs = spark.createDataFrame([(i, t, "z", "z") for i, t in rows], "doc_id long, text string, lid string, pos string").repartition(4)
     want = lines_by_brute_force(rows)
     drop = collections.defaultdict(list)
-    for r in line_dedup.dropped_lines(docs).collect():
+    for r in line_dedup.dropped_lines(docs, short=False).collect():
         drop[r["doc"]].append((r["pos"], r["near"]))
     assert {i: (sum(not n for _, n in v), sum(n for _, n in v), ",".join(map(str, sorted(p for p, _ in v)))) for i, v in drop.items()} == {
         i: v[1:] for i, v in want.items() if v[1] + v[2]
     }
-    cut = line_dedup.without_repeated_lines(docs)
+    cut = line_dedup.without_repeated_lines(docs, short=False)
     assert cut.columns == docs.columns
     for r in cut.collect():
         t = dict(rows)[r["doc_id"]]
@@ -372,7 +372,7 @@ def test_links_of_near_lines_equal_brute_force(spark):
             if line not in first:
                 want[i, p] = sum(within(line, o, 2) for o in first)
                 first.append(line)
-    got = {(r["doc"], r["pos"]): r["links"] for r in line_dedup.dropped_lines(docs).collect() if r["near"]}
+    got = {(r["doc"], r["pos"]): r["links"] for r in line_dedup.dropped_lines(docs, short=False).collect() if r["near"]}
     assert got == {k: n for k, n in want.items() if n} and max(got.values()) > 10
 
 
@@ -388,6 +388,21 @@ def test_short_lines_that_stand_earlier_are_found(spark, texts):
     assert {(r["doc_id"], r["text"]) for r in line_dedup.without_repeated_lines(docs, short=True).collect()} == {(1, "short\n\nb"), (2, "\nc"), (None, "")}
 
 
+def test_lines_of_texts_under_one_id(spark):
+    """Null ids and repeated ids with other texts: a line that stands nowhere else always stays."""
+    a, b, c = "a line that several of the texts have", "only the second text says this here", "another one that stands in a single text"
+    rows = [(None, f"{a}\n{b}"), (None, f"{c}\n{a}"), (None, None), (4, f"{a}\nx"), (4, f"{c} and more of it\n{a}"), (4, f"{a}\nx"), (3, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for short in (False, True):
+        got = [r["text"] for r in line_dedup.without_repeated_lines(docs, short=short).collect()]
+        assert len(got) == len(rows) and got.count(None) == 1
+        kept = "\n".join(t for t in got if t)
+        assert all(line in kept.split("\n") for line in (a, b, c, f"{c} and more of it"))
+        assert sum(a in t.split("\n") for t in got if t) == 1
+    result = line_dedup.dropped_lines(docs).collect()
+    assert len({(r["doc"], r["tid"], r["pos"]) for r in result}) <= len(result)
+
+
 def test_lines_of_no_table(no_docs):
     assert tuples(line_dedup.dropped_lines(no_docs)) == []
 

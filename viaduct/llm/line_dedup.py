@@ -22,8 +22,9 @@ Verification is bit-parallel in a band of ``2 EDITS + 1`` diagonals, over the wh
 lines: see `within_edits`.
 
 Lines are identified by 64 + 32 hash bits and the length. Defined results: null
-text is one empty line; rows that repeat an id are one document (a line number
-is dropped in all of them or in none); a null id orders last; an empty table
+text is one empty line; rows that repeat an id with the same
+text are one document (a line number is dropped in all of them or in none), with other texts documents of
+their own, in the order of a hash of their texts; a null id orders last; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -49,10 +50,10 @@ def bounded(rows: DataFrame) -> DataFrame:
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, pos, line) of every line."""
+    """(doc, tid, pos, line) of every line; ``tid`` tells the texts of one id apart."""
     text = text_or_empty(F.col(f"`{text_col}`"))
     doc = F.col(f"`{id_col}`").cast("long").alias("doc")
-    return docs.select(doc, F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    return docs.select(doc, F.xxhash64(text).alias("tid"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
 
 
 def signatures(lines: DataFrame, edits: int) -> DataFrame:
@@ -117,11 +118,11 @@ def within_edits(framed: Column, wide: Column, edits: int) -> Column:
 
 
 def line_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = True
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(occurrences, first occurrences, near links).
 
-    occurrences: doc, pos, lid; first: lid, doc, pos of each distinct line; links:
+    occurrences: doc, tid, pos, lid; first: lid, doc, tid, pos of each distinct line; links:
     (lid, other), ``other`` being an earlier line within ``edits`` edits. With ``short``,
     occurrences and first hold the lines of 1 to ``min_chars - 1`` characters too.
     """
@@ -129,17 +130,17 @@ def line_classes(
     every, lines = every.where(F.col("length") >= (1 if short else min_chars)), every.where(F.col("length") >= min_chars)
     key = [F.xxhash64("line").alias("lid"), F.hash("line").alias("h"), "length"]
     order = F.coalesce("doc", F.lit(LAST))
-    occurrences = every.select("doc", order.alias("ord"), "pos", *key)
+    occurrences = every.select("doc", order.alias("ord"), "tid", "pos", *key)
     # Smallest document first, then the smallest line number in it: two hash aggregates, map-side combined.
-    in_doc = occurrences.groupBy("lid", "h", "length", "ord").agg(F.min("pos").alias("pos"))
-    first_doc = in_doc.groupBy("lid", "h", "length").agg(F.min(F.struct("ord", "pos")).alias("first"))
-    firsts = staged(first_doc.select("lid", "h", "length", "first.ord", "first.pos"), "lines-first")
+    in_doc = occurrences.groupBy("lid", "h", "length", "ord", "tid").agg(F.min("pos").alias("pos"))
+    first_doc = in_doc.groupBy("lid", "h", "length").agg(F.min(F.struct("ord", "tid", "pos")).alias("first"))
+    firsts = staged(first_doc.select("lid", "h", "length", "first.ord", "first.tid", "first.pos"), "lines-first")
 
     signed = signatures(lines, edits)
     shared = signed.groupBy("sig").agg(F.min("lid").alias("a"), F.max("lid").alias("b"), F.max("own").alias("own"))
     shared = staged(shared.where("a <> b AND own = 1").select("sig"), "lines-shared")
     members = signed.join(bounded(shared), "sig").groupBy("sig", "lid").agg(F.max("own").alias("own"))
-    place = firsts.groupBy("lid").agg(F.min(F.struct("ord", "pos")).alias("at"))
+    place = firsts.groupBy("lid").agg(F.min(F.struct("ord", "tid", "pos")).alias("at"))
     members = staged(members.join(place, "lid"), "lines-members")
 
     lids = staged(members.select("lid").distinct(), "lines-lids")
@@ -168,25 +169,25 @@ def line_classes(
 
 
 def dropped_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, short: bool = True
 ) -> DataFrame:
-    """(doc, pos, near, links, length): lines to drop, ``near`` where no equal line stands earlier."""
+    """(doc, tid, pos, near, links, length): lines to drop, ``near`` where no equal line stands earlier."""
     occurrences, firsts, links = line_classes(docs, id_col, text_col, edits, min_chars, short)
     near = links.groupBy("lid").agg(F.count("*").alias("links"))
-    firsts = firsts.join(near, "lid", "left").withColumnsRenamed({"ord": "first_ord", "pos": "first_pos"})
+    firsts = firsts.join(near, "lid", "left").withColumnsRenamed({"ord": "first_ord", "tid": "first_tid", "pos": "first_pos"})
     every = occurrences.join(firsts, ["lid", "h", "length"])
-    repeat = (F.col("ord") != F.col("first_ord")) | (F.col("pos") != F.col("first_pos"))
+    repeat = (F.col("ord") != F.col("first_ord")) | (F.col("tid") != F.col("first_tid")) | (F.col("pos") != F.col("first_pos"))
     every = every.where(repeat | F.col("links").isNotNull())
-    return every.select("doc", "pos", (~repeat).alias("near"), F.coalesce("links", F.lit(0)).alias("links"), "length")
+    return every.select("doc", "tid", "pos", (~repeat).alias("near"), F.coalesce("links", F.lit(0)).alias("links"), "length")
 
 
 def without_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with the dropped lines cut out of their texts; a null text stays null."""
-    drop = dropped_lines(docs, id_col, text_col, **how).groupBy("doc").agg(F.collect_set("pos").alias("_drop"))
+    drop = dropped_lines(docs, id_col, text_col, **how).groupBy("doc", "tid").agg(F.collect_set("pos").alias("_drop"))
     kept = F.filter(F.split(F.col(f"_row.`{text_col}`"), "\n", -1), lambda _, i: ~F.array_contains("_drop", i))
     text = F.when(F.col("_drop").isNull(), F.col(f"_row.`{text_col}`")).otherwise(F.array_join(kept, "\n"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_i"))
-    joined = rows.join(drop, F.col("_i").eqNullSafe(F.col("doc")), "left")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_i"), F.xxhash64(text_or_empty(F.col(f"`{text_col}`"))).alias("_t"))
+    joined = rows.join(drop, F.col("_i").eqNullSafe(F.col("doc")) & (F.col("_t") == F.col("tid")), "left")
     return joined.select(*[(text if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
@@ -195,13 +196,13 @@ def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     short = F.col("length") < MIN_CHARS
     numbers = lambda which: F.array_join(F.array_sort(F.collect_list(F.when(which, F.col("pos")))), ",")
-    drop = dropped_lines(docs, short=True).groupBy("doc").agg(
+    drop = dropped_lines(docs, short=True).groupBy("doc", "tid").agg(
         F.count_if(~F.col("near") & ~short).alias("n_equal"), F.count_if("near").alias("n_near"),
         F.sum("links").alias("n_links"), numbers(~short).alias("dropped"),
         F.count_if(short).alias("n_equal_short"), numbers(short).alias("dropped_short"),
     )
-    every = docs.select("doc_id", F.size(F.split(text_or_empty("text"), "\n", -1)).cast("long").alias("n_lines"))
-    joined = every.join(drop, F.col("doc_id").eqNullSafe(F.col("doc")), "left")
+    every = docs.select("doc_id", F.xxhash64(text_or_empty("text")).alias("_t"), F.size(F.split(text_or_empty("text"), "\n", -1)).cast("long").alias("n_lines"))
+    joined = every.join(drop, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("_t") == F.col("tid")), "left")
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     listed = lambda c: F.coalesce(c, F.lit("")).alias(c)
     return joined.select(
