@@ -3,12 +3,14 @@
 import collections
 import math
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from viaduct.llm import licenses, mixing, packing, pii, quality, search
 
@@ -229,11 +231,12 @@ def test_differencing_levels_windows():
 
 
 # -- surrogates ----------------------------------------------------------------
+SECRET = "a key of the tests"
 PRIVATE = "Write to ann.lee@corp.example.co.uk or +1 (017) 555-7713, from 97.51.17.173 or 10.0.0.7; card 4111 1111 1111 1111, 4785380592391141; 123-45-6789; GB82 WEST 1234 5698 7654 32; token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\"; password: Hunter2xyz. Frau Anna Schmidt met Dr. Schmidt and Señora García."
 
 
 def test_every_kind_is_replaced_in_its_form():
-    new, log = pii.Surrogates().rewrite(PRIVATE)
+    new, log = pii.Surrogates(SECRET).rewrite(PRIVATE)
     assert collections.Counter(k for k, _, _ in log) == {"email": 1, "phone": 1, "ip": 2, "card": 2, "ssn": 1, "iban": 1, "secret": 2, "person": 3}
     shape = lambda v: re.sub(r"[0-9]", "0", v)
     for kind, value, surrogate in log:
@@ -250,13 +253,62 @@ def test_every_kind_is_replaced_in_its_form():
 
 def test_partial_and_untitled_mentions_agree():
     text = "Dr. Anna Keller wrote. Later Keller said, and Anna's note (KELLER) too. Frau Maria del Mar Ruiz Lopez Garcia Perez met Perez."
-    new, log = pii.Surrogates().rewrite(text)
+    new, log = pii.Surrogates(SECRET).rewrite(text)
     assert not re.search("Anna|Keller|KELLER|Perez", new)
     full, last, first = (s for _, _, s in log[:3])
     assert full.split() == [first, last]
     for t, name in (("Anna Keller wrote; Keller left.", "Keller"), ("Hi, my name is Zoltan Quux. Zoltan", "Zoltan"), ("See you.\nBest regards,\nOdo Brandt", "Brandt"), ("Mr Ab Cd Ef Gh Ij", "Ij")):
-        assert not re.search(rf"\b{name}\b", pii.Surrogates().rewrite(t)[0])
-    assert pii.Surrogates().rewrite("The Keller of a house. New York Times.")[1] == []
+        assert not re.search(rf"\b{name}\b", pii.Surrogates(SECRET).rewrite(t)[0])
+    assert pii.Surrogates(SECRET).rewrite("The Keller of a house. New York Times.")[1] == []
+
+
+# Texts with the parts that must go, and the parts that must stay as they are.
+SCRIPTS = [
+    ("Dr. Иванов пришел домой. Потом домой пришел сын. Иванов спал.", ["Иванов"], ["пришел домой. Потом домой пришел сын.", " спал."]),
+    ("Dr. محمد علي ذهب إلى البيت ثم عاد إلى البيت", ["محمد علي"], [" ذهب إلى البيت ثم عاد إلى البيت"]),
+    ("Mr 王小明，今天去学校。学校很大。", ["王小明"], ["，今天去学校。学校很大。"]),
+    ("Herr Nowak żyje w Polsce. Nowak żyje dobrze, żółw też.", ["Nowak"], [" żyje w Polsce. ", " żyje dobrze, żółw też."]),
+    ("Frau Παπαδοπούλου είπε ναι. Η Παπαδοπούλου γέλασε.", ["Παπαδοπούλου"], [" είπε ναι. Η ", " γέλασε."]),
+    ("Dr. Will Smith came. Will it rain? I will see, Smith said.", ["Smith", "Dr. Will"], [" came. Will it rain? I will see, ", " said."]),
+    ("John Smith and Mary Jones met here.", ["John", "Smith", "Mary", "Jones"], [" and ", " met here."]),
+    ("Dr. Baker slept. The baker woke. Baker bread is good.", ["Dr. Baker"], [" slept. The baker woke. Baker bread is good."]),
+    ("ordinary words stay: дом, بيت, 学校, dům, σπίτι. Nothing Here Is a Name.", [], ["ordinary words stay: дом, بيت, 学校, dům, σπίτι. Nothing Here Is a Name."]),
+]
+
+
+@pytest.mark.parametrize("text,gone,kept", SCRIPTS)
+def test_what_must_and_must_not_change(text, gone, kept):
+    new, _ = pii.Surrogates(SECRET).rewrite(text)
+    assert not any(g in new for g in gone) and all(k in new for k in kept) and len(new) == len(text)
+
+
+def test_capitals_follow_the_name():
+    new, log = pii.Surrogates(SECRET).rewrite("Dr. Keller, KELLER and Keller")
+    a, b, c = (s for _, _, s in log)
+    assert a == c and b == a.upper() and a != "Keller"
+
+
+def test_country_codes_stay():
+    for number, code in (("+493012345678", "+49"), ("+15551234567", "+1"), ("+420 123 456 789", "+420"), ("+33 1 2345 6789", "+33"), ("+7 495 123 4567", "+7")):
+        new = pii.Surrogates(SECRET).rewrite(f"call {number} now")[0].removeprefix("call ").removesuffix(" now")
+        assert new.startswith(code) and new != number and len(new) == len(number)
+
+
+def test_many_entities_of_one_text():
+    """Overlaps are settled by a search, not by looking at every other entity."""
+    text = " ".join(f"a{i}@b{i}.com" for i in range(10_000))
+    start = time.perf_counter()
+    found = pii.entities(text)
+    assert len(found) == 10_000 and time.perf_counter() - start < 5
+    assert all(a[1] <= b[0] for a, b in zip(found, found[1:]))
+
+
+def test_a_key_is_needed(spark):
+    with pytest.raises(ValueError):
+        pii.Surrogates("")
+    spark.conf.unset(pii.KEY_SETTING)
+    one, two = ({r["text"] for r in pii.op10_pii_surrogates(spark, SF001).where("n_email > 0").collect()} for _ in range(2))
+    assert one and one != two
 
 
 def test_surrogates_are_keyed_and_repeatable():
@@ -267,21 +319,21 @@ def test_surrogates_are_keyed_and_repeatable():
 @settings(max_examples=30, deadline=None)
 @given(st.integers(2, 3000), st.text(max_size=5))
 def test_permutations_are_bijective(size, tweak):
-    by = pii.Surrogates()
+    by = pii.Surrogates(SECRET)
     assert sorted(by.permute(i, size, tweak) for i in range(size)) == list(range(size))
 
 
 @settings(max_examples=30, deadline=None)
 @given(st.integers(2, 600), st.text(max_size=5))
 def test_no_number_stays(size, tweak):
-    by = pii.Surrogates()
+    by = pii.Surrogates(SECRET)
     image = [by.derange(i, size, tweak) for i in range(size)]
     assert sorted(image) == list(range(size)) and all(i != x for i, x in enumerate(image))
     assert all(by.permute(by.permute(i, size, tweak), size, tweak, back=True) == i for i in range(size))
 
 
 def test_names_of_all_scripts_change():
-    by = pii.Surrogates()
+    by = pii.Surrogates(SECRET)
     for name in ("محمد", "שרה", "王小明", "김철수", "राम", "Łukąść", "Şğı", "Čžěř", "Άέή", "Ed", "Al", "Li", "Bo"):
         new = by.replace("person", name)
         assert new != name and len(new) == len(name) and [c.isupper() for c in new] == [c.isupper() for c in name]
@@ -293,7 +345,7 @@ def test_names_of_all_scripts_change():
 
 
 def test_check_digits_stay_valid():
-    by = pii.Surrogates()
+    by = pii.Surrogates(SECRET)
     luhn = lambda v: sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed([c for c in v if c.isdigit()]))) % 10 == 0
     assert luhn("4111111111111111") and luhn(by.card("4111111111111111")) and not luhn(by.card("4111111111111112"))
     new = by.iban("GB82WEST12345698765432")
@@ -301,24 +353,30 @@ def test_check_digits_stay_valid():
 
 
 def test_clean_texts_stay(texts):
-    by = pii.Surrogates()
+    by = pii.Surrogates(SECRET)
     for t in ("Version 1.2.3 of 2024-01-31 costs 12,500.00 or 3 500 units", "Section 4.5.6.7.8, item 100 200 300", "key to success = hard work"):
         assert by.rewrite(t) == (t, [])
     assert all(pii.entities(t) or by.rewrite(t)[0] == t for _, t in texts)
 
 
 def test_surrogates_of_odd_rows(spark, odd, odd_docs, no_docs):
-    rows = pii.surrogate_documents(odd_docs).collect()
-    by = pii.Surrogates()
+    rows = pii.surrogate_documents(odd_docs, SECRET).collect()
+    by = pii.Surrogates(SECRET)
     want = collections.Counter((i, None if t is None else by.rewrite(t)[0], len(pii.entities(t or ""))) for i, t in odd)
     assert collections.Counter((r["doc_id"], r["text"], r["n_entities"]) for r in rows) == want
-    assert pii.surrogate_documents(no_docs).count() == 0 and pii.collisions(no_docs).count() == 0 and pii.pseudonymised(no_docs).count() == 0
-    kept = pii.pseudonymised(odd_docs)
+    assert pii.surrogate_documents(no_docs, SECRET).count() == 0 and pii.pseudonymised(no_docs, SECRET).count() == 0
+    kept = pii.pseudonymised(odd_docs, SECRET)
     assert kept.columns == odd_docs.columns and collections.Counter((r["doc_id"], r["text"]) for r in kept.collect()) == collections.Counter(k[:2] for k in want.elements())
 
 
 def test_surrogates_keep_entities_distinct(spark, texts):
-    pairs = {(k, v): s for _, t in texts for k, v, s in pii.Surrogates().rewrite(t)[1]}
+    pairs = {(k, v): s for _, t in texts for k, v, s in pii.Surrogates(SECRET).rewrite(t)[1]}
     assert len({(k, s) for (k, _), s in pairs.items()}) == len(pairs) > 0
+    spark.conf.set(pii.KEY_SETTING, SECRET)
     rows = {r["doc_id"]: r["text"] for r in pii.op10_pii_surrogates(spark, SF001).collect()}
-    assert all(v not in rows[i] for i, t in texts for k, v, _ in pii.Surrogates().rewrite(t)[1] if k in ("email", "card", "phone", "secret"))
+    spark.conf.unset(pii.KEY_SETTING)
+    clash = pii.surrogate_documents(spark.createDataFrame([(1, "to a@b.com and c@d.org")], "doc_id long, text string"), SECRET)
+    assert pii.collisions(clash).count() == 0
+    same = clash.withColumn("log", F.expr("transform(log, x -> named_struct('kind', x.kind, 'surrogate', unhex('00'), 'value', x.value))"))
+    assert [r["n"] for r in pii.collisions(same).collect()] == [2]
+    assert all(v not in rows[i] for i, t in texts for k, v, _ in pii.Surrogates(SECRET).rewrite(t)[1] if k in ("email", "card", "phone", "secret"))

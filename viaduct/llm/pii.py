@@ -2,9 +2,13 @@
 
 Kinds: e-mail, phone, IPv4, card number, IBAN, social security number, secret
 (value after token, password, key and the like, or a long hex string), person
-(capitalised words after a title, after a cue such as "my name is" or a closing, or with
-a known given name among them; every further mention of these words in the text,
-also in capitals). A name with none of these cues anywhere in its text isn't found.
+(capitalised words after a title, after a cue such as "my name is" or a closing, with
+a known given name among them, or joined by "and" to such a name; every further mention of these words in the text,
+also in capitals). Capitals are letters of Unicode's upper and title case. Scripts without
+case have no such sign, so there a name is found only right after a title or cue, as at most ``CASELESS_WORDS`` words, or
+``CASELESS_LETTERS`` letters where the script sets no blanks, and further mentions are those of the whole name. A single name word that
+opens a sentence is left alone where the text also has it in lower case or it is an ordinary word (``ORDINARY``).
+A name with none of these cues anywhere in its text isn't found.
 
 A surrogate is the image of the value under a keyed permutation of all values of
 the same form (a Feistel network over the characters that may change, with
@@ -18,11 +22,15 @@ cycle walking, around a shift, so that no value is its own surrogate), so:
 * gender stays: the title and a name's last letter (its gender ending) are kept;
 * distinct values stay distinct, and one value has one surrogate in all documents
   (coreference), without a table of entities. Domains and the words of a name
-  are replaced word by word, so partial mentions agree too.
+  are replaced word by word, so partial mentions agree too, and a word in capitals gets the
+  surrogate of the word in capitals.
 
-`collisions` checks this over the corpus: it groups all distinct entities by
-their surrogate (hashed, map-side distinct) and gives those that two values
-share; the query runs it before it rewrites and fails if there are any.
+The key is the caller's and must stay secret: who has it can turn surrogates back. The registered query takes it from the
+session's ``spark.viaduct.pii.key`` and, where that is unset, draws one for the run and forgets it.
+
+`surrogate_documents` notes, beside each text, the hashes of its values and surrogates, in the same pass. `collisions`
+groups these by surrogate over the corpus (map-side distinct) and gives those that two values
+share; the query reads both from one written table and fails if there are any.
 
 Defined results: null text has no entities and stays null; rows that repeat are
 rewritten alike; a null id stays null; an empty table gives an empty result;
@@ -33,17 +41,20 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 import sys
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow
+from .common import documents, map_arrow, staged
 
-KEY = "viaduct"  # a deployment passes its own secret
+KEY_SETTING = "spark.viaduct.pii.key"
+CASELESS_WORDS, CASELESS_LETTERS = 2, 3
 KINDS = ("email", "phone", "ip", "card", "iban", "ssn", "secret", "person")
 
 # Titles, and domains reserved for examples.
@@ -61,7 +72,18 @@ GIVEN = frozenset(
     "José Joseph Juan Julia Jürgen Karen Katharina Kevin Klaus Laura Linda Lisa Louise Lucía Luis Lukas Manuel Marco Margaret Maria "
     "María Marie Martin Matthew Michael Michel Miguel Monika Nancy Nicholas Nicole Olivia Pablo Patricia Patrick Paul Pedro Peter "
     "Petra Philippe Pierre Rachel Rebecca Richard Robert Sabine Samuel Sandra Sarah Sofia Sophie Stefan Stephanie Stephen Susan "
-    "Thomas Timothy Ursula Walter Werner William Wolfgang".split()
+    "Thomas Timothy Ursula Walter Werner William Wolfgang "
+    "Adam Albert Alejandro Amanda Amy Ana Arthur Brian Camille Cecilia Cristina Denise Donald Doris Emilia Erika Ernst Esther "
+    "Eva Felix Florian Frances Gabriel Gerhard Gloria Gregory Günter Heinrich Helga Ingrid Isabel Jeffrey Joan Jorge "
+    "Joshua Julie Kenneth Kimberly Lorenzo Luisa Margarita Marta Mary Melissa Mercedes Nathalie Oliver Oscar Pauline Rafael Ralph "
+    "Roberto Rosa Ruth Ryan Sara Scott Sharon Silvia Teresa Theresa Victor Victoria Vincent Yves".split()
+)
+# Name words that are ordinary words where they open a sentence.
+ORDINARY = frozenset("Will May Mark Grace Rose Hope Faith Joy Art Bill Grant Frank Guy Jack Gene Young Long Short White Black Brown Green King Price Page Rich Day Still So Little".split())
+# Words that join two names, and two-digit country codes of telephone numbers (1 and 7 have one digit, the others three).
+JOINERS = ("and", "und", "y", "e", "et", "&")
+DIAL_TWO = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 )
 RESERVED = ("example.com", "example.org", "example.net", "test", "invalid", "localhost")
 
@@ -106,7 +128,7 @@ _NUMBER = re.compile(
     rf"(?<![\w.])(?:(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?!\.?\d)"
     r"|(?P<card>\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})"
-    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}))(?![\w])"
+    r"|(?P<phone>\+(?=(?:[ .()-]{0,2}\d){8,15}(?!\d))\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}))(?![\w])"
 )
 _EMAIL = re.compile(r"(?P<email>[\w%+-]+(?:\.[\w%+-]+)*@[\w-]+(?:\.[\w-]+)+)")
 _SECRET = re.compile(
@@ -114,14 +136,36 @@ _SECRET = re.compile(
     r"|(?<![\w])(?P<hex>[0-9a-f]{32,128})(?![\w])"
 )
 _IBAN = re.compile(r"(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)")
-_NAME_WORD = r"[^\W\d_a-zà-ÿ][^\W\d_]+"
+
+
+def _letters(*categories: str) -> str:
+    """The inside of a character class: all letters of these Unicode categories, as ranges."""
+    out, start, last = [], None, -2
+    for code in [*(c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in categories), -1]:
+        if code != last + 1 and start is not None:
+            out.append(re.escape(chr(start)) + (f"-{re.escape(chr(last))}" if last > start else ""))
+        if code != last + 1:
+            start = code
+        last = code
+    return "".join(out)
+
+
+# Scripts written without blanks between words: Han, kana, Thai, Lao, Khmer, Burmese.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_CAPITAL, _CASELESS = _letters("Lu", "Lt"), _letters("Lo")
+_NAME_WORD = rf"[{_CAPITAL}][^\W\d_]+"
 _LINK = rf"[ -](?:(?:{'|'.join(PARTICLES)})[ -])*"
-_NAME = rf"(?P<person>{_NAME_WORD}(?:{_LINK}{_NAME_WORD})*)"
+_CAPITALISED = rf"{_NAME_WORD}(?:{_LINK}{_NAME_WORD})*"
+_SPACED = rf"(?![{_UNSPACED}])[{_CASELESS}]\w{{1,14}}(?!\w)"
+_NAME = rf"(?P<person>{_CAPITALISED}|[{_UNSPACED}]{{2,{CASELESS_LETTERS}}}|{_SPACED}(?: {_SPACED}){{0,{CASELESS_WORDS - 1}}})"
 _PERSON = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\b\.?\s+{_NAME}")
 _CUE = re.compile(rf"(?<!\w)(?i:{'|'.join(CUES)})[:,]?\s+{_NAME}")
 _CAPITALS = re.compile(rf"(?<!\w){_NAME_WORD}(?:{_LINK}{_NAME_WORD})+")
+_JOINED = re.compile(rf" (?:{'|'.join(JOINERS)}) (?P<person>{_NAME_WORD}(?:{_LINK}{_NAME_WORD})+)")
 _NAME_PART = re.compile(r"[^ -]+")
-_LETTER_DIGIT = re.compile(r"[^\W_]")
+_CASED = re.compile(rf"[{_CAPITAL}]")
+_OPENS = re.compile(r"(?:^|[.!?:\n\"“”«»]\s*)\Z")
+_WORDS = re.compile(r"[^\W\d_]+")
 
 
 def _persons(text: str) -> Iterator[tuple[int, int]]:
@@ -134,12 +178,31 @@ def _persons(text: str) -> Iterator[tuple[int, int]]:
         at = next((w.start() for w in _NAME_PART.finditer(m[0]) if w[0] in GIVEN), None)
         if at is not None and (" " in m[0][at:] or "-" in m[0][at:]):
             spans.append((m.start() + at, m.end()))
+    if not spans:
+        return
+    todo = list(spans)
+    while todo:
+        if m := _JOINED.match(text, todo.pop()[1]):
+            spans.append(m.span("person"))
+            todo.append(m.span("person"))
     yield from spans
-    words = {w for start, end in spans for w in _NAME_PART.findall(text[start:end])} - set(PARTICLES)
+    names = {text[start:end] for start, end in spans}
+    words = {w for n in names if _CASED.search(n) for w in _NAME_PART.findall(n)} - set(PARTICLES)
     if words:
         word = "|".join(re.escape(w) for w in sorted(words | {w.upper() for w in words}, key=len, reverse=True))
+        plain: set[str] | None = None
         for m in re.finditer(rf"(?<!\w)(?:{word})(?:[ -](?:{word}))*(?!\w)", text):
+            if m[0].isalpha() and _OPENS.search(text, max(0, m.start() - 8), m.start()):
+                if plain is None:
+                    plain = {w for w in _WORDS.findall(text) if w.islower()}
+                if m[0] in ORDINARY or m[0].lower() in plain:
+                    continue
             yield m.span()
+    whole = {n for n in names if not _CASED.search(n)}
+    if whole:
+        name = "|".join(map(re.escape, sorted(whole, key=len, reverse=True)))
+        ends = rf"(?:(?<![^\W{_UNSPACED}])(?:{name})(?![^\W{_UNSPACED}]))"
+        yield from (m.span() for m in re.finditer(ends, text))
 
 
 def entities(text: str) -> list[tuple[int, int, str]]:
@@ -153,19 +216,23 @@ def entities(text: str) -> list[tuple[int, int, str]]:
                 found.append((*m.span(kind), "secret" if kind == "hex" else kind))
     found += [(*span, "person") for span in _persons(text)]
     rank = {k: i for i, k in enumerate(("email", "secret", "iban", "ip", "card", "ssn", "phone", "person"))}
+    # By rank, then place: an entity that meets one that is taken gives way. Those taken stay sorted and don't overlap.
+    starts: list[int] = []
     out: list[tuple[int, int, str]] = []
-    taken: list[tuple[int, int]] = []
     for start, end, kind in sorted(found, key=lambda e: (rank[e[2]], e[0], -e[1])):
-        if all(end <= a or start >= z for a, z in taken):
-            taken.append((start, end))
-            out.append((start, end, kind))
-    return sorted(out)
+        at = bisect_left(starts, start)
+        if (at == 0 or out[at - 1][1] <= start) and (at == len(out) or out[at][0] >= end):
+            starts.insert(at, start)
+            out.insert(at, (start, end, kind))
+    return out
 
 
 class Surrogates:
     """Keyed permutations of the values of each kind."""
 
-    def __init__(self, key: str = KEY) -> None:
+    def __init__(self, key: str) -> None:
+        if not key:
+            raise ValueError("surrogates need a secret key")
         self.key = hashlib.blake2b(key.encode(), digest_size=32).digest()
         self.known: dict[tuple[str, str], str] = {}
 
@@ -223,8 +290,9 @@ class Surrogates:
         return self.shape(local, f"email|{domain}") + "@" + ".".join(changed)
 
     def phone(self, value: str) -> str:
-        head = re.match(r"\+\d{1,3}(?=[ .(-])", value)
-        start = head.end() if head else 0
+        start = 0
+        if value[0] == "+":
+            start = 2 if value[1] in "17" else 3 if value[1:3] in DIAL_TWO else 4
         return value[:start] + self.shape(value[start:], "phone" + value[:start])
 
     def ip(self, value: str) -> str:
@@ -271,7 +339,16 @@ class Surrogates:
         return self.shape(value, "secret", lambda c: _CLASS.get(c))
 
     def person(self, value: str) -> str:
-        return "".join(self.shape(w[:-1], "name" + w[-1]) + w[-1] if w.isalpha() else w for w in re.split(r"([ -])", value) if w)
+        return "".join(self.name_word(w) if w.isalpha() else w for w in re.split(r"([ -])", value) if w)
+
+    def name_word(self, word: str) -> str:
+        """The last letter stays; a word in capitals is replaced as the word with one capital is, where that can be told back."""
+        title = word.capitalize()
+        if len(word) > 1 and word.isupper() and title.upper() == word:
+            new = self.name_word(title)
+            if new.upper().capitalize() == new and len(new.upper()) == len(new):
+                return new.upper()
+        return self.shape(word[:-1], "name" + word[-1]) + word[-1]
 
     def replace(self, kind: str, value: str) -> str:
         found = self.known.get((kind, value))
@@ -295,23 +372,17 @@ class Surrogates:
         return "".join(out) + text[at:] if log else text, log
 
 
-def collisions(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
-    """(kind, surrogate, n): surrogates that several distinct values share; empty if all is well."""
+def _digest(value: str) -> bytes:
+    return hashlib.blake2b(value.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = Surrogates(key)
-        for batch in batches:
-            pairs = {(k, s, v) for t in batch.column(0).to_pylist() if t for k, v, s in by.rewrite(t)[1]}
-            rows = sorted((k, *(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest() for x in (s, v))) for k, s, v in pairs)
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.binary()), strict=True)], ["kind", "surrogate", "value"])
 
-    found = map_arrow(docs.select(F.col(f"`{text_col}`").alias("text")), scan, "kind string, surrogate binary, value binary")
-    shared = found.distinct().groupBy("kind", "surrogate").agg(F.count("*").alias("n"))
-    return shared.where("n > 1")
+def collisions(documents_: DataFrame) -> DataFrame:
+    """(kind, surrogate, n): surrogates that several distinct values share, from the ``log`` of `surrogate_documents`; empty if all is well."""
+    found = documents_.select(F.inline("log")).distinct()
+    return found.groupBy("kind", "surrogate").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def pseudonymised(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with surrogates in its texts, all other columns as they are."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,29 +395,35 @@ def pseudonymised(docs: DataFrame, text_col: str = "text", key: str = KEY) -> Da
     return map_arrow(docs, scan, docs.schema)
 
 
-def surrogate_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str = KEY) -> DataFrame:
-    """doc_id, n_entities, n_<kind> of each kind, and the rewritten text."""
+_LOG = pa.list_(pa.struct([("kind", pa.string()), ("surrogate", pa.binary()), ("value", pa.binary())]))
+
+
+def surrogate_documents(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_entities, n_<kind> of each kind, the rewritten text, and log: (kind, surrogate, value) of its distinct entities, hashed."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = Surrogates(key)
         for batch in batches:
-            texts, counts = [], []
+            texts, counts, logs = [], [], []
             for text in batch.column("text").to_pylist():
                 new, log = by.rewrite(text) if text else (text, [])
                 kinds = [k for k, _, _ in log]
                 texts.append(new)
                 counts.append([len(kinds)] + [kinds.count(k) for k in KINDS])
+                logs.append([{"kind": k, "surrogate": _digest(s), "value": _digest(v)} for k, v, s in dict.fromkeys(log)])
             columns = [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] or [pa.array([], pa.int64())] * (len(KINDS) + 1)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array(texts, pa.string())], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, pa.array(texts, pa.string()), pa.array(logs, _LOG)], names)
 
-    names = ["doc_id", "n_entities", *(f"n_{k}" for k in KINDS), "text"]
+    names = ["doc_id", "n_entities", *(f"n_{k}" for k in KINDS), "text", "log"]
+    kinds = ", ".join(f"{n} long" for n in names[:-2]) + ", text string, log array<struct<kind: string, surrogate: binary, value: binary>>"
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return map_arrow(rows, scan, ", ".join(f"{n} {'string' if n == 'text' else 'long'}" for n in names))
+    return map_arrow(rows, scan, kinds)
 
 
 def op10_pii_surrogates(spark, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    shared = collisions(docs).first()
+    key = spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+    done = staged(surrogate_documents(documents(spark, sf_dir), key), "pii")
+    shared = collisions(done).first()
     if shared is not None:
         raise ValueError(f"{shared['n']} values of kind {shared['kind']} share one surrogate")
-    return surrogate_documents(docs)
+    return done.drop("log")
