@@ -114,6 +114,19 @@ def bronze_sample_per_file(spark, sf_dir):
     )
 
 
+def bronze_sample_by_row_index(spark, sf_dir):
+    """First rows of each source by their place in its files, the variant of the runner: sources written in order as part files, scanned again."""
+    flat = bronze.export_flat(_w(spark, sf_dir).documents)
+    raw = scratch_path(spark, "raw")
+    order = ["o_orderkey", "VendorID", "_hash_registro"]
+    for i, name in enumerate((fixture.FILE_MAIN, fixture.FILE_COPY), 1):
+        one = flat.where(F.col("_fichero_origen") == name).repartitionByRange(4, *order).sortWithinPartitions(*order)
+        one.write.parquet(f"{raw}/yellow_tripdata_2023-{i:02d}.parquet")
+    scanned = bronze.scan_trip_files(spark, bronze.trip_file_paths(spark, raw), row_index_col="_fila", path_col="_ruta")
+    first = sampling.first_rows_per_source(scanned, SAMPLE_ROWS_PER_FILE)
+    return first.select(F.col("_fichero_origen").alias("fichero_origen"), F.col("_hash_registro").alias("hash_registro"), "o_orderkey", "VendorID")
+
+
 def ingest_report(spark, sf_dir):
     w = _w(spark, sf_dir)
     return reports.ingest_report(w.trips, w.documents)
@@ -478,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_documents": bronze_documents,
     "bronze_export_roundtrip": bronze_export_roundtrip,
     "bronze_sample_per_file": bronze_sample_per_file,
+    "bronze_sample_by_row_index": bronze_sample_by_row_index,
     "ingest_report": ingest_report,
     "silver_metrics": silver_metrics,
     "quality_flags": quality_flags,
