@@ -162,3 +162,13 @@ def test_quality_report_json(warehouse):
     js = json.loads(reports.quality_report_json(obs, 4244, {"MAX_DURACION_MIN": 240.0}, 1.23))
     assert js["registros_rechazados"] == 1793 and js["registros_duplicados"] == 79
     assert list(js["rechazos_por_regla"])[0] == "R4_velocidad"
+
+
+def test_storage_sizes_are_those_of_the_files(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    spark.range(1000).select("id", F.lit("x").alias("a b")).repartition(3).write.parquet(path)
+    size = reports.storage_sizes(spark.read.parquet(path)).first()
+    files = glob.glob(f"{path}/*.parquet")
+    assert (size.filas, size.archivos) == (1000, len(files)) and size.bytes_almacenados == sum(map(os.path.getsize, files))
+    assert size.bytes_datos == sum(len(json.dumps({"id": i, "a b": "x"}, separators=(",", ":"))) for i in range(1000))
+    assert tuple(reports.storage_sizes(spark.read.parquet(path).where("false")).first()) == (0, 0, 0, 0)

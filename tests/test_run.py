@@ -33,6 +33,7 @@ def test_full_cycle_over_monthly_files(spark, warehouse, tmp_dir):
 
     assert all(x["segundos"] >= 0 and x["registros_por_segundo"] > 0 for x in ing["ficheros"])
     assert run.read_report(spark, out, "informe_ingesta_bronze")["documentos_finales"] == ing["documentos_finales"]
+    assert 0 <= ing["tamano_almacenado_mb"] <= ing["tamano_datos_mb"]
 
     run.run_export(spark, out)
     run.build_zone_dimension(spark, zones_csv, out)

@@ -133,6 +133,15 @@ def ingest_report(spark, sf_dir):
 
 
 # -- silver -----------------------------------------------------------------
+def storage_report(spark, sf_dir):
+    """The bronze store's rows and sizes: stored bytes as the files have them, and less than the rows take as text."""
+    size = reports.storage_sizes(_w(spark, sf_dir).documents)
+    return size.select(
+        "filas", (F.col("archivos") > 0).alias("hay_archivos"), (F.col("bytes_almacenados") > 0).alias("hay_bytes"),
+        (F.col("bytes_almacenados") < F.col("bytes_datos")).alias("comprimido"),
+    )
+
+
 def silver_metrics(spark, sf_dir):
     tagged = _w(spark, sf_dir).silver_frames.tagged
     return tagged.select("hash_registro", "fichero_origen", *METRIC_COLUMNS)
@@ -493,6 +502,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_sample_per_file": bronze_sample_per_file,
     "bronze_sample_by_row_index": bronze_sample_by_row_index,
     "ingest_report": ingest_report,
+    "storage_report": storage_report,
     "silver_metrics": silver_metrics,
     "quality_flags": quality_flags,
     "quarantine": quarantine,

@@ -38,6 +38,19 @@ def ingest_report(
     )
 
 
+def storage_sizes(stored: DataFrame) -> DataFrame:
+    """One row of a written table: filas, archivos, bytes_datos (its rows as JSON text), bytes_almacenados (its files).
+
+    File sizes come with the scan (one row per file after the aggregation); files without rows aren't seen.
+    """
+    text = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in stored.columns])))
+    files = stored.groupBy(F.col("_metadata.file_path").alias("archivo")).agg(
+        F.max("_metadata.file_size").alias("bytes"), F.count(F.lit(1)).alias("filas"), F.sum(text.cast("long")).alias("datos")
+    )
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
+    return files.agg(total("filas", "filas"), F.count(F.lit(1)).alias("archivos"), total("datos", "bytes_datos"), total("bytes", "bytes_almacenados"))
+
+
 def quality_report(tagged: DataFrame, clean: DataFrame | None = None, key: str = "hash_registro") -> DataFrame:
     """Rejections per rule, in descending order, with the run totals.
 

@@ -77,9 +77,12 @@ def run_bronze(spark: SparkSession, raw_dir: str, out: str, service: str = confi
         took = seconds[r["fichero"]]
         per_file.append({**r.asDict(), "segundos": round(took, 1), "registros_por_segundo": round(r["registros_insertados"] / max(took, 1e-9), 1)})
     inserted, total = sum(r["registros_insertados"] for r in per_file), sum(seconds.values())
+    size = reports.storage_sizes(spark.read.parquet(p["bronze"])).first()
     report = {
         "inicio": began,
         "ficheros": per_file,
+        "tamano_datos_mb": round(size.bytes_datos / 1e6, 1),
+        "tamano_almacenado_mb": round(size.bytes_almacenados / 1e6, 1),
         "segundos_totales": round(total, 1),
         "documentos_finales": inserted,
         "registros_por_segundo": round(inserted / max(total, 1e-9), 1),
