@@ -57,6 +57,8 @@ CELLS = 3
 WIDTH = 1.25
 FLUSH_ROWS = 800_000
 CHUNK = 1 << 20
+# Texts whose sets are in memory together.
+TEXTS = 256
 # Signatures in a bucket (14 bytes each in its task), nodes in a group, members in a task of a leader.
 BUCKET = 500_000
 GROUP = 2048
@@ -206,9 +208,15 @@ def folded(data: bytes, words: int) -> np.ndarray:
     return a
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for low in range(0, whole.num_rows, TEXTS):
+            yield whole.slice(low, TEXTS)
+
+
 def _info(n: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = shingle_sets(batch.column("text").to_pylist(), n)
             prints = [fingerprint(s) if len(s) else (0, 0) for s in sets]
             columns = [
@@ -224,7 +232,7 @@ def _row_nodes(n: int):
     """Rows with the fingerprint of their text's set."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             node = [fingerprint(s)[0] if len(s) else 0 for s in shingle_sets(batch.column("_text").to_pylist(), n)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node, pa.int64())], [*batch.schema.names, "node"])
 
@@ -254,7 +262,7 @@ def _signature_rows(n: int, percent: int, buckets: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         sigs, nodes, held = [], [], 0
-        for batch in batches:
+        for batch in _slices(batches):
             sets, prints = [], []
             for s in shingle_sets(batch.column("text").to_pylist(), n):
                 if len(s) and (f := fingerprint(s)[0]) not in seen:
@@ -416,16 +424,14 @@ def _sets(n: int):
     """(id, node, n, payload): the sets of nodes."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for low in range(0, whole.num_rows, 256):
-                batch = whole.slice(low, 256)
-                node, sets = batch.column("node").to_pylist(), shingle_sets(batch.column("text").to_pylist(), n)
-                # An id may come with several texts; the node's own one is meant.
-                own = pa.array([bool(len(s)) and fingerprint(s)[0] == i for s, i in zip(sets, node, strict=True)], pa.bool_())
-                blobs = pa.array([s.tobytes() for s in sets], pa.binary())
-                size = pa.array([len(s) for s in sets], pa.int64())
-                columns = [batch.column("node"), batch.column("roles"), size, blobs]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "roles", "n", "payload"]).filter(own)
+        for batch in _slices(batches):
+            node, sets = batch.column("node").to_pylist(), shingle_sets(batch.column("text").to_pylist(), n)
+            # An id may come with several texts; the node's own one is meant.
+            own = pa.array([bool(len(s)) and fingerprint(s)[0] == i for s, i in zip(sets, node, strict=True)], pa.bool_())
+            blobs = pa.array([s.tobytes() for s in sets], pa.binary())
+            size = pa.array([len(s) for s in sets], pa.int64())
+            columns = [batch.column("node"), batch.column("roles"), size, blobs]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "roles", "n", "payload"]).filter(own)
 
     return scan
 
