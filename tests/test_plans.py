@@ -30,6 +30,31 @@ def test_dedup_combines_copies_before_the_shuffle_without_sorting(spark):
     assert "SortAggregate" not in plan
 
 
+def test_dedup_never_gathers_the_rows_by_source_file(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "60"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(20000).selectExpr("sha(string(id % 15000)) hash_registro", "double(id % 15000) v", "if(id < 15000, 'f1', 'f2') fichero_origen")
+        out = dedup_by_key(df)
+        plan = _plan(out)
+        assert out.count() == 15000 and out.where("fichero_origen = 'f1'").count() == 15000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_accepted_rows_are_deduplicated_by_hashing(warehouse):
+    from viaduct.plans.silver import build_silver
+
+    frames = build_silver(warehouse.documents, warehouse.geometry)
+    assert "SortAggregate" not in frames.clean._jdf.queryExecution().executedPlan().toString()
+    assert frames.clean.columns == warehouse.silver_frames.clean.columns
+    assert frames.clean.exceptAll(warehouse.silver_frames.clean).isEmpty()
+
+
 def test_silver_aggregates_by_hashing(warehouse):
     frames = warehouse.silver_frames
     for df in (frames.clean, frames.corridors, frames.silver):
