@@ -1,5 +1,6 @@
 """Invariants of the pipeline and shuffle independence."""
 
+import re
 from pyspark.sql import functions as F
 
 from viaduct import config
@@ -68,6 +69,16 @@ def test_first_rows_per_group_matches_brute_force(spark):
     assert got == sorted(want)
 
 
+def test_first_rows_per_group_cuts_before_the_shuffle(spark):
+    df = spark.range(0, 40000, 1, 4).selectExpr("if(id % 100 = 0, 'b', 'a') g", "id * 7919 % 40000 k")
+    out = sampling.first_rows_per_group(df, "g", ["k"], 20)
+    got = sorted((r.g, r.k) for r in out.collect())
+    assert len(got) == 40 and [k for g, k in got if g == "a"] == [k for k in range(100) if k % 100 or k == 0][1:21]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # ranked inside each map task, by a salt that is one value there
+    assert "SPARK_PARTITION_ID" in plan and re.search(r"WindowGroupLimit \[g#\d+, _salt#\d+\], .*, 20, Partial", plan)
+
+
 def test_layouts_are_equivalent(warehouse):
     from viaduct.plans import layout
 

@@ -54,6 +54,47 @@ def test_sample_is_per_source_not_per_part_file(spark, tmp_dir):
     assert sorted(_sources(first_rows_per_source(df, None)).values()) == [7, 100]
 
 
+def _with_conf(spark, conf, run):
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        return run()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_sample_by_row_index_never_gathers_the_rows_by_file(spark, tmp_dir):
+    spark.range(3000).repartition(3).write.parquet(os.path.join(tmp_dir, "yellow_tripdata_2023-01.parquet"))
+    df = bronze.scan_trip_files(spark, bronze.trip_file_paths(spark, tmp_dir), row_index_col="_fila", path_col="_ruta")
+
+    def run():
+        out = first_rows_per_source(df, 1500)
+        assert out.count() == 1500
+        return out._jdf.queryExecution().executedPlan().toString()
+
+    plan = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "60"}, run)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_sampled_sources_have_as_many_part_files_as_their_rows_need(spark, monkeypatch):
+    from conftest import SF001
+    from viaduct.plans import registry
+
+    made = []
+    real = registry.scratch_path
+    monkeypatch.setattr(registry, "scratch_path", lambda s, n: made.append(real(s, n)) or made[-1])
+    conf = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+    rows = _with_conf(spark, conf, lambda: registry.bronze_sample_by_row_index(spark, SF001).count())
+    files = bronze.trip_file_paths(spark, made[0])
+    assert rows == 1000 + min(1000, spark.read.parquet(f"{made[0]}/yellow_tripdata_2023-02.parquet").count())
+    assert sum("2023-01" in f for f in files) > 4
+
+
 def test_raw_values_are_stored_as_the_source_holds_them(spark, tmp_dir):
     for m, rows, kind in (("01", [("4.2 mi", 1.7)], "string, passenger_count double"), ("02", [(3.5, 2.0)], "double, passenger_count double")):
         spark.createDataFrame(rows, f"trip_distance {kind}").write.parquet(os.path.join(tmp_dir, f"yellow_tripdata_2023-{m}.parquet"))
