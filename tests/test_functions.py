@@ -63,3 +63,25 @@ def test_guarded_ratio_never_raises(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, None), (3.0, 2.0)], "a double, b double")
     got = [r.r for r in df.select(metrics.guarded_ratio(F.col("a"), F.col("b")).alias("r")).collect()]
     assert got == [None, None, 1.5]
+
+
+def test_timestamps_are_formatted_once(spark):
+    df = spark.sql("SELECT timestamp_micros(id * 250000) AS t FROM range(9)")
+    text = df.select(hashing.iso_text(F.col("t")).alias("s"))
+    assert [r.s for r in text.collect()][:5] == ["1970-01-01T00:00:00"] + [f"1970-01-01T00:00:00.{n}0000" for n in (25, 50, 75)] + ["1970-01-01T00:00:01"]
+    assert text._jdf.queryExecution().optimizedPlan().toString().count("date_format(") == 1
+
+
+def test_fixture_shuffles_the_line_items_once(spark):
+    from conftest import SF001
+    from viaduct.sources import fixture
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fixture.fixture_trips(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(l_orderkey" in plan and "hashpartitioning(l_suppkey" not in plan
+    # customers meet the orders, not the line items
+    assert plan.count("hashpartitioning(o_custkey") == 1 and plan.index("hashpartitioning(l_orderkey") < plan.index("hashpartitioning(o_custkey")

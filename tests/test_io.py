@@ -213,3 +213,11 @@ def test_storage_sizes_are_those_of_the_files(spark, tmp_dir):
     assert (size.filas, size.archivos) == (1000, len(files)) and size.bytes_almacenados == sum(map(os.path.getsize, files))
     assert size.bytes_datos == sum(len(json.dumps({"id": i, "a b": "x"}, separators=(",", ":"))) for i in range(1000))
     assert tuple(reports.storage_sizes(spark.read.parquet(path).where("false")).first()) == (0, 0, 0, 0)
+
+
+def test_stage_tables_store_hashes_at_half_their_text(spark, warehouse, tmp_dir):
+    """Hexadecimal text holds four bits a character; the default codec keeps all eight."""
+    hashes = warehouse.documents.select("_ingesta.hash_registro")
+    hashes.coalesce(1).write.parquet(os.path.join(tmp_dir, "h"))
+    size = sum(os.path.getsize(os.path.join(tmp_dir, "h", f)) for f in os.listdir(os.path.join(tmp_dir, "h")) if f.endswith(".parquet"))
+    assert size < 0.7 * 32 * hashes.count()
