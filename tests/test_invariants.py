@@ -169,3 +169,18 @@ def test_layout_guard_finds_a_changed_row(spark, warehouse):
     assert (r.n_optimizada, r.n_control, r.solo_optimizada, r.solo_control, r.equivalente) == (4244, 4244, 1, 1, False)
     e = layout.layout_equivalence(opt, warehouse.layouts[layout.CONTROL]).collect()[0]
     assert e.equivalente and e.solo_optimizada == 0
+
+
+def test_fact_is_the_same_with_its_keys_given_last(warehouse):
+    """The narrow fact against the whole keyed trips cast afterwards; its shuffle holds no other columns."""
+    from viaduct import schemas
+    from viaduct.operators.conform import conform
+    from viaduct.plans import gold
+
+    args = (warehouse.silver, warehouse.dim_tiempo_raw, warehouse.dim_operador_raw)
+    narrow = gold.conformed_fact(*args)
+    whole = conform(gold.fact_with_keys(*args), schemas.GOLD["fact_servicio"]).rows
+    assert narrow.schema == whole.schema and narrow.count() == whole.count() > 0
+    assert narrow.exceptAll(whole).isEmpty() and whole.exceptAll(narrow).isEmpty()
+    shuffled = next(line for line in narrow._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(_key_bucket" in line)
+    assert shuffled and "ts_inicio" not in narrow._jdf.queryExecution().sparkPlan().toString().split("Window")[1]
