@@ -32,6 +32,32 @@ def test_second_load_stores_only_new_records(spark, tmp_dir):
     assert stored(spark, tmp_dir) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("limit", [0, 150, 1_000_000])
+def test_every_way_of_comparing_gives_the_same_store(spark, tmp_dir, monkeypatch, limit):
+    """Few known, few new, and many of both: the hashes broadcast or the documents shuffled."""
+    monkeypatch.setattr(reingest, "BROADCAST_HASHES", limit)
+    load = lambda n, hashes: reingest.load_new(docs(spark, hashes), tmp_dir, stored_rows=n % 2 == 0)["nuevos"]
+    first = [f"h{i}" for i in range(500)]
+    assert load(1, first) == 500
+    assert load(2, [f"h{i}" for i in range(400, 700)] + ["h650", None]) == 202
+    assert load(3, first + ["n1", "n1", None]) == 3
+    assert load(4, [f"h{i}" for i in range(250)] + [f"m{i}" for i in range(250)]) == 250
+    assert load(5, first) == 0
+    got = stored(spark, tmp_dir)
+    assert len(got) == 500 + 202 + 3 + 250 and got.count((3, "n1")) == 2 and got.count((3, None)) == 1
+
+
+def test_stored_documents_are_not_copied_for_a_load(spark, monkeypatch):
+    from conftest import SF001
+    from viaduct.plans import registry
+
+    made = []
+    real = reingest.scratch_path
+    monkeypatch.setattr(reingest, "scratch_path", lambda s, n: made.append(n) or real(s, n))
+    rows = registry.bronze_reingest(spark, SF001).groupBy("carga").count().collect()
+    assert {r.carga for r in rows} == {1, 2} and "load" not in made
+
+
 def test_store_is_read_only_for_possible_repeats(spark, tmp_dir, monkeypatch):
     """The filter alone decides a load of new records; the exact comparison sees no more than it lets through."""
     reingest.load_new(docs(spark, [f"h{i}" for i in range(2000)]), tmp_dir)

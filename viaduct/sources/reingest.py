@@ -8,6 +8,7 @@ The filter has blocks of eight 64-bit words; a hash chooses a block and sets one
 of one row per used block, built by one aggregate that combines in the map tasks, and merged with the last
 load's by another. A load joins its hashes with the filter: what misses a bit is new for
 certain. Only what is left is compared with the stored hashes themselves, exactly; where nothing is left, the store isn't read.
+Whole documents are shuffled only where both the known and the new ones are too many for a broadcast of their hashes.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ BLOCK_BITS = 64 * WORDS
 # Bits for each stored hash; a filter with fewer is built anew. One hash in some 2,000 is then taken for a known one at first.
 BITS = 16
 HASH = "_ingesta.hash_registro"
+# Hashes that every executor may hold.
+BROADCAST_HASHES = 500_000
 
 
 def _block(hash_: Column, blocks: int) -> Column:
@@ -72,35 +75,54 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/documentos").where(F.col("carga") <= loads(spark, path)[0])
 
 
-def load_new(docs: DataFrame, path: str, least_rows: int = 1_000_000) -> dict[str, int]:
+def _fresh(docs: DataFrame, path: str, filter_: DataFrame, blocks: int, total: int) -> DataFrame:
+    """The documents (``total`` of them) whose hash the store doesn't hold, exactly."""
+    spark = docs.sparkSession
+    hashes = docs.select(F.col(HASH).alias("h")).where("h IS NOT NULL")
+    maybe = maybe_known(hashes, filter_, blocks)
+    candidates = maybe.count()
+    if not candidates:
+        return docs
+    stored = read_store(spark, path).select(F.col(HASH).alias("h")).where("h IS NOT NULL")
+
+    def kept(hashes: DataFrame) -> DataFrame:
+        folder = scratch_path(spark, "hashes")
+        hashes.distinct().write.parquet(folder)
+        return spark.read.schema("h string").parquet(folder)
+
+    if candidates <= BROADCAST_HASHES:
+        known = kept(stored.join(F.broadcast(kept(maybe)), "h", "left_semi"))
+        return docs.join(F.broadcast(known), docs[HASH] == known["h"], "left_anti")
+    if total - candidates <= BROADCAST_HASHES:
+        new = kept(hashes.join(stored, "h", "left_anti"))
+        if new.count() <= BROADCAST_HASHES:
+            return docs.join(F.broadcast(new), docs[HASH] == new["h"], "left_semi").unionByName(docs.where(F.col(HASH).isNull()))
+    return docs.join(stored, docs[HASH] == stored["h"], "left_anti")
+
+
+def load_new(docs: DataFrame, path: str, least_rows: int = 1_000_000, stored_rows: bool = False) -> dict[str, int]:
     """Store the documents whose hash no earlier load holds; returns the load's number and counts.
 
     Equal hashes inside one load are all stored (copies are the de-duplication's work); documents without a hash are always
-    stored. ``least_rows``: rows that the first filter has room for.
+    stored. ``least_rows``: rows that the first filter has room for. ``stored_rows``: the documents are read from written
+    files, which give the same rows at each reading; others are written once before they are compared.
     """
     spark = docs.sparkSession
     last, blocks, stored = loads(spark, path)
     number = last + 1
-    batch = scratch_path(spark, "load")
-    docs.write.parquet(batch)
-    docs = spark.read.schema(docs.schema).parquet(batch)
-    known = None
+    if not stored_rows:
+        batch = scratch_path(spark, "load")
+        docs.write.parquet(batch)
+        docs = spark.read.schema(docs.schema).parquet(batch)
+    total = docs.count()
+    fresh = docs
     if last:
-        hashes = docs.select(F.col(HASH).alias("h")).where("h IS NOT NULL")
         filter_ = spark.read.parquet(f"{path}/filtro/carga={last}")
-        maybe = scratch_path(spark, "maybe")
-        maybe_known(hashes, filter_, blocks).distinct().write.parquet(maybe)
-        maybe = spark.read.schema("h string").parquet(maybe)
-        if not maybe.isEmpty():
-            known = read_store(spark, path).select(F.col(HASH).alias("h")).join(maybe, "h", "left_semi").distinct()
-            sure = scratch_path(spark, "known")
-            known.write.parquet(sure)
-            known = spark.read.schema("h string").parquet(sure)
-    fresh = docs if known is None else docs.join(known, docs[HASH] == known["h"], "left_anti")
+        fresh = _fresh(docs, path, filter_, blocks, total)
     target = f"{path}/documentos/carga={number}"
     fresh.write.mode("overwrite").parquet(target)
     added = spark.read.schema(docs.schema).parquet(target)
-    new, total = added.count(), docs.count()
+    new = added.count()
     room = blocks * BLOCK_BITS // BITS
     own = added.select(F.col(HASH).alias("h")).where("h IS NOT NULL")
     if not last or stored + new > room:
