@@ -221,3 +221,16 @@ def test_stage_tables_store_hashes_at_half_their_text(spark, warehouse, tmp_dir)
     hashes.coalesce(1).write.parquet(os.path.join(tmp_dir, "h"))
     size = sum(os.path.getsize(os.path.join(tmp_dir, "h", f)) for f in os.listdir(os.path.join(tmp_dir, "h")) if f.endswith(".parquet"))
     assert size < 0.7 * 32 * hashes.count()
+
+
+def test_monthly_component_of_any_path(spark):
+    name = "yellow_tripdata_2023-01.parquet"
+    paths = [
+        f"file:/a/{name}", f"file:/a/{name}/part-0.snappy.parquet", f"s3://b/{name}/x=1/{name}", name, "file:/a/other.parquet", "", "/", None,
+        "/_tripdata_1.parquet", "/a_tripdata_.parquet", "/a_tripdata_b.parquet.crc", "/a_tripdata_b.csv/c_tripdata_d.parquet", "/_tripdata__tripdata_x.parquet",
+        "/a_tripdata_b_tripdata_c.parquet/p", "/a_tripdata_.parquet.parquet", "/é_tripdata_ñ.parquet/p", "/a_tripdata_/b_tripdata_c.parquet",
+    ]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = df.select("p", bronze.monthly_component(F.col("p")).alias("a"), F.regexp_extract("p", r"([^/]+_tripdata_[^/]+\.parquet)", 1).alias("b")).collect()
+    assert [(r.p, r.a) for r in got] == [(r.p, r.b) for r in got]
+    assert got[0].a == got[1].a == name
