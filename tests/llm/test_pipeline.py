@@ -3,8 +3,12 @@
 import collections
 import re
 
+import numpy as np
+import pyarrow as pa
+import xxhash
+
 import corpus_pipeline
-from viaduct.llm import jaccard_join, mixing, quality
+from viaduct.llm import common, jaccard_join, mixing, quality
 from viaduct.llm.common import documents, staged
 
 from .conftest import SF001
@@ -52,3 +56,54 @@ def test_run_applies_all_stages(spark):
 
 def test_the_near_copy_stage_takes_five_words(spark):
     assert jaccard_join.one_of_each.__defaults__[-2:] == (5, 80)
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark, monkeypatch):
+    """Rows of 100 KB, as packed signatures are: by number of rows alone, a task's rows came in one batch."""
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"]) for b in batches)
+    rows = spark.range(0, 200, 1, 1).selectExpr("repeat('x', 100000) AS long")
+    before = spark.conf.get(common._BATCH_SETTING, None)
+    with common.bounded_batches(spark):
+        seen = [r["size"] for r in common.map_arrow(rows, sizes, "size long").collect()]
+    assert sum(seen) >= 200 * 100_000 and max(seen) <= common.BATCH_BYTES + 200_000
+    assert spark.conf.get(common._BATCH_SETTING, None) == before
+
+    inside = []
+    monkeypatch.setattr(jaccard_join, "_classes", lambda docs, *a: inside.append(docs.sparkSession.conf.get(common._BATCH_SETTING)))
+    spark.conf.unset(common._BATCH_SETTING)
+    default = spark.conf.get(common._BATCH_SETTING, None)
+    jaccard_join.jaccard_classes(documents(spark, SF001))
+    assert inside == [str(common.BATCH_BYTES)] and spark.conf.get(common._BATCH_SETTING, None) == default
+    corpus_pipeline.stage_pack(spark, documents(spark, SF001), SF001)
+    assert spark.conf.get(common._BATCH_SETTING) == str(common.BATCH_BYTES)
+
+
+def test_a_worker_keeps_the_caches_of_the_operator_it_runs_only(monkeypatch):
+    own, other, freed = {"a": 1}, {"b": 2}, []
+    monkeypatch.setattr(common, "_caches", {})
+    monkeypatch.setattr(common, "_release", lambda: freed.append(True))
+    common.worker_cache(__name__, own.clear)
+    common.worker_cache("another", other.clear)
+
+    def twice(batches):
+        for b in batches:
+            yield b
+            yield b
+
+    out = common.released(twice)(iter([1, 2]))
+    assert next(out) == 1 and own == {"a": 1} and other == {} and not freed
+    assert list(out) == [1, 2, 2] and freed == [True]
+
+
+def test_the_pipelines_caches_are_named():
+    assert {"viaduct.llm.quality", "viaduct.llm.packing"} <= set(common._caches)
+
+
+def test_groups_are_named_by_both_halves_of_their_hash():
+    sig = np.array([[1, 0, 0, 0, 0, 0]] * 3, np.uint8).tobytes()
+    nodes = np.array([7, -5, 9], np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([sig]), pa.array([nodes.tobytes()])], ["bucket", "sigs", "nodes"])
+    (out,) = jaccard_join._groups([batch])
+    h = xxhash.xxh3_128_intdigest(np.sort(nodes).tobytes())
+    halves = [int(np.uint64(x).astype(np.int64)) for x in (h >> 64, h & (1 << 64) - 1)]
+    assert out.to_pydict() == {"g0": halves[:1], "g1": halves[1:], "members": [[-5, 7, 9]]}

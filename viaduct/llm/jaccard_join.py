@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import connected_components, documents, joined_components, map_arrow, mix64, staged, text_or_empty
+from .common import bounded_batches, connected_components, documents, joined_components, map_arrow, mix64, staged, text_or_empty
 
 SPARE = 1
 CELLS = 3
@@ -314,8 +314,9 @@ def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows(groups: set[bytes]) -> pa.RecordBatch:
         listed = sorted(groups)
-        hashes = [xxhash.xxh3_128_intdigest(g) for g in listed]
-        signed = np.array([[h >> 64, h & (1 << 64) - 1] for h in hashes], np.uint64).view(np.int64)
+        # Digests are big-endian: the upper half comes first.
+        hashes = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, listed)), ">u8").reshape(-1, 2)
+        signed = hashes.astype(np.uint64).view(np.int64)
         ends = np.concatenate([[0], np.cumsum([len(g) // 8 for g in listed])]).astype(np.int32)
         members = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(listed), np.int64))
         return pa.RecordBatch.from_arrays([pa.array(signed[:, 0]), pa.array(signed[:, 1]), members], ["g0", "g1", "members"])
@@ -482,6 +483,13 @@ def jaccard_classes(
 
     ``kept`` is the node that stays of a class: its smallest id's, the smallest one if that id has several.
     """
+    # Every step that runs Python is written in here. Packed signatures take up to some 100 KB a row: by number of
+    # rows alone, a batch would hold all that one task reads.
+    with bounded_batches(docs.sparkSession):
+        return _classes(docs, id_col, text_col, n, percent)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
     info = staged(map_arrow(rows, _info(n), "id long, n long, node long, payload binary"), "jaccard-info")
     nodes = staged(

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow, text_or_empty
+from .common import documents, map_arrow, text_or_empty, worker_cache
 
 CAPACITY = 2048
 CLOSING_ID = 1
@@ -116,6 +116,7 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+worker_cache(__name__, _encoders.clear)
 
 
 def encoder(file: str = TOKENIZER) -> Encoder:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from .common import documents, map_arrow, mix64, python_strings, text_or_empty
+from .common import documents, map_arrow, mix64, python_strings, text_or_empty, worker_cache
 
 SLOTS = 1 << 14
 DIM = 64
@@ -66,6 +66,7 @@ class Slots(dict):
 
 
 _slots = Slots()
+worker_cache(__name__, _slots.clear)
 
 
 def slots_of(text: str) -> np.ndarray:
