@@ -184,3 +184,16 @@ def test_fact_is_the_same_with_its_keys_given_last(warehouse):
     assert narrow.exceptAll(whole).isEmpty() and whole.exceptAll(narrow).isEmpty()
     shuffled = next(line for line in narrow._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(_key_bucket" in line)
     assert shuffled and "ts_inicio" not in narrow._jdf.queryExecution().sparkPlan().toString().split("Window")[1]
+
+
+def test_rejects_write_neither_silver_nor_keyed_fact(spark):
+    """The fact's one reader takes numbered source fields through silver's projection: same rows as from the tables, fewer copies."""
+    from viaduct.plans import gold
+    from viaduct.plans.warehouse import Warehouse
+
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    got = w.fact_rows
+    assert not {"silver", "fact_keyed"} & set(w.paths)
+    whole = gold.fact_with_keys(w.silver, w.dim_tiempo_raw, w.dim_operador_raw, w.cfg.key_prefix_hex).select(*got.columns)
+    assert got.count() == whole.count() > 0 and got.exceptAll(whole).isEmpty()
+    assert w.fact_keyed.columns == got.columns and w.fact_rows is w.fact_keyed

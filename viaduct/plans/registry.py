@@ -273,7 +273,7 @@ def gold_rejects(spark, sf_dir):
     The trips all fit, so some get amounts, passengers and dates that don't: every 500th, 700th and 900th.
     """
     every = lambda n: F.col("sk_servicio") % n == 0
-    odd = _w(spark, sf_dir).fact_keyed.withColumns({
+    odd = _w(spark, sf_dir).fact_rows.withColumns({
         "importe_total": F.when(every(500), F.col("importe_total") * 1e8).otherwise(F.col("importe_total")),
         "n_pasajeros": F.when(every(700), 100_000).otherwise(F.col("n_pasajeros")),
         "sk_tiempo": F.when(~every(900), F.col("sk_tiempo")),
