@@ -54,6 +54,58 @@ def test_bounds_prune_nothing_that_counts(spark, texts):
     assert [g[:3] for g in got] == [w[:3] for w in best_by_brute_force(texts, {i for i, _ in texts if i % 100 == 0})]
 
 
+def test_words_are_runs_of_letters_and_digits():
+    for text in ("", "a b A_b a", "\u00e9t\u00e9 \u2014x\u2014 \u65e5\u672c\u3002\u65e5\u672c \u201cq\u201d1\u00b2", "\u0391\u03a3 \u0391\u03a3. \u0130 \ufb01", "e\u0301 \u0663 \ud800 \x1c\x85z", "\u2014 \u2014"):
+        want = collections.Counter(re.findall(r"[^\W_]+", text.lower()))
+        terms, counts, n = search.term_counts(text)
+        assert n == sum(want.values()) and len(terms) == len(want) and (np.diff(terms) > 0).all()
+        hashes = {np.uint64(search.xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))).astype(np.int64): c for w, c in want.items()}
+        assert dict(zip(terms.tolist(), counts.tolist(), strict=True)) == {int(h): c for h, c in hashes.items()}
+
+
+@pytest.mark.parametrize(("docs", "block_docs", "frequent", "batch"), [(7, 4, 3, 5), (40, 8, 24, 3), (100, 128, 1, 256)])
+def test_floors_of_the_first_shards(monkeypatch, docs, block_docs, frequent, batch):
+    """With other shards' floors the rest is scored for fewer documents, and the best of both are those of all."""
+    for name, value in (("BLOCK_DOCS", block_docs), ("FREQUENT_FROM", frequent), ("FREQUENT_TERMS", 20), ("BATCH", batch)):
+        monkeypatch.setattr(search, name, value)
+    random = np.random.default_rng(docs)
+    texts = [" ".join(f"w{w}" for w in random.zipf(1.4, int(random.integers(0, 60))) if w < 400) for _ in range(300)]
+    texts += texts[:25]
+    rows = list(enumerate(texts))
+    counts = [search.term_counts(t) for t in texts]
+    df = collections.Counter(h for c in counts for h in c[0].tolist())
+    mean = sum(c[2] for c in counts) / len(counts)
+    asking = [i for i, _ in rows if i % 4 == 0 and len(counts[i][0])]
+    block = search.QueryBlock([(i, counts[i][0].astype("<i8").tobytes(), np.array([df[h] for h in counts[i][0].tolist()], "<i8").tobytes()) for i in asking], len(rows))
+
+    def shard(some):
+        terms = np.concatenate([counts[i][0] for i in some])
+        order = np.argsort(terms, kind="stable")
+        doc = np.repeat(np.arange(len(some), dtype=np.uint16), [len(counts[i][0]) for i in some])
+        tf = np.concatenate([counts[i][1] for i in some]).astype(np.uint32)
+        unique, n = np.unique(terms, return_counts=True)
+        lengths = np.array([counts[i][2] for i in some], np.int64)
+        return {"terms": unique, "dfs": n.astype(np.int32), "docs": doc[order].tobytes(), "tfs": tf[order].tobytes(), "ids": np.array(some, np.int64).tobytes(), "lengths": lengths.tobytes()}
+
+    shards = [shard(list(range(i, min(i + docs, len(rows))))) for i in range(0, len(rows), docs)]
+    first = search.Best(len(block.ids), 5)
+    for s in shards[::3]:
+        search.search_shard(s, block, mean, first)
+    rest = search.Best(len(block.ids), 5, first.scores[:, -1].copy())
+    for i, s in enumerate(shards):
+        if i % 3:
+            search.search_shard(s, block, mean, rest)
+    assert np.isfinite(rest.scores).sum() < rest.scores.size
+    got = []
+    for q, query in enumerate(block.ids.tolist()):
+        both = [(-s, i) for b in (first, rest) for s, i in zip(b.scores[q].tolist(), b.ids[q].tolist(), strict=True) if s > -math.inf]
+        got += [(query, r, i, -s) for r, (s, i) in enumerate(sorted(both)[:5], 1)]
+    want = best_by_brute_force(rows, set(asking), 5)
+    got.sort()
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert np.allclose([g[3] for g in got], [w[3] for w in want], atol=2e-6)
+
+
 # -- quality -------------------------------------------------------------------
 def test_quality_on_held_out_labels(spark, duck):
     rows = {r["doc_id"]: r for r in quality.op5_quality_classifier(spark, "/root/testdata/sf0.01").collect()}

@@ -10,11 +10,14 @@ Statistics. Document count, mean length and the frequencies of all query terms a
 summed over all shards, so every shard scores with global statistics.
 
 Search. Queries come in blocks of about ``QUERY_TERMS`` terms, which bounds what is
-broadcast; each block is one job over all shards. A task keeps the best k of each
+broadcast. One shard in ``FIRST_SHARDS`` is searched first: each query's k-th best score there
+is a floor for the job over all others. A task keeps the best k of each
 query over its shards. For a shard and a batch of queries it takes the upper bound
 of each document block (block maxima of frequent terms, exact sums of rare ones)
-and scores a block only for the queries whose k-th best score doesn't exceed its
-bound (the pivot step of block-max WAND, a block at a time). Task results are merged
+and looks into a block only for the queries whose k-th best score doesn't exceed its
+bound (the pivot step of block-max WAND, a block at a time), there by the terms that the block has. These
+sums are in single precision; documents within ``SLACK`` of the floor or above are scored again
+in double precision from their own postings, so copies tie. Task results are merged
 exactly: the best k by score, then by smaller id.
 
 Score: sum over the distinct query words (runs of letters and digits, lower-cased,
@@ -29,16 +32,18 @@ id is indexed but is no query; an empty table gives an empty result; other colum
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, map_arrow, staged, text_or_empty
-from .jaccard_join import WordHashes
+from ..session import scratch_path
+from .common import documents, map_arrow, staged, text_or_empty, worker_cache
 from .line_dedup import bounded
 
 K1, B = 1.2, 0.75
@@ -50,19 +55,54 @@ BATCH = 256
 FREQUENT_TERMS = 1024
 FREQUENT_FROM = 24
 QUERY_TERMS = 2_000_000
+FIRST_SHARDS = 16
+# Share by which a sum in single precision may differ from the score, with much to spare.
+SLACK = 1e-4
+# Half a unit of the sixth decimal, which scores are rounded to, and more.
+ROUNDING = 1e-6
 
 _WORD = re.compile(r"[^\W_]+")
-_words = WordHashes()
+# ASCII letters and digits, and all bytes of other characters, stay; the rest are spaces.
+_LETTERS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+
+
+class Runs(dict):
+    """Words of a run of bytes without ASCII separators, a bounded cache."""
+
+    def __missing__(self, run: bytes) -> tuple[bytes, ...]:
+        words = tuple(w.encode("utf-8", "surrogatepass") for w in _WORD.findall(run.decode("utf-8", "surrogatepass")))
+        if len(self) >= 100_000:
+            self.clear()
+        self[run] = words
+        return words
+
+
+_runs = Runs()
+worker_cache(__name__, _runs.clear)
 _INDEX = "shard long, n_docs int, n_words long, terms array<long>, dfs array<int>, docs binary, tfs binary, ids binary, lengths binary"
 _NO_ID = np.iinfo(np.int64).max
 
 
 def term_counts(text: str) -> tuple[np.ndarray, np.ndarray, int]:
     """(distinct term hashes ascending as signed numbers, their counts, words)."""
-    words = _WORD.findall(text.lower())
-    h = np.fromiter((_words[w.encode("utf-8", "surrogatepass")] for w in words), np.uint64, len(words)).view(np.int64)
-    terms, counts = np.unique(h, return_counts=True)
-    return terms, counts, len(words)
+    data = text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS)
+    counted = Counter(data.split())
+    if not data.isascii():
+        # Cut at ASCII characters so far; other characters may be no letters either.
+        for run in [r for r in counted if not r.isascii()]:
+            words = _runs[run]
+            if words != (run,):
+                n = counted.pop(run)
+                for word in words:
+                    counted[word] += n
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, counted), np.uint64, len(counted)).view(np.int64)
+    counts = np.fromiter(counted.values(), np.int64, len(counted))
+    order = np.argsort(h)
+    terms, counts, n_words = h[order], counts[order], int(counts.sum())
+    first = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]])) if len(terms) else order
+    if len(first) < len(terms):  # words of one hash
+        terms, counts = terms[first], np.add.reduceat(counts, first)
+    return terms, counts, n_words
 
 
 def _build_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,19 +141,26 @@ def _build_shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per shard, in the shared folder."""
+    """One row per shard, in the shared folder; those of ``turn`` 0, searched first, in files of their own."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_or_empty(F.col(f"`{text_col}`")).alias("text"))
-    return staged(map_arrow(rows, _build_shards, _INDEX), "search-index")
+    shards = map_arrow(rows, _build_shards, _INDEX)
+    shards = shards.withColumn("turn", (F.pmod(F.xxhash64("shard"), F.lit(FIRST_SHARDS)) != 0).cast("int"))
+    path = scratch_path(docs.sparkSession, "search-index")
+    shards.write.option("compression", "zstd").partitionBy("turn").parquet(path)
+    return docs.sparkSession.read.schema(shards.schema).parquet(path)
 
 
 class QueryBlock:
-    """Queries as rows of term numbers into the block's sorted distinct terms."""
+    """Queries as rows of term numbers into the block's sorted distinct terms.
+
+    Queries are ordered by their most frequent terms, so neighbours are alike and ask for the same blocks of documents.
+    """
 
     def __init__(self, rows: list[tuple[int, bytes, bytes]], n_docs: int) -> None:
-        rows = sorted(rows)
-        self.ids = np.array([r[0] for r in rows], np.int64)
-        lists = [np.frombuffer(r[1], "<i8") for r in rows]
-        dfs = np.concatenate([np.frombuffer(r[2], "<i8") for r in rows])
+        queries = [(r[0], np.frombuffer(r[1], "<i8"), np.frombuffer(r[2], "<i8")) for r in rows]
+        queries.sort(key=lambda q: (q[1][np.lexsort((q[1], -q[2]))[:3]].tolist(), q[0]))
+        self.ids = np.array([q[0] for q in queries], np.int64)
+        lists, dfs = [q[1] for q in queries], np.concatenate([q[2] for q in queries])
         self.terms, first, self.numbers = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
         df = dfs[first]
         self.idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
@@ -121,34 +168,54 @@ class QueryBlock:
 
 
 class Best:
-    """The best ``k`` (score, id) of each query."""
+    """The best ``k`` (score, id) of each query; ``least``: scores that k documents elsewhere reach."""
 
-    def __init__(self, n: int, k: int) -> None:
+    def __init__(self, n: int, k: int, least: np.ndarray | None = None) -> None:
         self.k = k
         self.scores = np.full((n, k), -np.inf)
         self.ids = np.full((n, k), _NO_ID)
+        self.least = np.full(n, -np.inf) if least is None else least
 
     def floor(self, rows: np.ndarray) -> np.ndarray:
-        return self.scores[rows, -1]
+        return np.maximum(self.scores[rows, -1], self.least[rows])
 
     def add(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """scores: one line for each of ``rows``, one column for each of ``ids``."""
+        """Documents: query, score and id of each."""
         scores = np.where(scores > 0, np.round(scores, 6), -np.inf)
-        use = np.flatnonzero((scores >= np.maximum(self.floor(rows), 0)[:, None]).any(axis=1))
-        if not len(use):
+        use = scores >= np.maximum(self.floor(rows), 0)
+        rows, at = np.unique(rows[use], return_inverse=True)
+        if not len(rows):
             return
-        rows, scores = rows[use], scores[use]
-        every = np.concatenate([self.scores[rows], scores], axis=1)
-        names = np.concatenate([self.ids[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-        order = np.lexsort((names, -every), axis=1)[:, : self.k]
-        self.scores[rows] = np.take_along_axis(every, order, 1)
-        self.ids[rows] = np.take_along_axis(names, order, 1)
+        at = np.concatenate([np.repeat(np.arange(len(rows)), self.k), at])
+        every = np.concatenate([self.scores[rows].ravel(), scores[use]])
+        names = np.concatenate([self.ids[rows].ravel(), ids[use]])
+        order = np.lexsort((names, -every, at))
+        place = np.arange(len(at)) - np.searchsorted(at[order], np.arange(len(rows)))[at[order]]
+        order = order[place < self.k]
+        self.scores[rows] = every[order].reshape(-1, self.k)
+        self.ids[rows] = names[order].reshape(-1, self.k)
+
+
+def _ranges(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, ... of each range, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begin - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _promising(rows: np.ndarray, sums: np.ndarray, k: int) -> np.ndarray:
+    """Which of many (row, sum in single precision) can be among the k best of their row."""
+    order = np.lexsort((-sums, rows))
+    every, first, count = np.unique(rows[order], return_index=True, return_counts=True)
+    least = np.full(rows.max() + 1, -np.inf)
+    full = count >= k
+    least[every[full]] = sums[order][first[full] + k - 1] * (1 - 2 * SLACK) - 2 * ROUNDING
+    return sums >= least[rows]
 
 
 def search_shard(shard: dict, block: QueryBlock, mean: float, best: Best) -> None:
-    terms, dfs = shard["terms"], shard["dfs"]
-    doc = np.frombuffer(shard["docs"], np.uint16).astype(np.int64)
-    tf = np.frombuffer(shard["tfs"], np.uint32).astype(np.float64)
+    terms, dfs = shard["terms"], shard["dfs"].astype(np.int64)
+    short = np.frombuffer(shard["docs"], np.uint16)
+    doc, tf = short.astype(np.int64), np.frombuffer(shard["tfs"], np.uint32)
     ids, lengths = np.frombuffer(shard["ids"], np.int64), np.frombuffer(shard["lengths"], np.int64)
     n = len(ids)
     at = np.searchsorted(terms, block.terms)
@@ -156,26 +223,40 @@ def search_shard(shard: dict, block: QueryBlock, mean: float, best: Best) -> Non
     present = terms[at] == block.terms if len(terms) else np.zeros(len(at), bool)
     if not present.any():
         return
-    ends = np.cumsum(dfs, dtype=np.int64)
-    begin, df = np.where(present, ends[at] - dfs[at], 0), np.where(present, dfs[at], 0).astype(np.int64)
-
-    def postings(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(which of ``numbers``, document, idf times term weight) of all their postings."""
-        sizes = df[numbers]
-        which = np.repeat(np.arange(len(numbers)), sizes)
-        place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begin[numbers][which]
-        d, t = doc[place], tf[place]
-        return which, d, block.idf[numbers][which] * t * (K1 + 1) / (t + K1 * (1 - B + B * lengths[d] / mean))
+    begins = np.cumsum(dfs) - dfs
+    begin, df = np.where(present, begins[at], 0), np.where(present, dfs[at], 0)
+    idf = np.zeros(len(terms))
+    idf[at[present]] = block.idf[present]
+    # idf times term weight of each posting
+    value = np.repeat(idf, dfs) * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * lengths / mean))[doc])
+    by_doc = np.argsort(short, kind="stable")
+    doc_size = np.bincount(doc, minlength=n)
+    doc_begin = np.cumsum(doc_size) - doc_size
+    doc_terms, doc_values = np.repeat(np.arange(len(terms), dtype=np.int32), dfs)[by_doc], value[by_doc]
+    asked = np.zeros(len(terms), bool)
+
+    def exact(numbers: np.ndarray, documents: np.ndarray) -> np.ndarray:
+        """Scores of ``documents`` for the query of these term numbers, in double precision, in the order of their terms."""
+        own = at[numbers[present[numbers]]]
+        asked[own] = True
+        place = _ranges(doc_begin[documents], doc_size[documents])
+        parts = np.where(asked[doc_terms[place]], doc_values[place], 0)
+        asked[own] = False
+        return np.add.reduceat(parts, np.cumsum(doc_size[documents]) - doc_size[documents])
 
     frequent = np.argsort(-df, kind="stable")[:FREQUENT_TERMS]
     frequent = np.sort(frequent[df[frequent] >= FREQUENT_FROM])
     column = np.full(len(df), -1)
     column[frequent] = np.arange(len(frequent))
-    width = -(-n // BLOCK_DOCS) * BLOCK_DOCS
-    dense = np.zeros((len(frequent), width))
-    which, d, value = postings(frequent)
-    dense[which, d] = value
-    peaks = dense.reshape(len(frequent), width // BLOCK_DOCS, BLOCK_DOCS).max(axis=2)
+    n_blocks = -(-n // BLOCK_DOCS)
+    width = n_blocks * BLOCK_DOCS
+    dense = np.zeros((len(frequent), width), np.float32)
+    place = _ranges(begin[frequent], df[frequent])
+    dense[np.repeat(np.arange(len(frequent)), df[frequent]), doc[place]] = value[place]
+    dense = dense.reshape(len(frequent), n_blocks, BLOCK_DOCS)
+    peaks = dense.max(axis=2) if len(frequent) else np.zeros((0, n_blocks), np.float32)
+    tiles = [(c, dense[c, b]) for b in range(n_blocks) for c in [np.flatnonzero(peaks[:, b])]]
+    del dense
 
     for low in range(0, len(block.ids), BATCH):
         high = min(low + BATCH, len(block.ids))
@@ -183,23 +264,56 @@ def search_shard(shard: dict, block: QueryBlock, mean: float, best: Best) -> Non
         numbers = block.numbers[block.start[low] : block.start[high]]
         query = np.repeat(rows - low, np.diff(block.start[low : high + 1]))
         is_frequent = column[numbers] >= 0
-        weight = np.zeros((high - low, len(frequent)))
-        weight[query[is_frequent], column[numbers[is_frequent]]] = 1
+        weight = np.zeros((len(frequent), high - low), np.float32)
+        weight[column[numbers[is_frequent]], query[is_frequent]] = 1
+        wanted = weight.any(axis=1)
         rest = ~is_frequent & (df[numbers] > 0)
-        which, d, value = postings(numbers[rest])
-        rare = np.bincount(query[rest][which] * width + d, value, (high - low) * width).reshape(high - low, width)
-        bounds = weight @ peaks + rare.reshape(high - low, width // BLOCK_DOCS, BLOCK_DOCS).max(axis=2)
-        for b in np.argsort(-bounds.sum(axis=0), kind="stable"):
-            ask = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] * (1 + 1e-9) + 1e-6 >= best.floor(rows)))
-            if len(ask):
-                part = slice(b * BLOCK_DOCS, min((b + 1) * BLOCK_DOCS, n))
-                best.add(rows[ask], weight[ask] @ dense[:, part] + rare[ask, part], ids[part])
-
-
-def _search(shared, mean: float, k: int):
+        own = numbers[rest]
+        place = _ranges(begin[own], df[own])
+        rare = np.bincount(np.repeat(query[rest] * width, df[own]) + doc[place], value[place], (high - low) * width)
+        rare = rare.reshape(high - low, n_blocks, BLOCK_DOCS)
+        bounds = weight.T @ peaks + rare.max(axis=2)
+        floor = best.floor(rows)
+        new = np.flatnonzero(~np.isfinite(floor))
+        if len(new) and width >= best.k:
+            # Scores are no smaller than their rare terms' part.
+            floor[new] = np.partition(rare.reshape(high - low, width)[new], width - best.k, axis=1)[:, width - best.k]
+        need = np.where(floor > 0, floor * (1 - SLACK) - ROUNDING, 0)
+        look = (bounds > 0) & (bounds >= need[:, None])
+        found = []
+        for b in np.flatnonzero(look.any(axis=0)):
+            ask = np.flatnonzero(look[:, b])
+            columns, tile = tiles[b]
+            own = wanted[columns]
+            if own.sum() < 0.9 * len(columns):
+                columns, tile = columns[own], tile[own]
+            part = weight[columns]
+            if len(ask) > 0.8 * (high - low):
+                ask = np.arange(high - low)
+            else:
+                part = np.take(part, ask, axis=1)
+            sums = part.T @ tile + rare[ask, b]
+            which, d = np.nonzero((sums > 0) & (sums >= need[ask][:, None]))
+            found.append((ask[which], d + b * BLOCK_DOCS, sums[which, d]))
+        if not found:
+            continue
+        row, d, sums = (np.concatenate(x) for x in zip(*found, strict=True))
+        if len(row) > 4 * best.k * (high - low):
+            keep = _promising(row, sums, best.k)
+            row, d = row[keep], d[keep]
+        order = np.argsort(row, kind="stable")
+        row, d = row[order], d[order]
+        asking, first = np.unique(row, return_index=True)
+        if len(asking):
+            parts = zip(asking + low, np.split(d, first[1:]), strict=True)
+            scores = [exact(block.numbers[block.start[q] : block.start[q + 1]], documents) for q, documents in parts]
+            best.add(row + low, np.concatenate(scores), ids[d])
+
+
+def _search(shared, least, mean: float, k: int):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        best = Best(len(block.ids), k)
+        best = Best(len(block.ids), k, least.value)
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = {c: batch.column(c)[i].as_py() for c in ("docs", "tfs", "ids", "lengths")}
@@ -246,9 +360,19 @@ def search(index: DataFrame, queries: DataFrame, id_col: str = "doc_id", text_co
     for number in range(blocks):
         own = [(r["query_id"], bytes(r["terms"]), bytes(r["dfs"])) for r in packed.where(F.col("block") == number).collect()]
         if own:
-            shared = spark.sparkContext.broadcast(QueryBlock(own, n_docs))
-            part = staged(map_arrow(index, _search(shared, mean, k), "query_id long, doc_id long, score double"), "search-found")
-            found = part if found is None else found.unionByName(part)
+            block, least = QueryBlock(own, n_docs), None
+            shared = spark.sparkContext.broadcast(block)
+            for turn in (0, 1):
+                floors = spark.sparkContext.broadcast(least)
+                part = map_arrow(index.where(F.col("turn") == turn), _search(shared, floors, mean, k), "query_id long, doc_id long, score double")
+                part = staged(part, "search-found")
+                found = part if found is None else found.unionByName(part)
+                if turn == 0:
+                    kth = part.groupBy("query_id").agg(F.sort_array(F.collect_list("score"), False).alias("s")).where(F.size("s") >= k)
+                    kth = [(r["query_id"], r["score"]) for r in kth.select("query_id", F.col("s")[k - 1].alias("score")).collect()]
+                    least = np.full(len(block.ids), -np.inf)
+                    place = {q: i for i, q in enumerate(block.ids.tolist())}
+                    least[[place[q] for q, _ in kth]] = [x for _, x in kth]
     if found is None:
         found = spark.createDataFrame([], "query_id long, doc_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
